@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from nimbus.functions.timecols import SECONDS_PER_DAY, epoch_to_instant, event_date
+from nimbus.functions.timecols import epoch_to_instant, event_date
 from nimbus.schemas import CITY_COLUMNS, STAGING_COLUMNS
 
 KEY = ["city_id", "timestamp"]
@@ -57,8 +57,10 @@ def increment(raw: DataFrame, staging: DataFrame, mode: str = ANTI,
         raise ValueError(f"unknown increment mode {mode!r}")
     if lookback_seconds is not None:
         bound = mark - F.lit(lookback_seconds)
-        keyed, staging = since(keyed, bound, strict=True), since(staging, bound, strict=True)
-    return keyed.join(staging.select(*KEY), KEY, "left_anti")
+        keyed = since(keyed, bound, strict=True)
+    # Exact bound: staged rows older than the oldest candidate cannot match any of them.
+    oldest = keyed.agg(F.min("timestamp")).scalar()
+    return keyed.join(since(staging, oldest).select(*KEY), KEY, "left_anti")
 
 
 def dedupe(df: DataFrame, keys=tuple(KEY), order: list[Column] | None = None) -> DataFrame:
@@ -121,7 +123,3 @@ def insert_absent(new: DataFrame, existing: DataFrame, key: str = "id") -> DataF
     first = dedupe(new, keys=(key,), order=[F.col(c).asc_nulls_last() for c in new.columns if c != key])
     return first.join(existing.select(key), key, "left_anti").select(*new.columns)
 
-
-def stale_days(staging: DataFrame, days: int) -> Column:
-    """Helper bound for scheduled runs: epoch seconds ``days`` before staging's mark."""
-    return high_water(staging).scalar() - F.lit(days * SECONDS_PER_DAY)

@@ -213,3 +213,98 @@ def q_flagship(spark, d):
 
 
 ALL_QUERIES: dict[str, Query] = dict(BATCH_QUERIES)
+
+
+# --- streaming and connector queries --------------------------------------------------------
+# Each run writes under a fresh folder of the shared checkpoint folder: the messages
+# (the "topic"), the tables the streams write and their checkpoints.
+
+def _publish_messages(spark, d, root):
+    """The bus: original messages first, then the redelivered copies in later files."""
+    from nimbus.sources.files import write_messages
+    from pyspark.sql import functions as F
+    msgs = td.messages(spark, d, replay=True)
+    first = msgs.filter(F.col("offset") < td.REPLAY_ID_SHIFT)
+    again = msgs.filter(F.col("offset") >= td.REPLAY_ID_SHIFT)
+    write_messages(first.repartitionByRange(4, "offset"), f"{root}/messages")
+    write_messages(again.repartitionByRange(2, "offset"), f"{root}/messages")
+    return f"{root}/messages"
+
+
+def _ingest(spark, d):
+    from nimbus.session import run_dir
+    from nimbus.sources.files import read_messages
+    from nimbus.streaming.ingest import start_ingest
+    from nimbus.streaming.triggers import AVAILABLE_NOW, run_to_end
+    root = run_dir(spark, "stream")
+    src = read_messages(spark, _publish_messages(spark, d, root), stream=True, max_files_per_trigger=2)
+    run_to_end(start_ingest(src, f"{root}/raw", f"{root}/quarantine", f"{root}/_ck/ingest", AVAILABLE_NOW))
+    return root
+
+
+def _stage_stream(spark, root):
+    from nimbus.streaming.staging import raw_stream, start_staging
+    from nimbus.streaming.triggers import AVAILABLE_NOW, run_to_end
+    run_to_end(start_staging(raw_stream(spark, f"{root}/raw"), f"{root}/staging",
+                             f"{root}/cities", f"{root}/_ck/staging", AVAILABLE_NOW))
+
+
+def q_stream_raw(spark, d):
+    root = _ingest(spark, d)
+    return spark.read.parquet(f"{root}/raw").select(*READING_COLUMNS, "weather_pos", "event_date")
+
+
+def q_stream_staging(spark, d):
+    root = _ingest(spark, d)
+    _stage_stream(spark, root)
+    from nimbus.schemas import STAGING_COLUMNS
+    out = spark.read.parquet(f"{root}/staging").select(*STAGING_COLUMNS)
+    return comparable(out.drop("id"))
+
+
+def q_stream_hourly(spark, d):
+    from nimbus.sources.tables import schema_of
+    from nimbus.streaming.hourly import read_hourly, start_hourly
+    from nimbus.streaming.triggers import AVAILABLE_NOW, run_to_end
+    root = _ingest(spark, d)
+    _stage_stream(spark, root)
+    stg = spark.readStream.schema(schema_of("staging").add("batch_id", "long")).parquet(f"{root}/staging")
+    run_to_end(start_hourly(stg.drop("batch_id"), f"{root}/hourly", f"{root}/_ck/hourly", trigger=AVAILABLE_NOW))
+    return comparable(read_hourly(spark, f"{root}/hourly"))
+
+
+def q_stream_dedupe(spark, d):
+    from nimbus.sinks.batch import write_batch
+    from nimbus.streaming.dedupe import dedupe_stream
+    from nimbus.streaming.staging import raw_stream
+    from nimbus.streaming.triggers import AVAILABLE_NOW, run_to_end, start
+    root = _ingest(spark, d)
+    keys = dedupe_stream(raw_stream(spark, f"{root}/raw")).select("city_id", "timestamp")
+    writer = keys.writeStream.outputMode("append").foreachBatch(
+        lambda df, bid: write_batch(df, bid, f"{root}/keys", partition_by=()))
+    run_to_end(start(writer, f"{root}/_ck/dedupe", AVAILABLE_NOW))
+    return spark.read.parquet(f"{root}/keys").select("city_id", "timestamp")
+
+
+def q_json_publish(spark, d):
+    """Hourly rows published as JSON messages (file form of the bus) and read back."""
+    from nimbus.session import run_dir
+    from nimbus.sources.files import read_messages, write_messages
+    from nimbus.sources.kafka import to_messages
+    from nimbus.sources.tables import schema_of
+    root = run_dir(spark, "publish")
+    write_messages(to_messages(rollup.hourly_avg(_staging(spark, d)), key="city_id"), f"{root}/hourly")
+    back = read_messages(spark, f"{root}/hourly", stream=False)
+    parsed = back.select(F.from_json("value", schema_of("hourly")).alias("h")).select("h.*")
+    return comparable(parsed)
+
+
+STREAM_QUERIES: dict[str, Query] = {
+    "stream_raw": q_stream_raw,
+    "stream_staging": q_stream_staging,
+    "stream_hourly": q_stream_hourly,
+    "stream_dedupe": q_stream_dedupe,
+    "json_publish": q_json_publish,
+}
+
+ALL_QUERIES.update(STREAM_QUERIES)
