@@ -40,32 +40,34 @@ def decode(messages: DataFrame, schema: T.StructType = PAYLOAD) -> DataFrame:
                            parsed.alias("_d")).select(MSG, "_d.*")
 
 
-def quarantine_reason() -> Column:
-    """Why a decoded message gives no reading (null when it gives at least one).
-
-    A message explodes into readings when its ``weather`` list is non-empty. It
-    is ``malformed`` when the text did not parse into a usable list, else
-    ``no_weather``. ``size(null)`` is null under ANSI mode, hence the ``coalesce``.
-    Only two decoded fields are referenced, so a filter on this reason pushed
-    below the decode repeats the JSON parse at most twice (pruned to one field).
+def explode_weather(decoded: DataFrame) -> DataFrame:
+    """One row per (message, weather condition); ``weather_pos`` null for a message without any.
+
+    ``posexplode_outer`` keeps the messages a plain explode would drop, so the
+    readings and the quarantine are two filters on the generated position. A
+    filter on a generated column stays above the generator: the JSON is parsed
+    once. (With ``posexplode`` the optimizer infers ``size(weather) > 0`` and
+    pushes it below the decode, parsing every message twice.)
     """
-    has_weather = F.coalesce(F.size("weather") > 0, F.lit(False))
-    return (F.when(has_weather, F.lit(None).cast("string"))
-            .when(F.col(CORRUPT_COLUMN).isNotNull(), F.lit(MALFORMED))
-            .otherwise(F.lit(NO_WEATHER)))
+    return decoded.select("*", F.posexplode_outer("weather").alias("weather_pos", "w"))
+
+
+def quarantine_reason() -> Column:
+    """Why an exploded message gives no reading: unreadable text or no weather condition."""
+    return F.when(F.col(CORRUPT_COLUMN).isNotNull(), F.lit(MALFORMED)).otherwise(F.lit(NO_WEATHER))
 
 
 def split_valid(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(messages that explode into readings, messages set aside with a reason).
+    """(exploded readings, messages set aside with a reason).
 
     The reference drops the second group silently (explode of a null or empty
-    list); here it is kept so it can be inspected and replayed. ``flatten`` does
-    not need the first output: its explode skips the same messages by itself.
+    list); here it is kept so it can be inspected and replayed.
     """
-    valid = decoded.filter(F.coalesce(F.size("weather") > 0, F.lit(False)))
-    bad = decoded.withColumn("_reason", quarantine_reason()).filter(F.col("_reason").isNotNull()).select(
+    ex = explode_weather(decoded)
+    valid = ex.filter(F.col("weather_pos").isNotNull())
+    bad = ex.filter(F.col("weather_pos").isNull()).select(
         F.col("id").alias("city_id"), F.col("dt").alias("timestamp"),
-        F.col("_reason").alias("reason"), F.col(f"{MSG}.value").cast("string").alias("value"))
+        quarantine_reason().alias("reason"), F.col(f"{MSG}.value").cast("string").alias("value"))
     return valid, bad
 
 
@@ -91,24 +93,21 @@ def row_id(coords: list[str], pos: Column) -> Column:
     return F.xxhash64(*[F.col(f"{MSG}.{c}") for c in coords], pos)
 
 
-def flatten(decoded: DataFrame, coords: list[str] | None = None) -> DataFrame:
-    """One row per (message, weather condition) with the raw table's columns.
-
-    Messages with a null or empty list drop out (they are the quarantine).
-    ``posexplode_outer`` plus a filter on the generated position is used instead
-    of ``posexplode``: for the latter the optimizer infers ``size(weather) > 0``
-    and pushes it below the decode, which parses every message twice.
-    """
-    coords = coords or source_coordinates(decoded)
-    exploded = (decoded.select("*", F.posexplode_outer("weather").alias("weather_pos", "w"))
-                .filter(F.col("weather_pos").isNotNull()))
+def project_readings(valid: DataFrame, coords: list[str] | None = None) -> DataFrame:
+    """B2 + B13: exploded readings -> the raw table's columns, with the surrogate id."""
+    coords = coords or source_coordinates(valid)
     cols = [F.col(path).alias(name) for name, path in READING_FIELDS]
-    out = exploded.select(row_id(coords, F.col("weather_pos")).alias("id"), *cols,
-                          F.col("weather_pos").cast("int").alias("weather_pos"))
+    out = valid.select(row_id(coords, F.col("weather_pos")).alias("id"), *cols,
+                       F.col("weather_pos").cast("int").alias("weather_pos"))
     return out.withColumn("event_date", event_date("timestamp")).select(*RAW_COLUMNS)
 
 
+def flatten(decoded: DataFrame, coords: list[str] | None = None) -> DataFrame:
+    """One row per (message, weather condition) with the raw table's columns."""
+    return project_readings(split_valid(decoded)[0], coords)
+
+
 def messages_to_raw(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """L1 transform: message text -> (raw rows, quarantined messages)."""
-    decoded = decode(message_text(messages))
-    return flatten(decoded), split_valid(decoded)[1]
+    """L1 transform: message text -> (raw rows, quarantined messages), one parse per message."""
+    valid, bad = split_valid(decode(message_text(messages)))
+    return project_readings(valid), bad

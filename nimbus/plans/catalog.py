@@ -263,13 +263,14 @@ def q_stream_staging(spark, d):
 
 
 def q_stream_hourly(spark, d):
-    from nimbus.sources.tables import schema_of
     from nimbus.streaming.hourly import read_hourly, start_hourly
     from nimbus.streaming.triggers import AVAILABLE_NOW, run_to_end
     root = _ingest(spark, d)
     _stage_stream(spark, root)
-    stg = spark.readStream.schema(schema_of("staging").add("batch_id", "long")).parquet(f"{root}/staging")
-    run_to_end(start_hourly(stg.drop("batch_id"), f"{root}/hourly", f"{root}/_ck/hourly", trigger=AVAILABLE_NOW))
+    from nimbus.streaming.staging import batch_table_schema
+    stg = spark.readStream.schema(batch_table_schema("staging")).parquet(f"{root}/staging")
+    run_to_end(start_hourly(stg.drop("writer", "batch_id"), f"{root}/hourly", f"{root}/_ck/hourly",
+                            trigger=AVAILABLE_NOW))
     return comparable(read_hourly(spark, f"{root}/hourly"))
 
 

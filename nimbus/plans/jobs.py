@@ -22,7 +22,7 @@ from nimbus.schemas import PRIMARY_KEYS
 from nimbus.session import shared_dir
 from nimbus.sinks.tables import append_table, replace_table
 from nimbus.sources.files import read_messages
-from nimbus.sources.tables import read_table
+from nimbus.sources.tables import read_current, read_table
 
 
 @dataclass
@@ -98,7 +98,7 @@ def day_view(spark: SparkSession, paths: Paths, name: str, country: str, hours:
     cities = read_table(spark, paths.cities, "cities")
     series = city_series(staged, cities, name, country, hours, now)
     city = find_city(cities, name, country).select(F.col("id").alias("city_id"))
-    hourly = read_table(spark, paths.hourly, "hourly").join(F.broadcast(city), "city_id", "left_semi")
+    hourly = read_current(spark, paths.hourly, "hourly").join(F.broadcast(city), "city_id", "left_semi")
     hourly = last_hours(hourly, hours, now, ts="timestamp_hour")
     overlay = hourly_overlay(hourly, staged.join(F.broadcast(city), "city_id", "left_semi"))
     return series, overlay.orderBy(F.col("timestamp_hour").desc())

@@ -2,26 +2,40 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame
 
+# Partition columns added by batch-folder tables.
+BATCH_COLUMNS = ("writer", "batch_id")
+
+
+def writer_tag(checkpoint: str) -> str:
+    """Stable name of one streaming query: derived from its checkpoint location."""
+    return hashlib.sha1(checkpoint.rstrip("/").encode()).hexdigest()[:12]
+
 
-def batch_path(root: str, batch_id: int) -> str:
-    return f"{root.rstrip('/')}/batch_id={batch_id}"
+def batch_path(root: str, batch_id: int, writer: str | None = None) -> str:
+    root = root.rstrip("/")
+    return f"{root}/writer={writer}/batch_id={batch_id}" if writer else f"{root}/batch_id={batch_id}"
 
 
-def write_batch(df: DataFrame, batch_id: int, root: str, partition_by: tuple[str, ...] = ("event_date",)) -> bool:
-    """Write a micro-batch to ``root/batch_id=N`` (overwrite), skip an empty one.
+def write_batch(df: DataFrame, batch_id: int, root: str, partition_by: tuple[str, ...] = ("event_date",),
+                writer: str | None = None) -> bool:
+    """Write a micro-batch to ``root/writer=W/batch_id=N`` (overwrite), skip an empty one.
 
-    A batch re-run after a failure (same id, same offsets) overwrites its own
-    folder instead of appending a second copy; readers of ``root`` see the union
-    of all batch folders (``batch_id`` becomes a partition column).
+    A batch re-run after a failure (same query, same id, same offsets)
+    overwrites its own folder instead of appending a second copy. ``writer``
+    keeps two queries (two checkpoints) from overwriting each other's batches;
+    a replay under a new checkpoint therefore adds copies, which the staging
+    de-duplication removes. Readers see the union of all folders.
     """
     if df.isEmpty():
         return False
     w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.parquet(batch_path(root, batch_id))
+    w.parquet(batch_path(root, batch_id, writer))
     return True
 
 

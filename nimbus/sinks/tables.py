@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame
 
 from nimbus.operators.audit import require_clean
@@ -18,15 +20,25 @@ def append_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = ("eve
 
 
 def replace_table(df: DataFrame, path: str, audits: dict[str, DataFrame] | None = None,
-                  partition_by: tuple[str, ...] = ()) -> None:
+                  partition_by: tuple[str, ...] = ()) -> str:
     """Full refresh of a derived table, published only when the audits pass.
 
     The reference truncates first and loads second, so a failed load leaves the
-    table empty; here nothing is touched until the new content is checked, and
-    the overwrite is one Spark job commit. The source must not be the same path.
+    table empty. Here the new content goes to a new ``generation=<ms>`` folder;
+    only after that write has committed is a one-line record appended to the
+    table's ``commits`` log, and readers (``read_current``) take the newest
+    recorded generation. A failed refresh leaves the previous generation
+    current, and a reader that listed the old generation keeps reading intact
+    files. Returns the new folder.
     """
     require_clean(**(audits or {}))
-    w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    gen = int(time.time() * 1000)
+    target = f"{path.rstrip('/')}/generation={gen}"
+    w = df.write.mode("errorifexists")
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    w.parquet(target)
+    spark = df.sparkSession
+    (spark.createDataFrame([(gen, target)], "generation long, path string").coalesce(1)
+     .write.mode("append").json(f"{path.rstrip('/')}/commits"))
+    return target

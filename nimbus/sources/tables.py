@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
@@ -44,13 +45,35 @@ def provision(spark: SparkSession, database: str, location: str) -> list[str]:
 def read_table(spark: SparkSession, path: str, table: str | None = None) -> DataFrame:
     """A parquet table by path; an absent folder reads as an empty table of the known schema."""
     try:
-        return spark.read.parquet(path)
+        df = spark.read.parquet(path)
+        # tables written by streams carry their batch-folder columns
+        return df.drop("writer", "batch_id") if "batch_id" in df.columns else df
     except AnalysisException:
         if table is None:
             raise
         return spark.createDataFrame([], schema_of(table))
 
 
+def current_generation(spark: SparkSession, path: str) -> str | None:
+    """Folder of the newest committed generation of a replace-style table (None if never written)."""
+    try:
+        log = spark.read.schema("generation long, path string").json(f"{path.rstrip('/')}/commits")
+        newest = log.orderBy(F.col("generation").desc()).limit(1).collect()
+    except AnalysisException:
+        return None
+    return newest[0].path if newest else None
+
+
+def read_current(spark: SparkSession, path: str, table: str | None = None) -> DataFrame:
+    """The current content of a replace-style table (empty with the known schema if never written)."""
+    gen = current_generation(spark, path)
+    if gen is None:
+        if table is None:
+            raise FileNotFoundError(path)
+        return spark.createDataFrame([], schema_of(table))
+    return spark.read.parquet(gen)
+
+
 def read_table_or_none(spark: SparkSession, name: str) -> DataFrame | None:
     """A5: a catalog table, or None when it does not exist or has no row.
 

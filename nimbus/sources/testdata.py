@@ -124,6 +124,19 @@ def cities_with_nation_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- messages: the readings as JSON text on a message bus -------------------------------------
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give a thinly split input one partition per core before per-row heavy work.
+
+    A small table in one file/row group scans as a single task; rendering and
+    parsing JSON is per-row work worth spreading. Inputs that already have
+    enough splits (any large table) are left alone, so no shuffle is added at scale.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)
+
+
 def _weather_list(r: Column) -> Column:
     """``event_id % 3`` conditions: 0 -> missing (id % 6 = 0) or empty list, 2 -> two conditions."""
     eid = F.col("id")
@@ -165,7 +178,7 @@ def messages(spark: SparkSession, sf_dir: str, replay: bool = False) -> DataFram
     ``offset`` is the event id; with ``replay`` every tenth message is delivered
     again at a new offset (same text), as after a producer retry.
     """
-    r = readings(spark, sf_dir)
+    r = spread(readings(spark, sf_dir))
     m = r.select(F.lit("readings").alias("topic"), F.lit(0).alias("partition"),
                  F.col("id").alias("offset"), payload_json(r).alias("value"))
     if replay:

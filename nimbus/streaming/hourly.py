@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from nimbus.schemas import HOURLY_COLUMNS
-from nimbus.sinks.batch import write_batch
+from nimbus.sinks.batch import write_batch, writer_tag
 from nimbus.streaming.triggers import start
 
 
@@ -27,14 +27,19 @@ def hourly_updates(staging: DataFrame, watermark: str = "2 hours") -> DataFrame:
 def start_hourly(staging: DataFrame, hourly_path: str, checkpoint: str, watermark: str = "2 hours",
                  trigger: dict | None = None):
     """Update mode: each micro-batch writes the hours it changed into its own batch folder."""
+    tag = writer_tag(checkpoint)
     writer = hourly_updates(staging, watermark).writeStream.outputMode("update").foreachBatch(
-        lambda df, bid: write_batch(df, bid, hourly_path, partition_by=()))
+        lambda df, bid: write_batch(df, bid, hourly_path, partition_by=(), writer=tag))
     return start(writer, checkpoint, trigger)
 
 
 def read_hourly(spark: SparkSession, hourly_path: str) -> DataFrame:
-    """The current hourly table: for each (city, hour) the version of the latest batch."""
+    """The current hourly table: for each (city, hour) the version of the latest batch.
+
+    A partial group limit runs before the shuffle, so each map task sends one
+    version per key.
+    """
     versions = spark.read.parquet(hourly_path)
-    w = Window.partitionBy("city_id", "timestamp_hour").orderBy(F.col("batch_id").desc())
+    w = Window.partitionBy("city_id", "timestamp_hour").orderBy(F.col("batch_id").desc(), F.col("writer").desc())
     return (versions.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1)
             .select(*HOURLY_COLUMNS))

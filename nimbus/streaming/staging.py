@@ -11,43 +11,50 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nimbus.operators.staging import (ANTI, city_candidates, dedupe, increment, new_cities, stage)
-from nimbus.sinks.batch import write_batch
+from nimbus.sinks.batch import BATCH_COLUMNS, write_batch, writer_tag
 from nimbus.sources.tables import read_table, schema_of
 from nimbus.streaming.triggers import start
 
 
 def raw_stream(spark: SparkSession, raw_path: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """New files of the raw table as a stream (schema fixed; ``batch_id`` from the folder names)."""
-    schema = schema_of("raw").add("batch_id", "long")
-    r = spark.readStream.schema(schema)
+    r = spark.readStream.schema(batch_table_schema("raw"))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return r.parquet(raw_path).drop("batch_id")
+    return r.parquet(raw_path).drop(*BATCH_COLUMNS)
 
 
-def _others(spark: SparkSession, path: str, table: str, batch_id: int) -> DataFrame:
+def batch_table_schema(table: str):
+    """Schema of a batch-folder table, with its ``writer`` and ``batch_id`` folder columns."""
+    return schema_of(table).add("writer", "string").add("batch_id", "long")
+
+
+def _others(spark: SparkSession, path: str, table: str, writer: str, batch_id: int) -> DataFrame:
     """A batch-folder table without this batch's own folder (a retry must not see its first try)."""
     df = read_table(spark, path, table)
     if "batch_id" in df.columns:
-        df = df.filter(F.col("batch_id") != batch_id).drop("batch_id")
+        own = (F.col("writer") == F.lit(writer)) & (F.col("batch_id") == F.lit(batch_id))
+        df = df.filter(~own).drop(*BATCH_COLUMNS)
     return df
 
 
-def staging_batch(batch: DataFrame, batch_id: int, staging_path: str, cities_path: str) -> None:
+def staging_batch(batch: DataFrame, batch_id: int, staging_path: str, cities_path: str, writer: str) -> None:
     spark = batch.sparkSession
     batch = batch.persist()
     try:
-        staged = _others(spark, staging_path, "staging", batch_id)
+        staged = _others(spark, staging_path, "staging", writer, batch_id)
         inc = increment(batch, staged, mode=ANTI)
-        write_batch(stage(inc), batch_id, staging_path)
-        known = _others(spark, cities_path, "cities", batch_id)
-        write_batch(new_cities(city_candidates(dedupe(inc)), known), batch_id, cities_path, partition_by=())
+        write_batch(stage(inc), batch_id, staging_path, writer=writer)
+        known = _others(spark, cities_path, "cities", writer, batch_id)
+        write_batch(new_cities(city_candidates(dedupe(inc)), known), batch_id, cities_path, partition_by=(),
+                    writer=writer)
     finally:
         batch.unpersist()
 
 
 def start_staging(raw: DataFrame, staging_path: str, cities_path: str, checkpoint: str,
                   trigger: dict | None = None):
+    tag = writer_tag(checkpoint)
     writer = raw.writeStream.outputMode("append").foreachBatch(
-        lambda df, bid: staging_batch(df, bid, staging_path, cities_path))
+        lambda df, bid: staging_batch(df, bid, staging_path, cities_path, tag))
     return start(writer, checkpoint, trigger)
