@@ -26,6 +26,12 @@ def epoch_to_instant(seconds) -> Column:
     return F.timestamp_seconds(_c(seconds))
 
 
+def to_utc(ts_wall, zone: str) -> Column:
+    """H2: a wall-clock time of ``zone`` -> the instant (UTC). For readings already in epoch
+    seconds this is not needed: ``epoch_to_instant`` is UTC by construction."""
+    return F.to_utc_timestamp(_c(ts_wall), zone)
+
+
 def epoch_to_wall(seconds) -> Column:
     """Epoch seconds -> ``timestamp_ntz`` holding the UTC wall-clock time."""
     return F.timestamp_add("SECOND", _c(seconds), F.expr(_EPOCH_NTZ))

@@ -22,12 +22,17 @@ def detect_changes(df: DataFrame) -> DataFrame:
 
     In (timestamp, id) order, a row's predecessor has the same time exactly when
     a row with the same (city_id, timestamp) and a smaller id exists. So a row is
-    a change iff it has the smallest id of its (city_id, timestamp) group; the
-    first reading of a city is a change. Computed as a hash aggregate (partial,
-    map-side) joined back on the key, instead of a ``lag`` window partitioned by
-    city: a city or a replayed key holding a third of all rows then never lands
-    in one task (AQE splits the skewed side of the join).
+    a change iff it is the smallest id of its (city_id, timestamp) group; the
+    first reading of a city is a change. The first row of every key comes from a
+    hash aggregate (partial, map-side: a key repeated a billion times is folded
+    in every map task), and is joined back on the row's own ``id``, which is
+    unique: neither a hot city nor a hot key ever lands in one task. (A ``lag``
+    window partitioned by city would put a hot city in one task; a join back on
+    the key would put a hot key in one task.)
     """
-    first = df.groupBy("city_id", "timestamp").agg(F.min("id").alias("_first_id"))
-    joined = df.join(first, ["city_id", "timestamp"], "left")
-    return joined.withColumn("is_change", F.col("id") == F.col("_first_id")).drop("_first_id")
+    first = (df.groupBy("city_id", "timestamp").agg(F.min("id").alias("_fid"))
+             .select(F.col("_fid"), F.col("city_id").alias("_fc"), F.col("timestamp").alias("_ft")))
+    cond = ((df["id"] == first["_fid"]) & df["city_id"].eqNullSafe(first["_fc"])
+            & df["timestamp"].eqNullSafe(first["_ft"]))
+    joined = df.join(first, cond, "left")
+    return joined.withColumn("is_change", F.col("_fid").isNotNull()).drop("_fid", "_fc", "_ft")

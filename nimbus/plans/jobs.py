@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 
 from nimbus.operators import audit
 from nimbus.operators.decode import messages_to_raw
+from nimbus.operators.metrics import counted, rows
 from nimbus.operators.rollup import hourly_avg
 from nimbus.operators.serving import city_series, conditions_card, find_city, hourly_overlay, last_hours
-from nimbus.operators.staging import ANTI, city_candidates, dedupe, increment, new_cities, stage
+from nimbus.operators.staging import ANTI, city_candidates, dedupe, increment, new_cities, to_staging
 from nimbus.schemas import PRIMARY_KEYS
 from nimbus.session import shared_dir
 from nimbus.sinks.tables import append_table, replace_table
@@ -42,16 +43,19 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def ingest_files(spark: SparkSession, messages_path: str, paths: Paths) -> None:
+def ingest_files(spark: SparkSession, messages_path: str, paths: Paths) -> dict:
     """L1 as a batch job over message files (the streaming form is ``nimbus.streaming.ingest``)."""
     msgs = cut(read_messages(spark, messages_path, stream=False))
     raw, bad = messages_to_raw(msgs)
+    raw, n_raw = counted(raw, "raw_rows")
+    bad, n_bad = counted(bad, "quarantined")
     append_table(raw, paths.raw)
     append_table(bad, paths.quarantine, partition_by=())
+    return {"raw_rows": rows(n_raw), "quarantined": rows(n_bad)}
 
 
 def update_staging(spark: SparkSession, paths: Paths, mode: str = ANTI,
-                   lookback_seconds: int | None = None) -> None:
+                   lookback_seconds: int | None = None) -> dict:
     """L2: raw increment -> de-duplicated staging rows, new cities inserted first.
 
     The increment is cut once and feeds both writes. Audits run before each
@@ -60,27 +64,34 @@ def update_staging(spark: SparkSession, paths: Paths, mode: str = ANTI,
     raw = read_table(spark, paths.raw, "raw")
     staged = read_table(spark, paths.staging, "staging")
     cities = read_table(spark, paths.cities, "cities")
-    inc = cut(increment(raw, staged, mode=mode, lookback_seconds=lookback_seconds))
-    add = cut(new_cities(city_candidates(dedupe(inc)), cities))
-    append_table(add, paths.cities, partition_by=(),
+    # de-duplicate before the anti join: the two commute (both act per key), and
+    # the partial group limit then folds replayed copies before any shuffle
+    inc = cut(increment(dedupe(raw), staged, mode=mode, lookback_seconds=lookback_seconds))
+    add = cut(new_cities(city_candidates(inc), cities))
+    add_out, n_cities = counted(add, "new_cities")
+    append_table(add_out, paths.cities, partition_by=(),
                  audits={"cities_pk": audit.pk_violations(add.unionByName(cities), PRIMARY_KEYS["cities"]),
                          "cities_not_null": audit.null_violations(add, ["name", "latitude", "longitude"], ["id"]),
                          "cities_country_length": audit.length_violations(add, "country", 5, ["id"])})
-    rows = stage(inc)
+    staged_rows = to_staging(inc)
     all_cities = read_table(spark, paths.cities, "cities")
-    append_table(rows, paths.staging,
-                 audits={"staging_key": audit.pk_violations(rows, PRIMARY_KEYS["staging_reading"]),
-                         "staging_city_fk": audit.fk_violations(rows, "city_id", all_cities, "id")})
+    out, n_staged = counted(staged_rows, "staged_rows")
+    append_table(out, paths.staging,
+                 audits={"staging_key": audit.pk_violations(staged_rows, PRIMARY_KEYS["staging_reading"]),
+                         "staging_city_fk": audit.fk_violations(staged_rows, "city_id", all_cities, "id")})
+    return {"new_cities": rows(n_cities), "staged_rows": rows(n_staged)}
 
 
-def rollup_hourly(spark: SparkSession, paths: Paths, source: str = "staging") -> None:
+def rollup_hourly(spark: SparkSession, paths: Paths, source: str = "staging") -> dict:
     """L3: full refresh of the hourly table from staging (or raw), audited before publishing."""
     src = read_table(spark, getattr(paths, source), source)
     out = cut(hourly_avg(src))
     cities = read_table(spark, paths.cities, "cities")
-    replace_table(out, paths.hourly,
-                  audits={"hourly_pk": audit.pk_violations(out, PRIMARY_KEYS["hourly"]),
-                          "hourly_city_fk": audit.fk_violations(out, "city_id", cities, "id")})
+    observed, n = counted(out, "hourly_rows")
+    target = replace_table(observed, paths.hourly,
+                           audits={"hourly_pk": audit.pk_violations(out, PRIMARY_KEYS["hourly"]),
+                                   "hourly_city_fk": audit.fk_violations(out, "city_id", cities, "id")})
+    return {"hourly_rows": rows(n), "generation": target}
 
 
 def current_card(spark: SparkSession, paths: Paths, name: str, country: str) -> DataFrame:

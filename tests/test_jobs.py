@@ -20,21 +20,24 @@ def sorted_rows(df):
 def test_pipeline_jobs(spark, tmp):
     paths = jobs.Paths(f"{tmp}/tables")
     write_messages(td.messages(spark, SF_SMALL, replay=True), f"{tmp}/messages")
-    jobs.ingest_files(spark, f"{tmp}/messages", paths)
+    m = jobs.ingest_files(spark, f"{tmp}/messages", paths)
     raw = spark.read.parquet(paths.raw)
+    assert m["raw_rows"] == raw.count() and m["quarantined"] == spark.read.parquet(paths.quarantine).count()
     events = td.readings(spark, SF_SMALL)
     valid = events.filter(F.col("id") % 3 != 0)
     assert spark.read.parquet(paths.quarantine).count() == events.count() - valid.count() + \
         events.filter((F.col("id") % 3 == 0) & (F.col("id") % 10 == 0)).count()
 
-    jobs.update_staging(spark, paths)
+    m = jobs.update_staging(spark, paths)
     stg = spark.read.parquet(paths.staging)
     n = stg.count()
+    assert m["staged_rows"] == n and m["new_cities"] == spark.read.parquet(paths.cities).count()
     assert n == valid.count() == stg.select("city_id", "timestamp").distinct().count()
     cities = spark.read.parquet(paths.cities)
     assert cities.count() == raw.select("city_id").distinct().count()
 
-    jobs.update_staging(spark, paths)                 # nothing new: adds nothing
+    m = jobs.update_staging(spark, paths)             # nothing new: adds nothing
+    assert m == {"new_cities": 0, "staged_rows": 0}
     assert spark.read.parquet(paths.staging).count() == n
     assert spark.read.parquet(paths.cities).count() == cities.count()
 

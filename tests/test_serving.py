@@ -98,3 +98,10 @@ def test_hourly_overlay_uses_city_offset(spark):
         .select("city_id", F.timestamp_seconds("h").alias("timestamp_hour"))
     got = {r.city_id: r.local_time for r in serving.hourly_overlay(hourly, stg).collect()}
     assert got[1] == dt.datetime(2025, 4, 13, 1, 30) and got[2] == dt.datetime(2025, 4, 12, 22, 30)
+
+
+def test_to_utc_from_zone_wall_time(spark):
+    from nimbus.functions.timecols import to_utc
+    df = spark.createDataFrame([(dt.datetime(2024, 7, 1, 12, 0),)], "w timestamp_ntz")
+    r = df.select(F.unix_seconds(to_utc(F.col("w").cast("string"), "Europe/London")).alias("s")).first()
+    assert r.s == 1719831600        # 12:00 BST = 11:00 UTC

@@ -29,7 +29,9 @@ def publish(spark, root):
 
 def ingest(spark, root, ck="ingest"):
     src = read_messages(spark, f"{root}/messages", stream=True, max_files_per_trigger=2)
-    run_to_end(start_ingest(src, f"{root}/raw", f"{root}/quarantine", f"{root}/_ck/{ck}", AVAILABLE_NOW))
+    q = start_ingest(src, f"{root}/raw", f"{root}/quarantine", f"{root}/_ck/{ck}", AVAILABLE_NOW)
+    run_to_end(q)
+    return q
 
 
 def rows(df, drop=()):
@@ -38,7 +40,10 @@ def rows(df, drop=()):
 
 def test_ingest_stream_equals_batch_and_restarts_add_nothing(spark, tmp):
     publish(spark, tmp)
-    ingest(spark, tmp)
+    q = ingest(spark, tmp)
+    seen = sum(p.observedMetrics["messages"]["rows"] for p in q.recentProgress
+               if "messages" in (p.observedMetrics or {}))
+    assert seen == read_messages(spark, f"{tmp}/messages", stream=False).count()
     streamed = spark.read.parquet(f"{tmp}/raw").drop("writer", "batch_id")
     batch_raw, batch_bad = messages_to_raw(read_messages(spark, f"{tmp}/messages", stream=False))
     assert rows(streamed.select(*batch_raw.columns)) == rows(batch_raw)
