@@ -95,3 +95,17 @@ def test_staging_hourly_dedupe_streams_equal_batch(spark, tmp):
     run_to_end(q)
     got = spark.table("dedupe_keys")
     assert got.count() == raw.select("city_id", "timestamp").distinct().count()
+
+
+def test_replay_under_new_checkpoint_adds_no_staging_rows(spark, tmp):
+    publish(spark, tmp)
+    ingest(spark, tmp)
+    run_to_end(start_staging(raw_stream(spark, f"{tmp}/raw"), f"{tmp}/staging", f"{tmp}/cities",
+                             f"{tmp}/_ck/staging", AVAILABLE_NOW))
+    n_raw = spark.read.parquet(f"{tmp}/raw").count()
+    n_stg = spark.read.parquet(f"{tmp}/staging").count()
+    ingest(spark, tmp, ck="replay")                      # the whole topic again, new checkpoint
+    assert spark.read.parquet(f"{tmp}/raw").count() == 2 * n_raw
+    run_to_end(start_staging(raw_stream(spark, f"{tmp}/raw"), f"{tmp}/staging", f"{tmp}/cities",
+                             f"{tmp}/_ck/staging", AVAILABLE_NOW))   # same staging query resumes
+    assert spark.read.parquet(f"{tmp}/staging").count() == n_stg
