@@ -7,7 +7,6 @@ not depend on the session zone; the zone is still pinned to UTC so that
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -65,8 +64,5 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def run_dir(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the shared folder for one job run."""
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path:
-        os.makedirs(path, exist_ok=True)
-    return path
+    """A fresh sub-folder of the shared folder for one job run (created by the first write)."""
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
