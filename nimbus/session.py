@@ -57,9 +57,9 @@ def shared_dir(spark: SparkSession) -> str:
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
-        d = tempfile.mkdtemp(prefix="nimbus-")
-        spark.conf.set("spark.checkpoint.dir", d)
-        spark.sparkContext.setCheckpointDir(d)
+        # Only outside a cluster (tests, a laptop): a cluster names its shared folder.
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="nimbus-"))
+        d = spark.sparkContext.getCheckpointDir()
     return d.rstrip("/")
 
 
