@@ -244,8 +244,8 @@ def _publish_messages(spark, d, root):
     msgs = td.messages(spark, d, replay=True)
     first = msgs.filter(F.col("offset") < td.REPLAY_ID_SHIFT)
     again = msgs.filter(F.col("offset") >= td.REPLAY_ID_SHIFT)
-    write_messages(first.repartitionByRange(4, "offset"), f"{root}/messages")
-    write_messages(again.repartitionByRange(2, "offset"), f"{root}/messages")
+    write_messages(first.repartitionByRange(16, "offset"), f"{root}/messages")
+    write_messages(again.repartitionByRange(4, "offset"), f"{root}/messages")
     return f"{root}/messages"
 
 
@@ -255,7 +255,7 @@ def _ingest(spark, d):
     from nimbus.streaming.ingest import start_ingest
     from nimbus.streaming.triggers import AVAILABLE_NOW, run_to_end
     root = run_dir(spark, "stream")
-    src = read_messages(spark, _publish_messages(spark, d, root), stream=True, max_files_per_trigger=2)
+    src = read_messages(spark, _publish_messages(spark, d, root), stream=True, max_files_per_trigger=8)
     run_to_end(start_ingest(src, f"{root}/raw", f"{root}/quarantine", f"{root}/_ck/ingest", AVAILABLE_NOW))
     return root
 
