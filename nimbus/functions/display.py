@@ -49,6 +49,12 @@ def daylight_minutes(sunrise, sunset) -> Column:
     return F.floor(F.pmod(_c(sunset) - _c(sunrise), F.lit(3600)) / F.lit(60)).cast("int")
 
 
+def daylight_text(sunrise, sunset) -> Column:
+    """H11: "12 hours, 05 minutes" (minutes two digits, as a clock duration prints)."""
+    return F.concat(daylight_hours(sunrise, sunset).cast("string"), F.lit(" hours, "),
+                    F.lpad(daylight_minutes(sunrise, sunset).cast("string"), 2, "0"), F.lit(" minutes"))
+
+
 def km(metres) -> Column:
     """Metres -> kilometres with one decimal."""
     return F.round(_c(metres) / F.lit(1000.0), 1)

@@ -70,6 +70,27 @@ def city_offsets(staging: DataFrame) -> DataFrame:
     return latest_per_city(staging).select("city_id", F.col("timezone").alias("city_timezone"))
 
 
+# The dashboard's record of the newest reading, (record field, source column).
+WEATHER_RECORD_FIELDS = [
+    ("city_id", "city_id"), ("city", "city"), ("country", "country"), ("latitude", "latitude"),
+    ("longitude", "longitude"), ("temperature", "temperature"), ("feels_like", "feels_like"),
+    ("humidity", "humidity"), ("wind_speed", "wind_speed"), ("wind_deg", "wind_direction"),
+    ("clouds", "cloud_coverage"), ("visibility", "visibility"), ("weather", "weather_description"),
+    ("weather_icon", "weather_icon"), ("sunrise", "sunrise"), ("sunset", "sunset"), ("timestamp", "timestamp"),
+    ("timezone_offset", "timezone"),
+]
+
+
+def weather_record(readings_with_city: DataFrame) -> DataFrame:
+    """The 18-field record the card is drawn from (renames included)."""
+    return readings_with_city.select(*[F.col(src).alias(name) for name, src in WEATHER_RECORD_FIELDS])
+
+
+def latest_records(staging: DataFrame, cities: DataFrame) -> DataFrame:
+    """B15 + E1 + C2: every city's newest reading as a dashboard record."""
+    return weather_record(with_city(latest_per_city(staging), cities))
+
+
 def conditions_card(staging: DataFrame, cities: DataFrame) -> DataFrame:
     """The current-conditions card of every city, from its newest reading.
 
@@ -95,6 +116,7 @@ def conditions_card(staging: DataFrame, cities: DataFrame) -> DataFrame:
         D.clock_text("sunset", tz).alias("sunset_text"),
         D.daylight_hours("sunrise", "sunset").alias("daylight_hours"),
         D.daylight_minutes("sunrise", "sunset").alias("daylight_minutes"),
+        D.daylight_text("sunrise", "sunset").alias("daylight_text"),
     )
 
 

@@ -177,6 +177,10 @@ def q_conditions_card(spark, d):
     return serving.conditions_card(_staging(spark, d), td.cities(spark, d))
 
 
+def q_weather_record(spark, d):
+    return serving.latest_records(_staging(spark, d), td.cities(spark, d))
+
+
 def q_pk_audit(spark, d):
     return audit.pk_violations(td.replayed_readings(spark, d), ["city_id", "timestamp"])
 
@@ -217,6 +221,7 @@ BATCH_QUERIES: dict[str, Query] = {
     "hour_midpoint_local": q_hour_midpoint_local,
     "daylight": q_daylight,
     "conditions_card": q_conditions_card,
+    "weather_record": q_weather_record,
     "pk_audit": q_pk_audit,
     "fk_audit": q_fk_audit,
     "null_audit": q_null_audit,

@@ -194,7 +194,17 @@ SELECT lat.city_id, k.name AS city, k.country, k.latitude, k.longitude, lat.time
   strftime({_local('sunrise', 'lat.timezone')}, '%I:%M %p') AS sunrise_text,
   strftime({_local('sunset', 'lat.timezone')}, '%I:%M %p') AS sunset_text,
   CAST(floor((sunset - sunrise) / 3600) AS INTEGER) AS daylight_hours,
-  CAST(floor(((sunset - sunrise) % 3600 + 3600) % 3600 / 60) AS INTEGER) AS daylight_minutes
+  CAST(floor(((sunset - sunrise) % 3600 + 3600) % 3600 / 60) AS INTEGER) AS daylight_minutes,
+  CAST(CAST(floor((sunset - sunrise) / 3600) AS INTEGER) AS VARCHAR) || ' hours, '
+    || lpad(CAST(CAST(floor(((sunset - sunrise) % 3600 + 3600) % 3600 / 60) AS INTEGER) AS VARCHAR), 2, '0')
+    || ' minutes' AS daylight_text
+FROM lat LEFT JOIN cities k ON lat.city_id = k.id"""
+
+SQL["weather_record"] = _with(READINGS, STAGING, CITIES) + """, lat AS (
+  SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY city_id ORDER BY timestamp DESC, id DESC) = 1)
+SELECT lat.city_id, k.name AS city, k.country, k.latitude, k.longitude, temperature, feels_like, humidity,
+  wind_speed, wind_direction AS wind_deg, cloud_coverage AS clouds, visibility, weather_description AS weather,
+  weather_icon, sunrise, sunset, timestamp, timezone AS timezone_offset
 FROM lat LEFT JOIN cities k ON lat.city_id = k.id"""
 
 SQL["pk_audit"] = _with(READINGS) + """SELECT city_id, timestamp, count(*) AS n_rows,

@@ -105,3 +105,9 @@ def test_decode_parses_once(spark):
     raw, _ = dec.messages_to_raw(messages(spark, edge_lines()))
     plan = raw._jdf.queryExecution().executedPlan().toString()
     assert plan.count("from_json") == 1
+
+
+def test_dt_is_exact_seconds(spark):
+    """A 32-bit float would snap 1744502465 to 1744502528; the 64-bit field keeps it."""
+    raw, _ = dec.messages_to_raw(messages(spark, [("a", variant(dt=1744502465)), ("b", variant(dt=1744502461))]))
+    assert sorted(r.timestamp for r in raw.collect()) == [1744502461, 1744502465]

@@ -26,12 +26,13 @@ def test_text_expressions(spark):
                   D.metric_text("c", "°C").alias("c"), D.km("vis").alias("km"),
                   D.updated_text("ts", "tz").alias("u"), D.clock_text("rise", "tz").alias("rise"),
                   D.daylight_hours("rise", "set").alias("h"), D.daylight_minutes("rise", "set").alias("m"),
+                  D.daylight_text("rise", "set").alias("dl"),
                   D.icon_url(F.lit("01d")).alias("icon")).first()
     assert (r.a, r.b, r.c) == ("0.3°C", "0.4°C", "0.0°C")
     assert r.km == 8.0
     assert r.u == "Sunday 7 January, 04:04 PM"
     assert r.rise == "07:00 AM"
-    assert (r.h, r.m) == (12, 33)
+    assert (r.h, r.m) == (12, 33) and r.dl == "12 hours, 33 minutes"
     assert r.icon.endswith("01d@2x.png")
 
 

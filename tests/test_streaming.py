@@ -109,3 +109,11 @@ def test_replay_under_new_checkpoint_adds_no_staging_rows(spark, tmp):
     run_to_end(start_staging(raw_stream(spark, f"{tmp}/raw"), f"{tmp}/staging", f"{tmp}/cities",
                              f"{tmp}/_ck/staging", AVAILABLE_NOW))   # same staging query resumes
     assert spark.read.parquet(f"{tmp}/staging").count() == n_stg
+
+
+def test_checkpoint_is_mandatory(spark, tmp):
+    import pytest
+    from nimbus.streaming.triggers import start
+    src = read_messages(spark, tmp, stream=True)
+    with pytest.raises(ValueError):
+        start(src.writeStream.format("noop"), "", AVAILABLE_NOW)
