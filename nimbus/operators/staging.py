@@ -38,7 +38,7 @@ def since(df: DataFrame, seconds: Column, strict: bool = False) -> DataFrame:
 
 
 def increment(raw: DataFrame, staging: DataFrame, mode: str = ANTI,
-              lookback_seconds: int | None = None) -> DataFrame:
+              lookback_seconds: int | None = None, dedupe_first: bool = False) -> DataFrame:
     """Raw readings not yet in staging.
 
     ``global``: readings newer than staging's single high-water mark (the
@@ -47,20 +47,26 @@ def increment(raw: DataFrame, staging: DataFrame, mode: str = ANTI,
     included. ``lookback_seconds`` bounds both sides to the last stretch of time
     before the mark, which keeps a daily run proportional to new data; without
     it the whole history is compared.
+    ``dedupe_first`` returns one row per key (``dedupe``) and applies it before
+    the anti join - the two commute, as both act per key - so replayed copies
+    are folded map-side before any shuffle and the join reuses the
+    de-duplication's partitioning. Every time bound is applied to ``raw``
+    before that, so its ``event_date`` partitions are pruned.
     Rows with a null key are left out here (see ``null_key_rows``).
     """
     keyed = raw.filter(F.col("city_id").isNotNull() & F.col("timestamp").isNotNull())
     mark = high_water(staging).scalar()
     if mode == GLOBAL:
-        return since(keyed, mark, strict=True)
+        new = since(keyed, mark, strict=True)
+        return dedupe(new) if dedupe_first else new
     if mode != ANTI:
         raise ValueError(f"unknown increment mode {mode!r}")
     if lookback_seconds is not None:
-        bound = mark - F.lit(lookback_seconds)
-        keyed = since(keyed, bound, strict=True)
+        keyed = since(keyed, mark - F.lit(lookback_seconds), strict=True)
     # Exact bound: staged rows older than the oldest candidate cannot match any of them.
     oldest = keyed.agg(F.min("timestamp")).scalar()
-    return keyed.join(since(staging, oldest).select(*KEY), KEY, "left_anti")
+    rows = dedupe(keyed) if dedupe_first else keyed
+    return rows.join(since(staging, oldest).select(*KEY), KEY, "left_anti")
 
 
 def dedupe(df: DataFrame, keys=tuple(KEY), order: list[Column] | None = None) -> DataFrame:

@@ -249,18 +249,25 @@ def _publish_messages(spark, d, root):
     msgs = td.messages(spark, d, replay=True)
     first = msgs.filter(F.col("offset") < td.REPLAY_ID_SHIFT)
     again = msgs.filter(F.col("offset") >= td.REPLAY_ID_SHIFT)
-    write_messages(first.repartitionByRange(16, "offset"), f"{root}/messages")
-    write_messages(again.repartitionByRange(4, "offset"), f"{root}/messages")
+    n = _message_files(spark)
+    write_messages(first.repartitionByRange(n, "offset"), f"{root}/messages")
+    write_messages(again.repartitionByRange(max(1, n // 4), "offset"), f"{root}/messages")
     return f"{root}/messages"
 
 
+def _message_files(spark) -> int:
+    """Files of the test topic: grows with the cluster, so a trigger's files keep every core busy."""
+    return max(16, 2 * spark.sparkContext.defaultParallelism)
+
+
 def _ingest(spark, d):
     from nimbus.session import run_dir
     from nimbus.sources.files import read_messages
     from nimbus.streaming.ingest import start_ingest
     from nimbus.streaming.triggers import AVAILABLE_NOW, run_to_end
     root = run_dir(spark, "stream")
-    src = read_messages(spark, _publish_messages(spark, d, root), stream=True, max_files_per_trigger=8)
+    src = read_messages(spark, _publish_messages(spark, d, root), stream=True,
+                        max_files_per_trigger=_message_files(spark) // 2)
     run_to_end(start_ingest(src, f"{root}/raw", f"{root}/quarantine", f"{root}/_ck/ingest", AVAILABLE_NOW))
     return root
 

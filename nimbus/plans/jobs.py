@@ -18,7 +18,7 @@ from nimbus.operators.decode import messages_to_raw
 from nimbus.operators.metrics import counted, rows
 from nimbus.operators.rollup import hourly_avg
 from nimbus.operators.serving import city_series, conditions_card, find_city, hourly_overlay, last_hours
-from nimbus.operators.staging import ANTI, city_candidates, dedupe, increment, new_cities, to_staging
+from nimbus.operators.staging import ANTI, city_candidates, increment, new_cities, to_staging
 from nimbus.schemas import PRIMARY_KEYS
 from nimbus.session import shared_dir
 from nimbus.sinks.tables import append_table, replace_table
@@ -64,9 +64,8 @@ def update_staging(spark: SparkSession, paths: Paths, mode: str = ANTI,
     raw = read_table(spark, paths.raw, "raw")
     staged = read_table(spark, paths.staging, "staging")
     cities = read_table(spark, paths.cities, "cities")
-    # de-duplicate before the anti join: the two commute (both act per key), and
-    # the partial group limit then folds replayed copies before any shuffle
-    inc = cut(increment(dedupe(raw), staged, mode=mode, lookback_seconds=lookback_seconds))
+    # one row per key, de-duplicated before the anti join (see ``increment``)
+    inc = cut(increment(raw, staged, mode=mode, lookback_seconds=lookback_seconds, dedupe_first=True))
     add = cut(new_cities(city_candidates(inc), cities))
     add_out, n_cities = counted(add, "new_cities")
     append_table(add_out, paths.cities, partition_by=(),

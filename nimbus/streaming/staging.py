@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nimbus.operators.staging import ANTI, city_candidates, dedupe, increment, new_cities, to_staging
+from nimbus.operators.staging import ANTI, city_candidates, increment, new_cities, to_staging
 from nimbus.sinks.batch import BATCH_COLUMNS, write_batch, writer_tag
 from nimbus.sources.tables import read_table, schema_of
 from nimbus.streaming.triggers import start
@@ -43,7 +43,7 @@ def staging_batch(batch: DataFrame, batch_id: int, staging_path: str, cities_pat
     batch = batch.persist()
     try:
         staged = _others(spark, staging_path, "staging", writer, batch_id)
-        inc = increment(dedupe(batch), staged, mode=ANTI).persist()
+        inc = increment(batch, staged, mode=ANTI, dedupe_first=True).persist()
         write_batch(to_staging(inc), batch_id, staging_path, writer=writer)
         known = _others(spark, cities_path, "cities", writer, batch_id)
         write_batch(new_cities(city_candidates(inc), known), batch_id, cities_path, partition_by=(),

@@ -102,3 +102,27 @@ def test_new_cities_and_insert_absent(spark):
     assert add2.count() == 0                      # twice = once
     assert sorted(r.id for r in after.collect()) == [7, 8]
     assert after.filter("id = 7").first().name == "Known"   # never updates
+
+
+def test_dedupe_first_equals_dedupe_after(spark):
+    rng = random.Random(2)
+    rows = [raw_row(id=i, city_id=rng.randrange(4), timestamp=rng.randrange(30), weather_pos=rng.randrange(2))
+            for i in range(300)]
+    raw = raw_df(spark, rows)
+    staged = st.stage(raw_df(spark, [r for r in rows if r["timestamp"] < 10]))
+    for mode in ("anti", "global"):
+        a = st.dedupe(st.increment(raw, staged, mode))
+        b = st.increment(raw, staged, mode, dedupe_first=True)
+        assert sorted(tuple(r) for r in a.collect()) == sorted(tuple(r) for r in b.collect())
+
+
+def test_lookback_prunes_raw_partitions(spark, tmp):
+    rows = [raw_row(id=i, city_id=1, timestamp=1_744_500_000 + i * 86400) for i in range(6)]
+    raw_df(spark, rows).write.partitionBy("event_date").parquet(f"{tmp}/raw")
+    st.stage(raw_df(spark, rows[:4])).write.partitionBy("event_date").parquet(f"{tmp}/stg")
+    raw, stg = spark.read.parquet(f"{tmp}/raw"), spark.read.parquet(f"{tmp}/stg")
+    inc = st.increment(raw, stg, "anti", lookback_seconds=2 * 86400, dedupe_first=True)
+    assert sorted(r.id for r in inc.collect()) == [4, 5]
+    plan = inc._jdf.queryExecution().executedPlan().toString()
+    scans = [ln for ln in plan.splitlines() if "FileScan parquet" in ln and "/raw" in ln]
+    assert scans and all("PartitionFilters: [isnotnull(event_date" in ln for ln in scans)
