@@ -112,3 +112,16 @@ def day_view(spark: SparkSession, paths: Paths, name: str, country: str, hours:
     hourly = last_hours(hourly, hours, now, ts="timestamp_hour")
     overlay = hourly_overlay(hourly, staged.join(F.broadcast(city), "city_id", "left_semi"))
     return series, overlay.orderBy(F.col("timestamp_hour").desc())
+
+
+def publish_stream_hourly(spark: SparkSession, hourly_stream_path: str, paths: Paths) -> dict:
+    """L3 for the streaming form: the latest version of every (city, hour) written by the
+    hourly stream (``nimbus.streaming.hourly``) becomes a new audited generation of the table."""
+    from nimbus.streaming.hourly import read_hourly
+    out = cut(read_hourly(spark, hourly_stream_path))
+    cities = read_table(spark, paths.cities, "cities")
+    observed, n = counted(out, "hourly_rows")
+    target = replace_table(observed, paths.hourly,
+                           audits={"hourly_pk": audit.pk_violations(out, PRIMARY_KEYS["hourly"]),
+                                   "hourly_city_fk": audit.fk_violations(out, "city_id", cities, "id")})
+    return {"hourly_rows": rows(n), "generation": target}

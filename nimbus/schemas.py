@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# The message contract (field names and types of the weather service's
+# current-conditions document) and the raw table's column names below.
 # One current-weather reading as published on the message bus. Every field is
 # nullable. ``dt`` is epoch seconds as a 64-bit integer (a 32-bit float would
 # snap it to multiples of 128 s near 1.7e9).

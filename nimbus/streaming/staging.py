@@ -17,8 +17,13 @@ from nimbus.streaming.triggers import start
 
 
 def raw_stream(spark: SparkSession, raw_path: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """New files of the raw table as a stream (schema fixed; ``batch_id`` from the folder names)."""
-    r = spark.readStream.schema(batch_table_schema("raw"))
+    """New files of the raw table as a stream (schema fixed; ``batch_id`` from the folder names).
+
+    A retried ingest batch rewrites its folder under new file names; a listed
+    file that vanished meanwhile is skipped (``ignoreMissingFiles``) because its
+    rows come back in the rewritten files, which the stream picks up next.
+    """
+    r = spark.readStream.schema(batch_table_schema("raw")).option("ignoreMissingFiles", "true")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return r.parquet(raw_path).drop(*BATCH_COLUMNS)

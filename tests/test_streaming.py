@@ -89,6 +89,14 @@ def test_staging_hourly_dedupe_streams_equal_batch(spark, tmp):
     run_to_end(start_hourly(stg_stream.drop("writer", "batch_id"), f"{tmp}/hourly", f"{tmp}/_ck/hourly",
                             trigger=AVAILABLE_NOW))
     assert rows(comparable(read_hourly(spark, f"{tmp}/hourly"))) == expected_hourly
+    # publish the stream's hourly versions as the hourly table (needs the cities table)
+    from nimbus.plans import jobs
+    from nimbus.sources.tables import read_current
+    paths = jobs.Paths(f"{tmp}/tables")
+    cities.write.parquet(paths.cities)
+    m = jobs.publish_stream_hourly(spark, f"{tmp}/hourly", paths)
+    assert rows(comparable(read_current(spark, paths.hourly))) == expected_hourly
+    assert m["hourly_rows"] == len(expected_hourly)
 
     keys = dedupe_stream(raw_stream(spark, f"{tmp}/raw")).select("city_id", "timestamp")
     q = keys.writeStream.format("memory").queryName("dedupe_keys").trigger(availableNow=True).start()
