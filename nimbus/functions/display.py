@@ -13,9 +13,10 @@ COMPASS_POINTS = ["N", "NE", "E", "SE", "S", "SW", "W", "NW", "N"]
 # Image address of a weather icon code: prefix + code + suffix.
 ICON_URL_PREFIX = "http://openweathermap.org/img/wn/"
 ICON_URL_SUFFIX = "@2x.png"
-# Text layouts (Python strftime in the reference; the same text in Spark's pattern letters).
-UPDATED_PATTERN = "EEEE d MMMM, hh:mm a"      # "%A %-d %B, %I:%M %p"
-CLOCK_PATTERN = "hh:mm a"                      # "%I:%M %p"
+# Text layouts: "%A %-d %B, %I:%M %p" (last updated) and "%I:%M %p" (clock), English names.
+DAY_NAMES = ["Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday"]
+MONTH_NAMES = ["January", "February", "March", "April", "May", "June", "July", "August", "September",
+               "October", "November", "December"]
 
 
 def wind_octant(degrees) -> Column:
@@ -29,14 +30,29 @@ def wind_octant(degrees) -> Column:
     return F.try_element_at(F.array(*[F.lit(p) for p in COMPASS_POINTS]), idx + F.lit(1))
 
 
+def _names(names: list[str]) -> Column:
+    return F.array(*[F.lit(n) for n in names])
+
+
+def _clock(wall: Column) -> Column:
+    """"03:04 PM" from a wall time. Built from its fields (``hour``/``minute`` of a
+    ``timestamp_ntz`` read no zone), not with ``date_format``, which converts through
+    the session zone and would move wall times that fall in a DST gap of that zone."""
+    h = F.hour(wall)
+    return F.format_string("%02d:%02d %s", F.pmod(h + F.lit(11), F.lit(12)) + F.lit(1), F.minute(wall),
+                           F.when(h < 12, F.lit("AM")).otherwise(F.lit("PM")))
+
+
 def updated_text(seconds, offset_seconds) -> Column:
     """H9: "Sunday 7 January, 03:04 PM" in the city's local time."""
-    return F.date_format(local_wall(seconds, offset_seconds), UPDATED_PATTERN)
+    wall = local_wall(seconds, offset_seconds)
+    return F.format_string("%s %d %s, %s", F.element_at(_names(DAY_NAMES), F.dayofweek(wall)),
+                           F.dayofmonth(wall), F.element_at(_names(MONTH_NAMES), F.month(wall)), _clock(wall))
 
 
 def clock_text(seconds, offset_seconds) -> Column:
     """H10: "06:12 AM" in the city's local time (sunrise, sunset)."""
-    return F.date_format(local_wall(seconds, offset_seconds), CLOCK_PATTERN)
+    return _clock(local_wall(seconds, offset_seconds))
 
 
 def daylight_hours(sunrise, sunset) -> Column:

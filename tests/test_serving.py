@@ -106,3 +106,18 @@ def test_to_utc_from_zone_wall_time(spark):
     df = spark.createDataFrame([(dt.datetime(2024, 7, 1, 12, 0),)], "w timestamp_ntz")
     r = df.select(F.unix_seconds(to_utc(F.col("w").cast("string"), "Europe/London")).alias("s")).first()
     assert r.s == 1719831600        # 12:00 BST = 11:00 UTC
+
+
+def test_texts_ignore_session_zone_even_in_dst_gaps(spark):
+    # 2024-03-10 02:30 does not exist in New York; the city's wall clock still reads it
+    ts = 1710037800          # 2024-03-10 02:30 UTC
+    df = spark.createDataFrame([(ts, 0, 1704067200, 0)], "ts long, tz int, mid long, z int")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ["UTC", "America/New_York", "Asia/Kolkata"]:
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            r = df.select(D.updated_text("ts", "tz").alias("u"), D.clock_text("ts", "tz").alias("c"),
+                          D.clock_text("mid", "z").alias("m")).first()
+            assert (r.u, r.c, r.m) == ("Sunday 10 March, 02:30 AM", "02:30 AM", "12:00 AM"), zone
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
