@@ -121,3 +121,13 @@ def test_texts_ignore_session_zone_even_in_dst_gaps(spark):
             assert (r.u, r.c, r.m) == ("Sunday 10 March, 02:30 AM", "02:30 AM", "12:00 AM"), zone
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_wind_octant_matches_python_half_even_rounding(spark):
+    import random
+    rng = random.Random(9)
+    degs = [rng.uniform(0, 360) for _ in range(2000)] + [22.5 * k for k in range(17)] + [float(k) for k in range(361)]
+    df = spark.createDataFrame([(d,) for d in degs], "d double")
+    got = [r.o for r in df.select(D.wind_octant("d").alias("o")).collect()]
+    expected = [D.COMPASS_POINTS[round((d % 360) / 45)] for d in degs]
+    assert got == expected
