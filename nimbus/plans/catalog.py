@@ -257,7 +257,11 @@ def _publish_messages(spark, d, root):
 
 def _message_files(spark) -> int:
     """Files of the test topic: grows with the cluster, so a trigger's files keep every core busy."""
-    return max(16, 2 * spark.sparkContext.defaultParallelism)
+    try:
+        cores = spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - Spark Connect
+        cores = 8
+    return max(16, 2 * cores)
 
 
 def _ingest(spark, d):

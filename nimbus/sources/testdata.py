@@ -131,10 +131,12 @@ def spread(df: DataFrame) -> DataFrame:
     parsing JSON is per-row work worth spreading. Inputs that already have
     enough splits (any large table) are left alone, so no shuffle is added at scale.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - a Spark Connect session exposes neither; leave the input as is
         return df
-    return df.repartition(cores)
+    return df if splits >= cores else df.repartition(cores)
 
 
 def _weather_list(r: Column) -> Column:
