@@ -63,7 +63,11 @@ def split_valid(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
     The reference drops the second group silently (explode of a null or empty
     list); here it is kept so it can be inspected and replayed.
     """
-    ex = explode_weather(decoded)
+    return split_exploded(explode_weather(decoded))
+
+
+def split_exploded(ex: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """B12 on an already exploded frame (``parse_messages``): two filters on the position."""
     valid = ex.filter(F.col("weather_pos").isNotNull())
     bad = ex.filter(F.col("weather_pos").isNull()).select(
         F.col("id").alias("city_id"), F.col("dt").alias("timestamp"),
@@ -107,7 +111,21 @@ def flatten(decoded: DataFrame, coords: list[str] | None = None) -> DataFrame:
     return project_readings(split_valid(decoded)[0], coords)
 
 
+def parse_messages(messages: DataFrame) -> DataFrame:
+    """Message text -> decoded and exploded rows: the one JSON parse of a message.
+
+    A caller with two outputs (readings and quarantine) caches this frame, so
+    each message is parsed once, not once per output.
+    """
+    return explode_weather(decode(message_text(messages)))
+
+
+def raw_and_quarantine(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(raw rows, quarantined messages) of ``parse_messages`` output."""
+    valid, bad = split_exploded(parsed)
+    return project_readings(valid), bad
+
+
 def messages_to_raw(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """L1 transform: message text -> (raw rows, quarantined messages), one parse per message."""
-    valid, bad = split_valid(decode(message_text(messages)))
-    return project_readings(valid), bad
+    return raw_and_quarantine(parse_messages(messages))

@@ -343,3 +343,91 @@ STREAM_QUERIES: dict[str, Query] = {
 }
 
 ALL_QUERIES.update(STREAM_QUERIES)
+
+
+# --- composite jobs (L2-L5) over table folders ------------------------------------------------
+# Each run provisions the tables as a deployment has them before the run - raw holding every
+# (replayed) reading, staging as of the middle of the range with the late cities missing, the
+# cities known so far - then runs the job functions of ``nimbus.plans.jobs`` (audited writes,
+# table generations) and reads the resulting table back.
+
+def _job_tables(spark, d):
+    from nimbus.plans import jobs
+    from nimbus.session import run_dir
+    paths = jobs.Paths(run_dir(spark, "tables"))
+    td.replayed_readings(spark, d).write.partitionBy("event_date").parquet(paths.raw)
+    td.staging_before(spark, d).write.partitionBy("event_date").parquet(paths.staging)
+    td.known_cities(spark, d).write.parquet(paths.cities)
+    return paths
+
+
+def _after_staging_job(spark, d):
+    """Tables after L2 (late-safe increment)."""
+    from nimbus.plans import jobs
+    paths = _job_tables(spark, d)
+    jobs.update_staging(spark, paths, mode=staging.ANTI)
+    return paths
+
+
+def _after_hourly_job(spark, d):
+    """Tables after L2 then L3 (audited full refresh of hourly)."""
+    from nimbus.plans import jobs
+    paths = _after_staging_job(spark, d)
+    jobs.rollup_hourly(spark, paths)
+    return paths
+
+
+def q_job_update_staging(spark, d):
+    from nimbus.schemas import STAGING_COLUMNS
+    from nimbus.sources.tables import read_table
+    paths = _after_staging_job(spark, d)
+    return comparable(read_table(spark, paths.staging, "staging").select(*STAGING_COLUMNS))
+
+
+def q_job_cities(spark, d):
+    from nimbus.schemas import CITY_COLUMNS
+    from nimbus.sources.tables import read_table
+    paths = _after_staging_job(spark, d)
+    return read_table(spark, paths.cities, "cities").select(*CITY_COLUMNS)
+
+
+def q_job_rollup_hourly(spark, d):
+    from nimbus.sources.tables import read_current
+    paths = _after_hourly_job(spark, d)
+    return comparable(read_current(spark, paths.hourly, "hourly"))
+
+
+def q_job_current_card(spark, d):
+    from nimbus.plans import jobs
+    paths = _after_staging_job(spark, d)
+    name, country = td.NAMED_CITY
+    return jobs.current_card(spark, paths, name, country)
+
+
+def _day_view(spark, d):
+    from nimbus.plans import jobs
+    from nimbus.sources.tables import read_table
+    paths = _after_hourly_job(spark, d)
+    name, country = td.NAMED_CITY
+    now = serving.newest(read_table(spark, paths.staging, "staging"))
+    return jobs.day_view(spark, paths, name, country, 24, now=now)
+
+
+def q_job_day_series(spark, d):
+    return comparable(_day_view(spark, d)[0])
+
+
+def q_job_day_overlay(spark, d):
+    return comparable(_day_view(spark, d)[1])
+
+
+JOB_QUERIES: dict[str, Query] = {
+    "job_update_staging": q_job_update_staging,
+    "job_cities": q_job_cities,
+    "job_rollup_hourly": q_job_rollup_hourly,
+    "job_current_card": q_job_current_card,
+    "job_day_series": q_job_day_series,
+    "job_day_overlay": q_job_day_overlay,
+}
+
+ALL_QUERIES.update(JOB_QUERIES)

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nimbus.operators import audit
-from nimbus.operators.decode import messages_to_raw
+from nimbus.operators.decode import parse_messages, raw_and_quarantine
 from nimbus.operators.metrics import counted, rows
 from nimbus.operators.rollup import hourly_avg
 from nimbus.operators.serving import city_series, conditions_card, find_city, hourly_overlay, last_hours
@@ -45,8 +45,8 @@ def cut(df: DataFrame) -> DataFrame:
 
 def ingest_files(spark: SparkSession, messages_path: str, paths: Paths) -> dict:
     """L1 as a batch job over message files (the streaming form is ``nimbus.streaming.ingest``)."""
-    msgs = cut(read_messages(spark, messages_path, stream=False))
-    raw, bad = messages_to_raw(msgs)
+    # parsed once and cut: both outputs read the checkpoint, the text is never parsed twice
+    raw, bad = raw_and_quarantine(cut(parse_messages(read_messages(spark, messages_path, stream=False))))
     raw, n_raw = counted(raw, "raw_rows")
     bad, n_bad = counted(bad, "quarantined")
     append_table(raw, paths.raw)

@@ -237,3 +237,34 @@ SQL["stream_dedupe"] = _with(READINGS) + """SELECT DISTINCT city_id, timestamp F
 
 # Sanity: every READING column is in the flatten select list.
 assert all(c in _FLAT for c in READING_COLUMNS), _READING_LIST
+
+# --- composite jobs -----------------------------------------------------------------------------
+# After L2 staging holds, for every key of the replayed raw table, the row with the lowest id:
+# the rows staged before the run are such rows (their keys are unique in ``r``) and the run adds
+# the first row of every other key. So staging after the job is ``s``.
+SQL["job_update_staging"] = SQL["staging_dedupe"]
+
+# New cities come from the run's increment (keys not staged before), newest reading first.
+SQL["job_cities"] = _with(READINGS, STAGING, CITIES) + """, inc AS (
+  SELECT * FROM rp WHERE NOT EXISTS (SELECT 1 FROM sb WHERE sb.city_id = rp.city_id AND sb.timestamp = rp.timestamp)),
+cand AS (
+  SELECT city_id, city, country, latitude, longitude FROM inc
+  QUALIFY row_number() OVER (PARTITION BY city_id ORDER BY timestamp DESC, id) = 1)
+SELECT * FROM known UNION ALL
+SELECT city_id AS id, city AS name, country, latitude, longitude FROM cand WHERE city_id NOT IN (SELECT id FROM known)"""
+
+SQL["job_rollup_hourly"] = SQL["hourly_avg_staging"]
+
+SQL["job_current_card"] = SQL["conditions_card"] + f"\nWHERE lat.city_id = {NAMED_CITY}"
+
+SQL["job_day_series"] = SQL["city_series"]
+
+SQL["job_day_overlay"] = _with(READINGS, STAGING, CITIES, HOURLY.format(src="s")) + f""", off AS (
+  SELECT city_id, timezone AS city_timezone FROM s
+  QUALIFY row_number() OVER (PARTITION BY city_id ORDER BY timestamp DESC, id DESC) = 1)
+SELECT h.city_id, make_timestamp(h.hour_s * 1000000) AS timestamp_hour,
+  round(avg_temp, 6) AS avg_temp, round(avg_humidity, 6) AS avg_humidity,
+  round(avg_wind_speed, 6) AS avg_wind_speed, round(avg_cloud_coverage, 6) AS avg_cloud_coverage,
+  off.city_timezone, make_timestamp((h.hour_s + 1800 + off.city_timezone) * 1000000) AS local_time
+FROM h LEFT JOIN off ON h.city_id = off.city_id
+WHERE h.city_id = {NAMED_CITY} AND h.hour_s >= (SELECT max(timestamp) FROM s) - 86400"""

@@ -19,6 +19,10 @@ CLUSTER_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # size post-shuffle tasks by bytes, not by the default parallelism: fewer, fuller
+    # tasks, and a partitioned write opens (tasks x dates) files, not (partitions x dates)
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.files.maxPartitionBytes": "256MB",
