@@ -242,17 +242,55 @@ ALL_QUERIES: dict[str, Query] = dict(BATCH_QUERIES)
 # Each run writes under a fresh folder of the shared checkpoint folder: the messages
 # (the "topic"), the tables the streams write and their checkpoints.
 
-def _publish_messages(spark, d, root):
-    """The bus: original messages first, then the redelivered copies in later files."""
+_FIXTURES: dict[tuple, str] = {}
+
+
+def _session_fixture(spark, d, name, write) -> str:
+    """A read-only input derived from the test tables, written once per session and scale.
+
+    Queries only read it (each writes its outputs under its own fresh folder),
+    so sharing it changes no result; it is written again if its folder is gone.
+    """
+    import os
+    from nimbus.session import run_dir
+    key = (spark.sparkContext.applicationId if _has_context(spark) else id(spark), d, name)
+    path = _FIXTURES.get(key)
+    if path is None or (path.startswith(("/", "file:")) and not os.path.exists(path.removeprefix("file:"))):
+        path = run_dir(spark, f"fixture-{name}")
+        write(path)
+        _FIXTURES[key] = path
+    return path
+
+
+def _has_context(spark) -> bool:
+    try:
+        spark.sparkContext
+        return True
+    except Exception:  # noqa: BLE001 - Spark Connect
+        return False
+
+
+def _publish_messages(spark, d, root=None):
+    """The bus: original messages first, then the redelivered copies in later files.
+
+    The topic is input only (streams read it, never write it), so one copy per
+    session serves every stream key; ``root`` forces a private copy.
+    """
     from nimbus.sources.files import write_messages
     from pyspark.sql import functions as F
-    msgs = td.messages(spark, d, replay=True)
-    first = msgs.filter(F.col("offset") < td.REPLAY_ID_SHIFT)
-    again = msgs.filter(F.col("offset") >= td.REPLAY_ID_SHIFT)
-    n = _message_files(spark)
-    write_messages(first.repartitionByRange(n, "offset"), f"{root}/messages")
-    write_messages(again.repartitionByRange(max(1, n // 4), "offset"), f"{root}/messages")
-    return f"{root}/messages"
+
+    def publish(path):
+        msgs = td.messages(spark, d, replay=True)
+        first = msgs.filter(F.col("offset") < td.REPLAY_ID_SHIFT)
+        again = msgs.filter(F.col("offset") >= td.REPLAY_ID_SHIFT)
+        n = _message_files(spark)
+        write_messages(first.repartitionByRange(n, "offset"), path)
+        write_messages(again.repartitionByRange(max(1, n // 4), "offset"), path)
+
+    if root is not None:
+        publish(f"{root}/messages")
+        return f"{root}/messages"
+    return _session_fixture(spark, d, "topic", publish)
 
 
 def _message_files(spark) -> int:
@@ -270,7 +308,7 @@ def _ingest(spark, d):
     from nimbus.streaming.ingest import start_ingest
     from nimbus.streaming.triggers import AVAILABLE_NOW, run_to_end
     root = run_dir(spark, "stream")
-    src = read_messages(spark, _publish_messages(spark, d, root), stream=True,
+    src = read_messages(spark, _publish_messages(spark, d), stream=True,
                         max_files_per_trigger=_message_files(spark) // 2)
     run_to_end(start_ingest(src, f"{root}/raw", f"{root}/quarantine", f"{root}/_ck/ingest", AVAILABLE_NOW))
     return root
@@ -354,8 +392,10 @@ ALL_QUERIES.update(STREAM_QUERIES)
 def _job_tables(spark, d):
     from nimbus.plans import jobs
     from nimbus.session import run_dir
-    paths = jobs.Paths(run_dir(spark, "tables"))
-    td.replayed_readings(spark, d).write.partitionBy("event_date").parquet(paths.raw)
+    # raw is only read by the jobs: one copy per session serves every job key
+    raw = _session_fixture(spark, d, "raw", lambda path: td.replayed_readings(spark, d)
+                           .write.partitionBy("event_date").parquet(path))
+    paths = jobs.Paths(run_dir(spark, "tables"), locations={"raw": raw})
     td.staging_before(spark, d).write.partitionBy("event_date").parquet(paths.staging)
     td.known_cities(spark, d).write.parquet(paths.cities)
     return paths

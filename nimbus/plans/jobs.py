@@ -8,7 +8,7 @@ and every output sees the same rows.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,14 +26,22 @@ from nimbus.sources.files import read_messages
 from nimbus.sources.tables import read_current, read_table
 
 
+TABLES = ("raw", "staging", "cities", "hourly", "quarantine")
+
+
 @dataclass
 class Paths:
-    """Locations of the four tables (plus the quarantine) under one root."""
+    """Locations of the four tables (plus the quarantine) under one root.
+
+    ``locations`` places single tables elsewhere, e.g. raw in the landing zone
+    the ingest writes to while the derived tables live under ``root``.
+    """
     root: str
+    locations: dict[str, str] = field(default_factory=dict)
 
     def __getattr__(self, name: str) -> str:
-        if name in ("raw", "staging", "cities", "hourly", "quarantine"):
-            return f"{self.root.rstrip('/')}/{name}"
+        if name in TABLES:
+            return self.locations.get(name) or f"{self.root.rstrip('/')}/{name}"
         raise AttributeError(name)
 
 
