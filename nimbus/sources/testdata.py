@@ -37,7 +37,7 @@ def _lon(key: Column) -> Column:
 
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw table: one reading per event, ``id`` = ``event_id``."""
-    e = table(spark, sf_dir, "events").withColumn("_t", wall_to_epoch("ts"))
+    e = spread(table(spark, sf_dir, "events")).withColumn("_t", wall_to_epoch("ts"))
     eid, uid, t = F.col("event_id"), F.col("user_id"), F.col("_t")
     day = t - F.pmod(t, F.lit(86400))
     minute_shift = (uid % 60) * 60
@@ -180,7 +180,7 @@ def messages(spark: SparkSession, sf_dir: str, replay: bool = False) -> DataFram
     ``offset`` is the event id; with ``replay`` every tenth message is delivered
     again at a new offset (same text), as after a producer retry.
     """
-    r = spread(readings(spark, sf_dir))
+    r = readings(spark, sf_dir)
     m = r.select(F.lit("readings").alias("topic"), F.lit(0).alias("partition"),
                  F.col("id").alias("offset"), payload_json(r).alias("value"))
     if replay:
