@@ -71,3 +71,24 @@ def test_staging_refuses_unknown_cities_violation(spark, tmp):
     with pytest.raises(ConstraintViolation):
         append_table(bad, paths.cities, partition_by=(),
                      audits={"len": audit.length_violations(bad, "country", 5, ["id"])})
+
+
+def test_backfill_write_is_clustered_by_date(spark, tmp):
+    """A many-day increment is range-clustered before the partitioned write: each task writes one
+    or two date folders, not one file per (task, date)."""
+    import os
+    r = td.readings(spark, SF_SMALL)
+    days = r.select("event_date").distinct().count()
+    assert days >= 7
+    wide = r.repartition(4, "city_id", "timestamp")          # as after the de-duplication shuffle
+    out = jobs.clustered_by_date(wide, 7)
+    assert out is not wide
+    out.write.partitionBy("event_date").parquet(f"{tmp}/clustered")
+    wide.write.partitionBy("event_date").parquet(f"{tmp}/hashed")
+
+    def files(p):
+        return sum(1 for _, _, fs in os.walk(p) for f in fs if f.endswith(".parquet"))
+    assert files(f"{tmp}/clustered") < files(f"{tmp}/hashed")
+    assert sorted_rows(spark.read.parquet(f"{tmp}/clustered")) == sorted_rows(r)
+    daily = r.filter(F.col("event_date") == r.agg(F.min("event_date")).first()[0])
+    assert jobs.clustered_by_date(daily, 7) is daily                # a daily increment is left as is
