@@ -41,22 +41,22 @@ def _staging(spark, d):
     return staging.stage(td.replayed_readings(spark, d))
 
 
-def _table(df: DataFrame, name: str) -> DataFrame:
-    """Write a derived test table to the shared folder (partitioned by ``event_date`` like the
-    real tables) and read it back, for queries that reference it several times (scalar
-    subqueries included): they then scan a table instead of recomputing its lineage."""
-    from nimbus.session import run_dir
-    path = run_dir(df.sparkSession, name)
-    df.write.mode("overwrite").partitionBy("event_date").parquet(path)
-    return df.sparkSession.read.parquet(path)
+def _table(spark, d, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A derived test table in the shared folder (partitioned by ``event_date`` like the real
+    tables), for queries that reference it several times (scalar subqueries included): they
+    then scan a table instead of recomputing its lineage. The queries only read it, so it is
+    written once per session and scale (``_session_fixture``)."""
+    path = _session_fixture(spark, d, name,
+                            lambda p: build().write.mode("overwrite").partitionBy("event_date").parquet(p))
+    return spark.read.parquet(path)
 
 
 def _staging_table(spark, d):
-    return _table(_staging(spark, d), "staging")
+    return _table(spark, d, "staging", lambda: _staging(spark, d))
 
 
 def _staging_before_table(spark, d):
-    return _table(td.staging_before(spark, d), "staging_before")
+    return _table(spark, d, "staging_before", lambda: td.staging_before(spark, d))
 
 
 def q_flatten_explode(spark, d):
