@@ -417,6 +417,16 @@ def _after_hourly_job(spark, d):
     return paths
 
 
+def q_job_ingest_files(spark, d):
+    """L1 as a batch job over the topic's message files: the raw table it appends."""
+    from nimbus.plans import jobs
+    from nimbus.session import run_dir
+    from nimbus.sources.tables import read_table
+    paths = jobs.Paths(run_dir(spark, "tables"))
+    jobs.ingest_files(spark, _publish_messages(spark, d), paths)
+    return read_table(spark, paths.raw, "raw").select(*READING_COLUMNS, "weather_pos", "event_date")
+
+
 def q_job_update_staging(spark, d):
     from nimbus.schemas import STAGING_COLUMNS
     from nimbus.sources.tables import read_table
@@ -462,6 +472,7 @@ def q_job_day_overlay(spark, d):
 
 
 JOB_QUERIES: dict[str, Query] = {
+    "job_ingest_files": q_job_ingest_files,
     "job_update_staging": q_job_update_staging,
     "job_cities": q_job_cities,
     "job_rollup_hourly": q_job_rollup_hourly,

@@ -239,6 +239,9 @@ SQL["stream_dedupe"] = _with(READINGS) + """SELECT DISTINCT city_id, timestamp F
 assert all(c in _FLAT for c in READING_COLUMNS), _READING_LIST
 
 # --- composite jobs -----------------------------------------------------------------------------
+# The batch ingest reads the same topic files as the ingest stream: the same raw rows.
+SQL["job_ingest_files"] = SQL["stream_raw"]
+
 # After L2 staging holds, for every key of the replayed raw table, the row with the lowest id:
 # the rows staged before the run are such rows (their keys are unique in ``r``) and the run adds
 # the first row of every other key. So staging after the job is ``s``.
