@@ -21,7 +21,7 @@ from nimbus.operators.serving import city_series, conditions_card, find_city, ho
 from nimbus.operators.staging import ANTI, city_candidates, increment, new_cities, to_staging
 from nimbus.schemas import PRIMARY_KEYS
 from nimbus.session import shared_dir
-from nimbus.sinks.tables import append_table, replace_table
+from nimbus.sinks.tables import append_table, clustered_by_date, replace_table
 from nimbus.sources.files import read_messages
 from nimbus.sources.tables import read_current, read_table
 
@@ -62,24 +62,6 @@ def ingest_files(spark: SparkSession, messages_path: str, paths: Paths) -> dict:
     return {"raw_rows": rows(n_raw), "quarantined": rows(n_bad)}
 
 
-def clustered_by_date(df: DataFrame, max_days: int = 7, keys=("city_id", "timestamp")) -> DataFrame:
-    """Lay rows out for a write partitioned by ``event_date``.
-
-    Rows arriving hash-partitioned on a key put every date in every task, so a
-    partitioned write opens (tasks x dates) files: harmless for a daily
-    increment, millions of small files for a backfill over years. When ``df``
-    spans more than ``max_days`` dates it is range-partitioned on
-    ``(event_date, *keys)``: each task then holds a contiguous slice of one or
-    two dates (a hot city's day is split by time), and AQE sizes the tasks.
-    The span is one small aggregate over a single column of ``df``, which
-    should be a checkpoint or a table.
-    """
-    span = df.agg(F.datediff(F.max("event_date"), F.min("event_date")).alias("d")).first().d
-    if span is None or span < max_days:
-        return df
-    return df.repartitionByRange(F.col("event_date"), *[F.col(k) for k in keys])
-
-
 def update_staging(spark: SparkSession, paths: Paths, mode: str = ANTI,
                    lookback_seconds: int | None = None, cluster_days: int = 7) -> dict:
     """L2: raw increment -> de-duplicated staging rows, new cities inserted first.

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from nimbus.operators.staging import ANTI, city_candidates, increment, new_cities, to_staging
 from nimbus.sinks.batch import BATCH_COLUMNS, write_batch, writer_tag
+from nimbus.sinks.tables import clustered_by_date
 from nimbus.sources.tables import read_table, schema_of
 from nimbus.streaming.triggers import start
 
@@ -49,7 +50,8 @@ def staging_batch(batch: DataFrame, batch_id: int, staging_path: str, cities_pat
     try:
         staged = _others(spark, staging_path, "staging", writer, batch_id)
         inc = increment(batch, staged, mode=ANTI, dedupe_first=True).persist()
-        write_batch(to_staging(inc), batch_id, staging_path, writer=writer)
+        # a catch-up batch after downtime can span many days: cluster it like the batch job
+        write_batch(clustered_by_date(to_staging(inc)), batch_id, staging_path, writer=writer)
         known = _others(spark, cities_path, "cities", writer, batch_id)
         write_batch(new_cities(city_candidates(inc), known), batch_id, cities_path, partition_by=(),
                     writer=writer)
