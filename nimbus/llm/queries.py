@@ -4,14 +4,41 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from nimbus.llm import near_dup, packing, token_counts
+from nimbus.llm import decontaminate, hnsw, html_text, language_id, near_dup, packing, token_counts, toxicity, url_filter
 from nimbus.llm.common import table
 
 
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (url_filter.judge(table(spark, sf_dir, "pages").select("page_id", "url"))
+            .select("page_id", "host", "path", "rule", "verdict", "template", "purity"))
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.learn(docs, labels, ~toxicity.fold())
+    return (toxicity.score(docs, model).withColumn("held_out", toxicity.fold())
+            .select("doc_id", "held_out", "score", "predicted"))
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.learn(docs, ~language_id.fold())
+    return (language_id.predict(docs, model).withColumn("held_out", language_id.fold())
+            .select("doc_id", "held_out", "lang_pred", "score"))
+
+
+def op4_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hnsw.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -20,6 +47,14 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op5_near_duplicates, op7_packing, op8_token_counts)}
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_url_filter, op2_toxicity, op3_language_id, op4_nearest_vectors, op5_near_duplicates, op6_decontamination,
+    op7_packing, op8_token_counts, op10_html_text)}
 
+#: These operators are learned, sketched, tokenized or parsed: none has a SQL form over whole tables. tests/llm hold each
+#: against a brute-force version or held-out accuracy.
 SQL: dict[str, str] = {}
