@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +13,7 @@ from nimbus.session import run_dir
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -29,3 +34,20 @@ def work_folder(spark: SparkSession, name: str) -> str:
 def held_out(doc_id: str, mod: int, rest: int):
     """Whether a row belongs to the fold ``crc32(doc_id as text) mod m = rest`` (a null id never does)."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % mod == rest, F.lit(False))
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, as ``--py-files`` would (once a session)."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    top = Path(__file__).resolve().parents[2]
+    to = Path(tempfile.mkdtemp(prefix="nimbus-py-")) / "nimbus_package.zip"      # on the driver; Spark serves it
+    with zipfile.ZipFile(to, "w") as z:
+        for f in sorted((top / "nimbus").rglob("*.py")):
+            z.write(f, f.relative_to(top))
+    sc.addPyFile(str(to))
+    _shipped.add(sc.applicationId)

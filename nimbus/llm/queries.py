@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from nimbus.llm import decontaminate, hnsw, html_text, language_id, near_dup, packing, token_counts, toxicity, url_filter
+from nimbus.llm import decontaminate, hnsw, html_text, language_id, near_dup, packing, secrets, token_counts, toxicity, url_filter
 from nimbus.llm.common import table
 
 
@@ -47,13 +47,18 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"))
 
 
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return secrets.find(docs, secrets.learn(secrets.weak_findings(docs)))
+
+
 def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
 QUERIES = {f.__name__: f for f in (
     op1_url_filter, op2_toxicity, op3_language_id, op4_nearest_vectors, op5_near_duplicates, op6_decontamination,
-    op7_packing, op8_token_counts, op10_html_text)}
+    op7_packing, op8_token_counts, op9_secrets, op10_html_text)}
 
 #: These operators are learned, sketched, tokenized or parsed: none has a SQL form over whole tables. tests/llm hold each
 #: against a brute-force version or held-out accuracy.
