@@ -1,15 +1,15 @@
 """Near-duplicate documents by b-bit MinHash.
 
 Each document keeps K minima of its shingle set. Bands of ``ROWS`` minima make candidates; of every minimum
-only the low ``BITS`` bits are kept, packed into four longs, and the similarity of a candidate pair is
+only the low ``BITS`` bits are kept, packed into longs, and the similarity of a candidate pair is
 estimated from the number of equal b-bit values, corrected for chance collisions. Estimates only discard:
 pairs that pass are confirmed on their full shingle sets.
 
 Only connectivity is asked for, so work on large groups is linear: documents with equal sets are one class
-from the start; then, in a few rounds, every document of a shared bucket is compared with one random
-document (the pivot) of that bucket, and what links is contracted. The last round compares, within the
-buckets that still hold several components, every pair of documents of different components, so no
-candidate is left out. Hot buckets are dealt over many tasks there. Components come from alternating
+from the start; then, in a few rounds, every document meets one random document (the pivot) of each of its
+buckets, is confirmed with the most similar one, and what links is contracted. The last round compares, within the
+buckets that still hold several components, every pair of documents of different components, so no candidate is
+left out. Hot buckets are dealt over many tasks there. Components come from alternating
 large-star and small-star steps, all in DataFrames.
 
 Chance that a pair of similarity 0.75 shares no band: (1 - 0.75^4)^32 = 5e-6.
@@ -23,17 +23,18 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from nimbus.llm.common import cut, work_folder
 from nimbus.llm.shingles import mix, shingle_sets
 
-ROWS, BANDS, BITS = 4, 32, 2
-K = ROWS * BANDS
+ROWS, BANDS = 4, 32
+K, BITS = 512, 2          # the first ROWS * BANDS minima make the bands, all of them the estimate
+LONGS = K * BITS // 64
 LEAST = 0.75              # similarity of a link
-MARGIN = 0.15             # estimates below LEAST - MARGIN are discarded: over 3 standard errors at K = 128
-PIVOT_ROUNDS = 2
+MARGIN = 0.09             # estimates below LEAST - MARGIN are discarded: 3.9 standard errors, a chance of 5e-5 at 0.75
+PIVOT_ROUNDS, PIVOTS, BEST = 3, 4, 2
 BUCKET_ROWS = 2048        # rows of a hot bucket that one task compares with the bucket
 
 _rng = np.random.default_rng(7)
@@ -41,7 +42,8 @@ _XOR = _rng.integers(0, 1 << 32, K, dtype=np.uint64).astype(np.uint32)
 _MUL = _rng.integers(0, 1 << 32, K, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
 _BAND = _rng.integers(0, 1 << 63, (BANDS, ROWS), dtype=np.uint64) | np.uint64(1)
 _PART = 1 << 16
-SIGNATURES = "doc_id long, n int, h1 long, h2 long, s0 long, s1 long, s2 long, s3 long, bands array<long>"
+SIG = [f"s{i}" for i in range(LONGS)]
+SIGNATURES = f"doc_id long, n int, h1 long, h2 long, {', '.join(f'{c} long' for c in SIG)}, bands array<long>"
 
 
 def minima(sets: list[np.ndarray]) -> np.ndarray:
@@ -59,14 +61,14 @@ def minima(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def packed(low: np.ndarray) -> np.ndarray:
-    """The low BITS bits of K minima in four longs."""
+    """The low BITS bits of each row's minima, packed into longs."""
     per = 64 // BITS
-    bits = (low & np.uint32((1 << BITS) - 1)).astype(np.uint64).reshape(len(low), K // per, per)
+    bits = (low & np.uint32((1 << BITS) - 1)).astype(np.uint64).reshape(len(low), -1, per)
     return (bits << (np.arange(per, dtype=np.uint64) * np.uint64(BITS))).sum(axis=2, dtype=np.uint64).view(np.int64)
 
 
 def band_keys(m: np.ndarray) -> np.ndarray:
-    parts = m.astype(np.uint64).reshape(len(m), BANDS, ROWS)
+    parts = m[:, :ROWS * BANDS].astype(np.uint64).reshape(len(m), BANDS, ROWS)
     keys = (parts * _BAND).sum(axis=2, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64)
     return mix(keys).view(np.int64)
 
@@ -79,10 +81,10 @@ def _signatures(batches):
         def flush():
             full = [s for s in held if len(s)]
             m = minima(full) if full else np.empty((0, K), np.uint32)
-            sig, keys = packed(m) if full else np.empty((0, 4), np.int64), band_keys(m)
+            sig, keys = packed(m) if full else np.empty((0, LONGS), np.int64), band_keys(m)
             n = np.array([len(s) for s in held], dtype=np.int32)
             h = np.zeros((len(held), 2), dtype=np.uint64)
-            sigs = np.zeros((len(held), 4), dtype=np.int64)
+            sigs = np.zeros((len(held), LONGS), dtype=np.int64)
             for i, s in enumerate(held):
                 if len(s):
                     h[i] = np.sum(s, dtype=np.uint64), np.sum(mix(s + np.uint64(0x51ED270B)), dtype=np.uint64)
@@ -93,9 +95,9 @@ def _signatures(batches):
             return pa.RecordBatch.from_arrays(
                 [ids.slice(at, len(held)), pa.array(n), pa.array(h[:, 0].view(np.int64)),
                  pa.array(np.ascontiguousarray(h[:, 1]).view(np.int64)),
-                 *(pa.array(np.ascontiguousarray(sigs[:, i])) for i in range(4)),
+                 *(pa.array(np.ascontiguousarray(sigs[:, i])) for i in range(LONGS)),
                  pa.ListArray.from_arrays(pa.array(offs), pa.array(keys.reshape(-1)))],
-                names=["doc_id", "n", "h1", "h2", "s0", "s1", "s2", "s3", "bands"])
+                names=["doc_id", "n", "h1", "h2", *SIG, "bands"])
 
         for s in shingle_sets(batch.column(1)):
             held.append(s)
@@ -131,15 +133,30 @@ def _confirm(batches):
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2)], names=["a", "b"]).filter(pa.array(keep))
 
 
+_ONES = sum(1 << k for k in range(0, 64, BITS))
+_ONES -= _ONES >> 63 << 64
+
+
+def _differing(x: str) -> str:
+    """SQL: of the b-bit values whose exclusive or is the long ``x``, how many are not 0."""
+    for k in (1 << e for e in range(BITS.bit_length() - 1)):
+        x = f"({x} | shiftrightunsigned({x}, {k}))"
+    return f"bit_count({x} & {_ONES}L)"
+
+
+def _equal(a: str, b: str):
+    """How many of the K b-bit values of two packed signatures are equal."""
+    return F.expr(f"{K} - (" + " + ".join(_differing(f"({a}.{c} ^ {b}.{c})") for c in SIG) + ")")
+
+
+def _at_least(equal, k: int, similarity: float):
+    c = 2.0 ** -BITS              # b-bit values of different minima are equal by chance
+    return equal >= k * (c + (1 - c) * similarity)
+
+
 def _similar(a: str, b: str):
-    """SQL: collision-corrected estimate of two packed signatures, and the bound from the set sizes."""
-    other = " + ".join(
-        f"bit_count((({a}.s{i} ^ {b}.s{i}) | shiftrightunsigned({a}.s{i} ^ {b}.s{i}, 1)) & 6148914691236517205L)"
-        for i in range(4))
-    c = 2.0 ** -BITS
-    least_equal = K * (c + (1 - c) * (LEAST - MARGIN))
-    return F.expr(f"({K} - ({other})) >= {least_equal}"
-                  f" AND least({a}.n, {b}.n) >= {LEAST}D * greatest({a}.n, {b}.n)")
+    """The collision-corrected estimate, and the bound from the set sizes."""
+    return F.expr(f"least({a}.n, {b}.n) >= {LEAST}D * greatest({a}.n, {b}.n)") & _at_least(_equal(a, b), K, LEAST - MARGIN)
 
 
 def components(edges: DataFrame, root: str, name: str) -> DataFrame:
@@ -181,19 +198,22 @@ def near_duplicates(docs: DataFrame, root: str | None = None) -> DataFrame:
                  .withColumnRenamed("doc_id", "id"), root, "unique")
 
     # one class may hold an id that another class has too (repeated ids); the class hash keeps them apart
-    dealt = unique.select("id", F.explode("bands").alias("key"))
+    dealt = unique.select("id", F.posexplode("bands").alias("band", "key"))
     shared = dealt.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1")
     members = cut(dealt.join(shared, "key"), root, "members")
-    sig = unique.select("id", "n", "s0", "s1", "s2", "s3")
+    bands = unique.select("id", "bands")
+    sig = unique.select("id", "n", *SIG)
     texts = docs.filter(F.col("doc_id").isNotNull())
 
+    def texts_of(ids: DataFrame) -> DataFrame:
+        return texts.join(ids.distinct(), texts.doc_id == F.col("id"), "left_semi").dropDuplicates(["doc_id"])
+
     def confirmed(pairs: DataFrame, name: str) -> DataFrame:
         pairs = cut(pairs.filter("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
                     .distinct(), root, f"pairs-{name}")
-        ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-        reps = unique.select("id").join(ids, "id", "left_semi")
         # written, so that the joins with it are plain ones and a hot pivot's pairs can be dealt over many tasks
-        held = cut(texts.join(reps, texts.doc_id == reps.id, "left_semi").dropDuplicates(["doc_id"]), root, f"texts-{name}")
+        held = cut(texts_of(pairs.select(F.col("a").alias("id")).distinct().unionByName(pairs.select(F.col("b").alias("id")).distinct())),
+                   root, f"texts-{name}")
         both = (pairs.join(held.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
                 .join(held.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
                 .select("a", "text_a", "b", "text_b"))
@@ -214,29 +234,34 @@ def near_duplicates(docs: DataFrame, root: str | None = None) -> DataFrame:
     tested, left, comps = [], members.withColumn("comp", F.col("id")), None
     for k in range(PIVOT_ROUNDS + 1):
         if comps is not None:
-            left = members.join(comps, "id", "left").select("key", "m", "id", F.coalesce("comp", "id").alias("comp"))
-        mixed = (left.groupBy("key").agg(F.min("comp").alias("least"), F.max("comp").alias("most"),
-                                         F.min(F.struct(F.xxhash64("id", F.lit(k)).alias("o"), "id", "comp")).alias("p"))
-                 .filter("least != most").select("key", "p"))
+            left = members.join(comps, "id", "left").select("key", "band", "m", "id", F.coalesce("comp", "id").alias("comp"))
+        mixed = (left.groupBy("key").agg(F.min("comp").alias("least"), F.max("comp").alias("most"))
+                 .filter("least != most").select("key"))
         rows = left.join(mixed, "key")
         if k < PIVOT_ROUNDS:
-            # the pivot each document shares most buckets with
-            star = (rows.filter("comp != p.comp").groupBy("id", F.col("p.id").alias("pivot")).agg(F.count("*").alias("c"))
-                    .groupBy("id").agg(F.max(F.struct("c", F.expr("-pivot").alias("o"), "pivot")).alias("best"))
-                    .select("id", F.col("best.pivot").alias("pivot")))
+            # each bucket's pivots, others in every bucket and round; of those a document meets, the most similar
+            rows = cut(rows, root, f"rows-{k}")
+            rank = Window.partitionBy("key").orderBy(F.xxhash64("id", "key", F.lit(k)), "id")
+            pivots = (rows.withColumn("r", F.row_number().over(rank)).filter(F.col("r") <= PIVOTS)
+                      .select("key", F.col("id").alias("pivot"), F.col("comp").alias("other")))
+            star = rows.join(cut(pivots, root, f"pivots-{k}"), "key").filter("comp != other").select("id", "pivot").distinct()
             a, b = sig.alias("a"), sig.alias("b")
             pairs = (star.alias("p").join(a, F.expr("a.id = p.id")).join(b, F.expr("b.id = p.pivot"))
-                     .filter(_similar("a", "b")).select(F.expr("a.id").alias("a"), F.expr("b.id").alias("b")))
+                     .filter(_similar("a", "b")).select(F.expr("a.id").alias("a"), F.expr("b.id").alias("b"), _equal("a", "b").alias("e")))
         else:
-            wide = (rows.join(sig, "id").withColumn("parts", F.expr(f"cast(ceil(m / {BUCKET_ROWS}D) as int)"))
-                    .select("key", "id", "comp", "n", "s0", "s1", "s2", "s3", "parts"))
+            wide = (rows.join(sig, "id").join(bands, "id").withColumn("parts", F.expr(f"cast(ceil(m / {BUCKET_ROWS}D) as int)"))
+                    .select("key", "band", "id", "comp", "n", *SIG, "bands", "parts"))
+            # a pair comes from the first band it shares
+            first = F.expr("NOT arrays_overlap(slice(a.bands, 1, a.band), slice(b.bands, 1, a.band))")
             a = wide.withColumn("salt", F.expr("cast(pmod(xxhash64(id), parts) as int)")).alias("a")
             b = wide.withColumn("salt", F.explode(F.expr("sequence(0, parts - 1)"))).alias("b")
-            pairs = (a.join(b, F.expr("a.key = b.key AND a.salt = b.salt AND a.comp < b.comp") & _similar("a", "b"))
+            pairs = (a.join(b, F.expr("a.key = b.key AND a.salt = b.salt AND a.comp < b.comp") & _similar("a", "b") & first)
                      .select(F.expr("a.id").alias("a"), F.expr("b.id").alias("b")))
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         for t in tested:
-            pairs = pairs.join(t, ["a", "b"], "left_anti")
+            pairs = pairs.join(t, [F.least(pairs.a, pairs.b) == t.a, F.greatest(pairs.a, pairs.b) == t.b], "left_anti")
+        if k < PIVOT_ROUNDS:
+            best = Window.partitionBy("a").orderBy(F.desc("e"), "b")
+            pairs = pairs.withColumn("r", F.row_number().over(best)).filter(F.col("r") <= BEST)
         found = confirmed(pairs, str(k))
         tested.append(spark.read.parquet(f"{root}/pairs-{k}"))
         if not found.isEmpty():

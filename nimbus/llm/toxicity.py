@@ -4,7 +4,8 @@
    smallest hash of their id, the documented bound of the fit): words whose documents are toxic with a Wilson lower
    bound of ``PURITY`` or more, in at least ``SUPPORT`` of the toxic documents and in several different
    contexts (copies of one text don't make a term), are the terms. Their number is bounded by
-   mean words of a document / SUPPORT.
+   mean words of a document / SUPPORT. Beginnings of 4 to 7 letters that several such words share are stems by
+   the same test, so a term's unseen forms count too.
 2. Misspellings: words are run against a trie of the terms by the bit-parallel simulation of the Levenshtein
    automaton of the word; look-alike digits and signs count as the letters they stand for. Words that the
    clean training documents use are no misspellings.
@@ -33,6 +34,7 @@ from nimbus.llm.common import held_out
 
 TOXIC_ROWS, CLEAN_ROWS = 8000, 12000
 SUPPORT, PURITY, CONTEXTS = 0.002, 0.5, 4
+STEMS, STEM_WORDS = (7, 6, 5, 4), 3
 THRESHOLD = 0.7
 WINDOW = 8                  # words on either side of a hit
 QUOTED, REPORTED, ADDRESSED, MISSPELLED = 0.35, 0.6, 1.3, 0.6
@@ -112,6 +114,7 @@ def reach(term: str) -> int:
 @dataclass
 class Model:
     weights: dict[str, float]
+    stems: dict[str, float] = field(default_factory=dict)
     clean: frozenset[str] = frozenset()
     beta: list[float] = field(default_factory=list)
     prior: float = 0.0
@@ -120,10 +123,10 @@ class Model:
         self.trie, self.known = Trie(self.weights), {}
 
     def __getstate__(self):
-        return self.weights, self.clean, self.beta, self.prior
+        return self.weights, self.stems, self.clean, self.beta, self.prior
 
     def __setstate__(self, state):
-        self.weights, self.clean, self.beta, self.prior = state
+        self.weights, self.stems, self.clean, self.beta, self.prior = state
         self.__post_init__()
 
     def term(self, word: str) -> tuple[str, bool] | None:
@@ -133,6 +136,8 @@ class Model:
         found = None
         if word in self.weights:
             found = (word, False)
+        elif stem := next((word[:n] for n in STEMS if len(word) > n and word[:n] in self.stems), None):
+            found = (stem, False)
         elif word not in self.clean and not word.isdigit():
             plain = word.translate(_LOOKS)
             if plain != word and plain in self.weights:
@@ -164,7 +169,7 @@ class Model:
             before = low[spans[lo][0]:spans[i][0]]
             after = low[spans[i][1]:spans[hi - 1][1]]
             around = words[lo:hi]
-            value, quoted = self.weights[term], False
+            value, quoted = self.weights.get(term) or self.stems[term], False
             if any(q in before for q in _QUOTES) and any(q in after for q in _QUOTES):
                 value, quoted = value * QUOTED, True
             elif not _REPORT.isdisjoint(around):
@@ -201,7 +206,8 @@ def _contexts(terms):
             found = set()
             for text in batch.column(0).to_pylist():
                 words = ["", *tokens(text or ""), ""]
-                found |= {(w, f"{words[i - 1]} {words[i + 1]}") for i, w in enumerate(words) if w in terms}
+                for i, w in enumerate(words):
+                    found |= {(x, f"{words[i - 1]} {words[i + 1]}") for x in (w, *(w[:n] + "*" for n in STEMS if len(w) > n)) if x in terms}
             yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.string()) for k in (0, 1)],
                                              names=["word", "context"])
     return run
@@ -210,7 +216,7 @@ def _contexts(terms):
 def _near_words(model):
     def run(batches):
         for batch in batches:
-            words = [w for w in batch.column(0).to_pylist() if w not in model.weights and model.term(w)]
+            words = [w for w in batch.column(0).to_pylist() if (t := model.term(w)) and t[1]]
             yield pa.RecordBatch.from_arrays([pa.array(words, pa.string())], names=["word"])
     return run
 
@@ -269,15 +275,22 @@ def learn(docs: DataFrame, labels: DataFrame, usable=None) -> Model:
                   .agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))).persist()
         maybe = [r for r in counts.filter(F.col("n1") >= max(CONTEXTS, SUPPORT * n1)).filter("n1 >= n0").collect()
                  if wilson(r["n1"], r["n1"] + r["n0"]) >= PURITY and not r["word"].isdigit()]
+        begin = F.explode(F.array(*[F.when(F.length("word") > n, F.expr(f"concat(left(word, {n}), '*')")) for n in STEMS]))
+        stems = (counts.select(begin.alias("word"), "n0", "n1").filter("word IS NOT NULL").groupBy("word")
+                 .agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), F.count(F.when(F.col("n1") > F.col("n0"), 1)).alias("words"))
+                 .filter((F.col("words") >= STEM_WORDS) & (F.col("n1") >= max(CONTEXTS, SUPPORT * n1)) & (F.col("n1") >= F.col("n0"))))
+        maybe += [r for r in stems.collect() if wilson(r["n1"], r["n1"] + r["n0"], 3.3) >= PURITY and r["word"][:-1].isalpha()]
         many = (train.filter("toxic = 1").select("text").mapInArrow(_contexts({r["word"] for r in maybe}), "word string, context string")
                 .distinct().groupBy("word").count())
         contexts = {r["word"]: r["count"] for r in many.collect()}                           # a row for each candidate
         weights = {r["word"]: float(np.log((r["n1"] + 0.5) / (n1 + 1) * (n0 + 1) / (r["n0"] + 0.5))) for r in maybe
                    if wilson(contexts.get(r["word"], 0), contexts.get(r["word"], 0) + r["n0"]) >= PURITY}
-        model = Model(weights)
+        stems = {w[:-1]: v for w, v in weights.items() if w.endswith("*")}
+        weights = {w: v for w, v in weights.items() if not w.endswith("*")}
+        model = Model(weights, stems)
         # words of the bounded sample within reach of a term that clean documents use
         clean = counts.filter("n0 > 0 AND n0 >= n1").select("word").mapInArrow(_near_words(model), "word string").collect()
-        model = Model(weights, frozenset(r["word"] for r in clean))
+        model = Model(weights, stems, frozenset(r["word"] for r in clean))
         rows = train.select("text", "toxic").mapInArrow(_features(model), "x array<double>, toxic int").collect()
         counts.unpersist()
     finally:
