@@ -18,6 +18,7 @@ reported under their smallest id; repeated documents are reported each; extra co
 from __future__ import annotations
 
 import re
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -27,19 +28,57 @@ from pyspark.sql import functions as F
 Q = 12
 RATE = 0.05
 BLOCK_CHARS = 4 << 20
-PART_CHARS = 1 << 20
+PART_CHARS = 1 << 18
 BITMAP = 22
 MATCHES = 'doc_id long, item_id long, start long, "end" long, edits int'.replace('"', "`")
 
 _OTHER = re.compile(r"[\W_]+")
-_B = np.uint64(0x9E3779B97F4A7C15)
-_B2, _B4, _B8 = (np.uint64(pow(int(_B), k, 1 << 64)) for k in (2, 4, 8))
+_B = np.uint32(0x9E3779B1)
+_B2, _B4 = (np.uint32(pow(int(_B), k, 1 << 32)) for k in (2, 4))
+_APART = np.uint32(0x110000)         # no character: stands between texts
 
 
 def normal(text: str) -> str:
     return _OTHER.sub(" ", text.lower()).strip()
 
 
+@lru_cache(maxsize=1)
+def _signs() -> np.ndarray:
+    """For each code point whether it is a letter or digit, as ``_OTHER`` says."""
+    out = np.zeros(0x110001, dtype=bool)
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for m in re.finditer(r"[^\W_]+", "".join(map(chr, points))):
+        out[points[m.start()]:points[m.end() - 1] + 1] = True
+    out[0xD800:0xE000] = False
+    return out
+
+
+def normals(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Code points of the normal forms one after the other, ``_APART`` after each, and their starts and lengths."""
+    low = [t.lower() for t in texts]
+    codes = np.frombuffer("\0".join([*low, ""]).encode("utf-32-le", "surrogatepass"), np.uint32).copy()
+    ends = np.cumsum([len(t) + 1 for t in low]) - 1
+    codes[ends] = _APART
+    sign = _signs()[codes]
+    sign[ends] = True
+    space = ~sign
+    # of a run of other signs the first is a space, unless a text begins or ends there
+    first = space.copy()
+    first[1:] &= sign[:-1]
+    codes[space] = 32
+    at = np.flatnonzero(sign | first)
+    codes = codes[at]
+    blank = codes == 32
+    drop = blank.copy()
+    drop[1:] &= codes[:-1] == _APART
+    if len(blank):
+        drop[:-1] |= blank[:-1] & (codes[1:] == _APART)
+    codes = codes[~drop]
+    ends = np.flatnonzero(codes == _APART)
+    starts = np.append(0, ends[:-1] + 1)[:len(ends)]
+    return codes, starts, ends - starts
+
+
 def places(text: str) -> list[int]:
     """For each character of ``normal(text)`` its place in ``text``, and the text's end."""
     out, low = [], []
@@ -57,13 +96,13 @@ def places(text: str) -> list[int]:
 def qgrams(codes: np.ndarray) -> np.ndarray:
     """Hash of the Q = 8 + 4 characters from each place on."""
     if len(codes) < Q:
-        return np.empty(0, np.uint64)
-    c = codes.astype(np.uint64) * np.uint64(0xD1B54A32D192ED03) + np.uint64(1)
+        return np.empty(0, np.uint32)
+    c = (codes + np.uint32(1)) * np.uint32(0x85EBCA6B)
     two = c[:-1] * _B + c[1:]
     four = two[:-2] * _B2 + two[2:]
     eight = four[:-4] * _B4 + four[4:]
     h = eight[:-4] * _B4 + four[8:]
-    return h ^ (h >> np.uint64(29))
+    return h ^ (h >> np.uint32(15))
 
 
 class Index:
@@ -83,7 +122,7 @@ class Index:
         self.edits = np.minimum((RATE * sizes).astype(np.int64), np.maximum(0, (sizes - Q) // Q))
         self.least = sizes - Q + 1 - Q * self.edits
         grams = [qgrams(c) for c in self.codes]
-        h = np.concatenate(grams) if grams else np.empty(0, np.uint64)
+        h = np.concatenate(grams) if grams else np.empty(0, np.uint32)
         item = np.repeat(np.arange(len(grams)), [len(g) for g in grams]) if grams else np.empty(0, np.int64)
         place = np.concatenate([np.arange(len(g)) for g in grams]) if grams else np.empty(0, np.int64)
         order = np.argsort(h, kind="stable")
@@ -91,12 +130,12 @@ class Index:
         self.hash, self.first = np.unique(h[order], return_index=True)
         self.count = np.diff(np.append(self.first, len(h)))
         self.map = np.zeros(1 << BITMAP, dtype=bool)
-        self.map[(self.hash >> np.uint64(64 - BITMAP)).astype(np.int64)] = True
+        self.map[(self.hash >> np.uint32(32 - BITMAP))] = True
 
     def bands(self, codes: np.ndarray):
         """(passage, first diagonal) of the bands that hold enough shared q-grams."""
         h = qgrams(codes)
-        at = np.flatnonzero(self.map[(h >> np.uint64(64 - BITMAP)).astype(np.int64)])
+        at = np.flatnonzero(self.map[h >> np.uint32(32 - BITMAP)])
         if not len(at) or not len(self.hash):
             return []
         k = np.minimum(np.searchsorted(self.hash, h[at]), len(self.hash) - 1)
@@ -154,32 +193,46 @@ def align(passage: np.ndarray, codes: np.ndarray, low: int, width: int, edits: i
 def matches(index: Index, texts: list[str]):
     """For each text the list of (passage id, start, end, edits) in its normal form."""
     out: list[list] = [[] for _ in texts]
-    normals = [normal(t) for t in texts]
     at = 0
     while at < len(texts):
         to, size = at, 0
-        while to < len(texts) and (to == at or size + len(normals[to]) <= PART_CHARS):
-            size += len(normals[to]) + 1
+        while to < len(texts) and (to == at or size + len(texts[to]) <= PART_CHARS):
+            size += len(texts[to])
             to += 1
-        # texts stand apart by a sign that no normal text has
-        joined = "\x00".join(normals[at:to])
-        codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
-        lens = np.array([len(n) for n in normals[at:to]], dtype=np.int64)
-        first = np.cumsum(lens + 1) - (lens + 1)
+        codes, first, lens = normals(texts[at:to])
+        places: dict[tuple[int, int], list[int]] = {}
         for item, low in index.bands(codes):
             edits, passage = int(index.edits[item]), index.codes[item]
-            lo, width = low - edits, 4 * edits + 4
-            # a band may touch two or three texts; each is aligned by itself
-            a = int(np.searchsorted(first, max(0, lo), "right")) - 1
-            b = int(np.searchsorted(first, lo + width + len(passage), "left"))
+            low -= edits
+            # a band may touch two or three texts; each is looked at by itself
+            a = int(np.searchsorted(first, max(0, low), "right")) - 1
+            b = int(np.searchsorted(first, low + 4 * edits + 4 + len(passage), "left"))
             for d in range(max(0, a), max(a + 1, b)):
-                own = codes[first[d]:first[d] + lens[d]]
-                got = align(passage, own, lo - int(first[d]), width, edits) if len(own) + edits >= len(passage) else None
+                if lens[d] + edits >= len(passage):
+                    places.setdefault((d, item), []).append(low - int(first[d]))
+        for (d, item), lows in places.items():
+            edits, passage = int(index.edits[item]), index.codes[item]
+            own = codes[first[d]:first[d] + lens[d]]
+            found: list[tuple] = []
+            # equal places first: they need no alignment
+            whole, part, k = own.tobytes(), passage.tobytes(), -1
+            while (k := whole.find(part, k + 1)) >= 0:
+                if k % 4 == 0:
+                    found.append((index.ids[item], k // 4, k // 4 + len(passage), 0))
+            done = -1 << 60
+            for low in sorted(lows):
+                width = 4 * edits + 4
+                if low < done or any(low <= f[1] < low + width for f in found if not f[3]):
+                    continue
+                got = align(passage, own, low, width, edits)
                 if got:
-                    out[at + d].append((index.ids[item], got[1], got[2], got[0]))
-        for d in range(at, to):
-            if normals[d] in index.short:
-                out[d].append((index.short[normals[d]], 0, len(normals[d]), 0))
+                    found.append((index.ids[item], got[1], got[2], got[0]))
+                    done = low + width // 2
+            out[at + d] += found
+        if index.short:
+            for d in range(at, to):
+                if lens[d - at] < Q and (n := normal(texts[d])) in index.short:
+                    out[d].append((index.short[n], 0, len(n), 0))
         at = to
     return [merged(x) for x in out]
 
