@@ -58,17 +58,23 @@ class Trie:
 
     def __init__(self, terms):
         self.root: dict = {}
-        self.halves: set[str] = set()
+        # within one or two edits, one of the two or three parts of a term stays as it is, at its place from either end
+        self.heads: dict[str, list] = {}
+        self.tails: dict[str, list] = {}
+        self.middles: dict[str, list] = {}
         for t in terms:
             node = self.root
             for c in t:
                 node = node.setdefault(c, {})
             node[""] = t
             if reach(t):
-                # within one or two edits, one of the parts stays as it is, at its place from either end
-                part = len(t) // (reach(t) + 1)
-                self.halves |= {t[:part], t[-part:]} | ({t[part:2 * part]} if reach(t) > 1 else set())
-        self.sizes = sorted({len(h) for h in self.halves})
+                part, sort = len(t) // (reach(t) + 1), (len(t), frozenset(t), reach(t))
+                self.heads.setdefault(t[:part], []).append(sort)
+                self.tails.setdefault(t[-part:], []).append(sort)
+                if reach(t) > 1:
+                    self.middles.setdefault(t[part:2 * part], []).append(sort)
+        self.sizes = sorted({len(h) for h in self.heads})
+        self.inner = sorted({len(h) for h in self.middles})
 
     def near(self, word: str, edits: int) -> tuple[str, int] | None:
         """Closest term within ``edits`` insertions, deletions and substitutions (ties: smallest term).
@@ -102,8 +108,19 @@ class Trie:
         return best
 
     def may_be_near(self, word: str) -> bool:
-        return any(word[:n] in self.halves or word[-n:] in self.halves for n in self.sizes) or (
-            len(word) >= 10 and any(word[i:i + n] in self.halves for n in self.sizes for i in range(1, len(word) - n)))
+        """Cheap and never wrong about a word that is near: parts, length and letters."""
+        def fits(sorts) -> bool:
+            return any(abs(len(word) - n) <= k and len(letters.difference(word)) <= k for n, letters, k in sorts)
+
+        for n in self.sizes:
+            if (a := self.heads.get(word[:n])) and fits(a) or (b := self.tails.get(word[-n:])) and fits(b):
+                return True
+        if len(word) >= 8:
+            for n in self.inner:
+                for i in range(n - 2, n + 3):
+                    if (a := self.middles.get(word[i:i + n])) and fits(a):
+                        return True
+        return False
 
 
 def reach(term: str) -> int:
@@ -139,7 +156,7 @@ class Model:
         elif stem := next((word[:n] for n in STEMS if len(word) > n and word[:n] in self.stems), None):
             found = (stem, False)
         elif word not in self.clean and not word.isdigit():
-            plain = word.translate(_LOOKS)
+            plain = word if word.isalpha() else word.translate(_LOOKS)
             if plain != word and plain in self.weights:
                 found = (plain, True)
             elif len(plain) >= 5 and self.trie.may_be_near(plain):
