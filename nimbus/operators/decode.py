@@ -18,6 +18,7 @@ MSG = "_msg"
 # Quarantine reasons.
 MALFORMED = "malformed"
 NO_WEATHER = "no_weather"
+NULL_KEY = "null_key"
 
 
 def message_text(df: DataFrame) -> DataFrame:
@@ -49,12 +50,15 @@ def explode_weather(decoded: DataFrame) -> DataFrame:
     once. (With ``posexplode`` the optimizer infers ``size(weather) > 0`` and
     pushes it below the decode, parsing every message twice.)
     """
-    return decoded.select("*", F.posexplode_outer("weather").alias("weather_pos", "w"))
+    # a message without a city or a time gives no reading either: it keeps one row, for the quarantine
+    keyed = F.when(F.col("id").isNotNull() & F.col("dt").isNotNull(), F.col("weather"))
+    return decoded.select("*", F.posexplode_outer(keyed).alias("weather_pos", "w"))
 
 
 def quarantine_reason() -> Column:
-    """Why an exploded message gives no reading: unreadable text or no weather condition."""
-    return F.when(F.col(CORRUPT_COLUMN).isNotNull(), F.lit(MALFORMED)).otherwise(F.lit(NO_WEATHER))
+    """Why an exploded message gives no reading: unreadable text, no weather condition, no city or no time."""
+    return (F.when(F.col(CORRUPT_COLUMN).isNotNull(), F.lit(MALFORMED))
+            .when(F.coalesce(F.size("weather"), F.lit(0)) > 0, F.lit(NULL_KEY)).otherwise(F.lit(NO_WEATHER)))
 
 
 def split_valid(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -12,19 +12,13 @@ REMOVED = "removed"
 def snapshot_diff(prev: DataFrame, cur: DataFrame) -> DataFrame:
     """G1: rows added to and removed from a result between two snapshots (bag semantics).
 
-    Equal to ``cur.exceptAll(prev)`` tagged ``added`` plus ``prev.exceptAll(cur)``
-    tagged ``removed``, in one pass: both snapshots are scanned once, each row
-    counts +1 (current) or -1 (previous), one hash aggregate per distinct row
-    (partial, map-side: repeated identical rows are summed before the shuffle),
-    and a row with net count n is emitted |n| times.
+    The two bag differences: each is one aggregate per distinct row (partial, map-side: repeated identical rows are
+    summed before the shuffle), and a row with net count n is replicated n times one by one, never as an array.
     """
     cols = cur.columns
-    both = (cur.select(*cols, F.lit(1).alias("_sign"))
-            .unionByName(prev.select(*cols, F.lit(-1).alias("_sign"))))
-    net = both.groupBy(*cols).agg(F.sum("_sign").alias("_net")).filter(F.col("_net") != 0)
-    return (net.select(*cols, F.when(F.col("_net") > 0, F.lit(ADDED)).otherwise(F.lit(REMOVED)).alias("change"),
-                       F.explode(F.array_repeat(F.lit(1), F.abs(F.col("_net")).cast("int"))).alias("_copy"))
-            .drop("_copy"))
+    prev = prev.select(*cols)
+    return (cur.exceptAll(prev).withColumn("change", F.lit(ADDED))
+            .unionByName(prev.exceptAll(cur).withColumn("change", F.lit(REMOVED))))
 
 
 def has_changed(prev: DataFrame, cur: DataFrame) -> bool:

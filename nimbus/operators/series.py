@@ -20,19 +20,15 @@ def latest_per_city(df: DataFrame) -> DataFrame:
 def detect_changes(df: DataFrame) -> DataFrame:
     """Flag readings whose time differs from the city's previous reading.
 
-    In (timestamp, id) order, a row's predecessor has the same time exactly when
-    a row with the same (city_id, timestamp) and a smaller id exists. So a row is
-    a change iff it is the smallest id of its (city_id, timestamp) group; the
-    first reading of a city is a change. The first row of every key comes from a
-    hash aggregate (partial, map-side: a key repeated a billion times is folded
-    in every map task), and is joined back on the row's own ``id``, which is
-    unique: neither a hot city nor a hot key ever lands in one task. (A ``lag``
-    window partitioned by city would put a hot city in one task; a join back on
-    the key would put a hot key in one task.)
+    In the total order (timestamp, id nulls first, other columns) a row's predecessor has the same time unless the row
+    is the first of its (city_id, timestamp) key. The first row of every key comes from an aggregate (partial,
+    map-side: a key repeated a billion times is folded in every map task); the rest is the bag difference of all rows
+    and those first rows, which sums equal rows map-side too and replicates them row by row. So neither a hot city
+    nor a hot key nor a repeated or null id lands in one task or counts twice. (A ``lag`` window partitioned by city
+    would put a hot city in one task; a join back on the id miscounts ids that repeat or are null.)
     """
-    first = (df.groupBy("city_id", "timestamp").agg(F.min("id").alias("_fid"))
-             .select(F.col("_fid"), F.col("city_id").alias("_fc"), F.col("timestamp").alias("_ft")))
-    cond = ((df["id"] == first["_fid"]) & df["city_id"].eqNullSafe(first["_fc"])
-            & df["timestamp"].eqNullSafe(first["_ft"]))
-    joined = df.join(first, cond, "left")
-    return joined.withColumn("is_change", F.col("_fid").isNotNull()).drop("_fid", "_fc", "_ft")
+    others = [c for c in df.columns if c not in ("city_id", "timestamp", "id")]
+    first = (df.groupBy("city_id", "timestamp").agg(F.min(F.struct("id", *others)).alias("_f"))
+             .select(*[F.col(c) if c in ("city_id", "timestamp") else F.col(f"_f.{c}").alias(c) for c in df.columns]))
+    return (first.withColumn("is_change", F.lit(True))
+            .unionByName(df.exceptAll(first).withColumn("is_change", F.lit(False))))

@@ -106,7 +106,7 @@ def conditions_card(staging: DataFrame, cities: DataFrame) -> DataFrame:
         D.metric_text("temperature", "°C").alias("temperature_text"),
         F.concat(F.lit("Feels like "), D.metric_text("feels_like", "°C")).alias("feels_like_text"),
         F.concat(F.col("humidity").cast("string"), F.lit("%")).alias("humidity_text"),
-        F.concat(F.col("wind_speed").cast("string"), F.lit(" m/s "),
+        F.concat(D.plain_text("wind_speed"), F.lit(" m/s "),
                  D.wind_octant("wind_direction")).alias("wind_text"),
         F.col("weather_description").alias("weather"),
         D.icon_url("weather_icon").alias("icon_url"),

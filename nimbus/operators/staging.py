@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from nimbus.functions.timecols import epoch_to_instant, event_date
-from nimbus.schemas import CITY_COLUMNS, STAGING_COLUMNS
+from nimbus.schemas import CITY_COLUMNS, MAX_LENGTH, NOT_NULL, STAGING_COLUMNS
 
 KEY = ["city_id", "timestamp"]
 
@@ -19,9 +21,18 @@ def high_water(staging: DataFrame) -> DataFrame:
     return staging.agg(F.coalesce(F.max("timestamp"), F.lit(0).cast("bigint")).alias("high_water"))
 
 
-def null_key_rows(raw: DataFrame) -> DataFrame:
-    """Readings that can never be staged: no city or no time."""
-    return raw.filter(F.col("city_id").isNull() | F.col("timestamp").isNull())
+def violation() -> Column:
+    """Why a raw reading cannot be staged, null if it can: no key, or a city row the dimension may not hold."""
+    missing = [F.col("city" if c == "name" else c).isNull() for c in NOT_NULL["cities"]]
+    return (F.when(F.col("city_id").isNull() | F.col("timestamp").isNull(), F.lit("null_key"))
+            .when(reduce(lambda a, b: a | b, missing), F.lit("city_not_null"))
+            .when(F.length("country") > MAX_LENGTH["cities"]["country"], F.lit("country_length")))
+
+
+def set_aside(raw: DataFrame) -> DataFrame:
+    """B12 at staging: the violating readings as quarantine rows."""
+    return (raw.withColumn("reason", violation()).filter(F.col("reason").isNotNull())
+            .select("city_id", "timestamp", "reason", F.to_json(F.struct(*raw.columns)).alias("value")))
 
 
 def since(df: DataFrame, seconds: Column, strict: bool = False) -> DataFrame:
@@ -38,35 +49,34 @@ def since(df: DataFrame, seconds: Column, strict: bool = False) -> DataFrame:
 
 
 def increment(raw: DataFrame, staging: DataFrame, mode: str = ANTI,
-              lookback_seconds: int | None = None, dedupe_first: bool = False) -> DataFrame:
+              dedupe_first: bool = False, dates: list | None = None) -> DataFrame:
     """Raw readings not yet in staging.
 
     ``global``: readings newer than staging's single high-water mark (the
     reference's rule: a late city's older readings are never staged).
     ``anti``: readings whose (city_id, timestamp) is not in staging, late ones
-    included. ``lookback_seconds`` bounds both sides to the last stretch of time
-    before the mark, which keeps a daily run proportional to new data; without
-    it the whole history is compared.
+    included, however late. ``raw`` is what arrived since the last run (the staging
+    stream's new files), so a run is proportional to new data; ``dates``, the dates
+    of ``raw``, open only those partitions of staging.
     ``dedupe_first`` returns one row per key (``dedupe``) and applies it before
     the anti join - the two commute, as both act per key - so replayed copies
     are folded map-side before any shuffle and the join reuses the
-    de-duplication's partitioning. Every time bound is applied to ``raw``
-    before that, so its ``event_date`` partitions are pruned.
-    Rows with a null key are left out here (see ``null_key_rows``).
+    de-duplication's partitioning.
+    Rows with a null key are left out here (``set_aside`` gives them to the quarantine).
     """
     keyed = raw.filter(F.col("city_id").isNotNull() & F.col("timestamp").isNotNull())
-    mark = high_water(staging).scalar()
     if mode == GLOBAL:
-        new = since(keyed, mark, strict=True)
+        new = since(keyed, high_water(staging).scalar(), strict=True)
         return dedupe(new) if dedupe_first else new
     if mode != ANTI:
         raise ValueError(f"unknown increment mode {mode!r}")
-    if lookback_seconds is not None:
-        keyed = since(keyed, mark - F.lit(lookback_seconds), strict=True)
-    # Exact bound: staged rows older than the oldest candidate cannot match any of them.
-    oldest = keyed.agg(F.min("timestamp")).scalar()
+    if dates is not None:
+        staged = staging.filter(F.col("event_date").isin(dates))
+    else:
+        # Exact bound: staged rows older than the oldest candidate cannot match any of them.
+        staged = since(staging, keyed.agg(F.min("timestamp")).scalar())
     rows = dedupe(keyed) if dedupe_first else keyed
-    return rows.join(since(staging, oldest).select(*KEY), KEY, "left_anti")
+    return rows.join(staged.select(*KEY), KEY, "left_anti")
 
 
 def dedupe(df: DataFrame, keys=tuple(KEY), order: list[Column] | None = None) -> DataFrame:

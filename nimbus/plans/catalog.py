@@ -69,6 +69,23 @@ def q_quarantine_rows(spark, d):
     return bad.select("city_id", "timestamp", "reason")
 
 
+def q_quarantine_null_key(spark, d):
+    _, bad = decode.messages_to_raw(td.broken_messages(spark, d))
+    return bad.select("city_id", "timestamp", "reason")
+
+
+def q_raw_pk_audit(spark, d):
+    """J1 on the surrogate ids (B13) of messages with Kafka coordinates: no violation."""
+    raw, _ = decode.messages_to_raw(td.messages(spark, d, replay=True))
+    return audit.pk_violations(raw, ["id"])
+
+
+def q_staging_raw_fk_audit(spark, d):
+    """J2 staging.id -> raw.id: no violation."""
+    raw = td.replayed_readings(spark, d)
+    return audit.fk_violations(staging.stage(raw), "id", raw, "id").select("id")
+
+
 def q_high_water(spark, d):
     return staging.high_water(td.staging_before(spark, d))
 
@@ -200,6 +217,9 @@ def q_length_audit(spark, d):
 BATCH_QUERIES: dict[str, Query] = {
     "flatten_explode": q_flatten_explode,
     "quarantine_rows": q_quarantine_rows,
+    "quarantine_null_key": q_quarantine_null_key,
+    "raw_pk_audit": q_raw_pk_audit,
+    "staging_raw_fk_audit": q_staging_raw_fk_audit,
     "high_water": q_high_water,
     "increment_global": q_increment_global,
     "increment_anti": q_increment_anti,
@@ -243,82 +263,85 @@ ALL_QUERIES: dict[str, Query] = dict(BATCH_QUERIES)
 # (the "topic"), the tables the streams write and their checkpoints.
 
 _FIXTURES: dict[tuple, str] = {}
+TOPIC_FILES, REPLAY_FILES, FILES_A_BATCH = 16, 4, 6        # of the test topic: four micro-batches at any size
 
 
 def _session_fixture(spark, d, name, write) -> str:
     """A read-only input derived from the test tables, written once per session and scale.
 
-    Queries only read it (each writes its outputs under its own fresh folder),
-    so sharing it changes no result; it is written again if its folder is gone.
+    Queries only read it (each writes its outputs under its own fresh folder), so sharing it changes no result.
+    ``prepare`` writes all of them, so that a query's time does not depend on which ran before.
     """
-    import os
     from nimbus.session import run_dir
-    key = (spark.sparkContext.applicationId if _has_context(spark) else id(spark), d, name)
-    path = _FIXTURES.get(key)
-    if path is None or (path.startswith(("/", "file:")) and not os.path.exists(path.removeprefix("file:"))):
+    key = (_session_id(spark), d, name)
+    if key not in _FIXTURES:
         path = run_dir(spark, f"fixture-{name}")
         write(path)
         _FIXTURES[key] = path
-    return path
+    return _FIXTURES[key]
 
 
-def _has_context(spark) -> bool:
+def _session_id(spark):
     try:
-        spark.sparkContext
-        return True
+        return spark.sparkContext.applicationId
     except Exception:  # noqa: BLE001 - Spark Connect
-        return False
+        return id(spark)
 
 
-def _publish_messages(spark, d, root=None):
-    """The bus: original messages first, then the redelivered copies in later files.
+def prepare(spark, d) -> None:
+    """Write the shared inputs of the queries."""
+    _publish_messages(spark, d)
+    _publish_late(spark, d)
+    _staging_table(spark, d)
+    _staging_before_table(spark, d)
+    _raw_table(spark, d)
 
-    The topic is input only (streams read it, never write it), so one copy per
-    session serves every stream key; ``root`` forces a private copy.
-    """
+
+def _publish_messages(spark, d):
+    """The bus: original messages first, then the redelivered copies in later files. Streams only read it."""
     from nimbus.sources.files import write_messages
-    from pyspark.sql import functions as F
 
     def publish(path):
-        msgs = td.messages(spark, d, replay=True)
-        first = msgs.filter(F.col("offset") < td.REPLAY_ID_SHIFT)
-        again = msgs.filter(F.col("offset") >= td.REPLAY_ID_SHIFT)
-        n = _message_files(spark)
-        write_messages(first.repartitionByRange(n, "offset"), path)
-        write_messages(again.repartitionByRange(max(1, n // 4), "offset"), path)
-
-    if root is not None:
-        publish(f"{root}/messages")
-        return f"{root}/messages"
+        write_messages(td.messages(spark, d).repartitionByRange(TOPIC_FILES, "offset"), path)
+        write_messages(td.replays(spark, d).repartitionByRange(REPLAY_FILES, "offset"), path)
     return _session_fixture(spark, d, "topic", publish)
 
 
-def _message_files(spark) -> int:
-    """Files of the test topic: grows with the cluster, so a trigger's files keep every core busy."""
-    try:
-        cores = spark.sparkContext.defaultParallelism
-    except Exception:  # noqa: BLE001 - Spark Connect
-        cores = 8
-    return max(16, 2 * cores)
+def _publish_late(spark, d):
+    """The bus of a station whose readings arrive newest first: every file after the first is late."""
+    from nimbus.sources.files import write_messages
+
+    def publish(path):
+        r = td.readings(spark, d)
+        for odd in (0, 1, 2):            # three deliveries, each older than the one before
+            bounds = r.agg(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi"))
+            third = bounds.select(((F.col("hi") - F.col("lo") + 1) / 3).alias("w")).scalar()
+            back = (bounds.select("hi").scalar() - F.col("timestamp")) / third
+            write_messages(td.as_messages(r.filter(F.floor(back) == odd)).coalesce(FILES_A_BATCH), path)
+    return _session_fixture(spark, d, "late-topic", publish)
 
 
-def _ingest(spark, d):
+def _ingest(spark, d, topic=_publish_messages):
     from nimbus.session import run_dir
     from nimbus.sources.files import read_messages
     from nimbus.streaming.ingest import start_ingest
     from nimbus.streaming.triggers import AVAILABLE_NOW, run_to_end
     root = run_dir(spark, "stream")
-    src = read_messages(spark, _publish_messages(spark, d), stream=True,
-                        max_files_per_trigger=_message_files(spark) // 2)
+    src = read_messages(spark, topic(spark, d), stream=True, max_files_per_trigger=FILES_A_BATCH)
     run_to_end(start_ingest(src, f"{root}/raw", f"{root}/quarantine", f"{root}/_ck/ingest", AVAILABLE_NOW))
     return root
 
 
+def _a_third_of_the_files(spark, path) -> int:
+    """Files per trigger that make at least three micro-batches of a written table."""
+    return max(1, len(spark.read.parquet(path).inputFiles()) // 3)
+
+
 def _stage_stream(spark, root):
     from nimbus.streaming.staging import raw_stream, start_staging
     from nimbus.streaming.triggers import AVAILABLE_NOW, run_to_end
-    run_to_end(start_staging(raw_stream(spark, f"{root}/raw"), f"{root}/staging",
-                             f"{root}/cities", f"{root}/_ck/staging", AVAILABLE_NOW))
+    src = raw_stream(spark, f"{root}/raw", _a_third_of_the_files(spark, f"{root}/raw"))
+    run_to_end(start_staging(src, f"{root}/staging", f"{root}/cities", f"{root}/quarantine", f"{root}/_ck/staging", AVAILABLE_NOW))
 
 
 def q_stream_raw(spark, d):
@@ -334,28 +357,36 @@ def q_stream_staging(spark, d):
     return comparable(out.drop("id"))
 
 
-def q_stream_hourly(spark, d):
-    from nimbus.streaming.hourly import read_hourly, start_hourly
+def _hourly_stream(spark, root):
+    from nimbus.sources.tables import read_table
+    from nimbus.streaming.hourly import staging_stream, start_hourly
     from nimbus.streaming.triggers import AVAILABLE_NOW, run_to_end
+    stg = f"{root}/staging"
+    run_to_end(start_hourly(staging_stream(spark, stg, _a_third_of_the_files(spark, stg)), stg, f"{root}/hourly",
+                            f"{root}/_ck/hourly", AVAILABLE_NOW))
+    return comparable(read_table(spark, f"{root}/hourly", "hourly").drop("event_date"))
+
+
+def q_stream_hourly(spark, d):
     root = _ingest(spark, d)
     _stage_stream(spark, root)
-    from nimbus.streaming.staging import batch_table_schema
-    stg = spark.readStream.schema(batch_table_schema("staging")).parquet(f"{root}/staging")
-    run_to_end(start_hourly(stg.drop("writer", "batch_id"), f"{root}/hourly", f"{root}/_ck/hourly",
-                            trigger=AVAILABLE_NOW))
-    return comparable(read_hourly(spark, f"{root}/hourly"))
+    return _hourly_stream(spark, root)
+
+
+def q_stream_hourly_late(spark, d):
+    """Readings arrive newest first: all but the first micro-batch are late by up to the whole range."""
+    root = _ingest(spark, d, _publish_late)
+    _stage_stream(spark, root)
+    return _hourly_stream(spark, root)
 
 
 def q_stream_dedupe(spark, d):
-    from nimbus.sinks.batch import write_batch
-    from nimbus.streaming.dedupe import dedupe_stream
+    from nimbus.streaming.dedupe import start_dedupe
     from nimbus.streaming.staging import raw_stream
-    from nimbus.streaming.triggers import AVAILABLE_NOW, run_to_end, start
+    from nimbus.streaming.triggers import AVAILABLE_NOW, run_to_end
     root = _ingest(spark, d)
-    keys = dedupe_stream(raw_stream(spark, f"{root}/raw")).select("city_id", "timestamp")
-    writer = keys.writeStream.outputMode("append").foreachBatch(
-        lambda df, bid: write_batch(df, bid, f"{root}/keys", partition_by=()))
-    run_to_end(start(writer, f"{root}/_ck/dedupe", AVAILABLE_NOW))
+    src = raw_stream(spark, f"{root}/raw", _a_third_of_the_files(spark, f"{root}/raw"))
+    run_to_end(start_dedupe(src, f"{root}/keys", f"{root}/_ck/dedupe", AVAILABLE_NOW))
     return spark.read.parquet(f"{root}/keys").select("city_id", "timestamp")
 
 
@@ -369,13 +400,14 @@ def q_json_publish(spark, d):
     write_messages(to_messages(rollup.hourly_avg(_staging(spark, d)), key="city_id"), f"{root}/hourly")
     back = read_messages(spark, f"{root}/hourly", stream=False)
     parsed = back.select(F.from_json("value", schema_of("hourly")).alias("h")).select("h.*")
-    return comparable(parsed)
+    return comparable(parsed.drop("event_date"))
 
 
 STREAM_QUERIES: dict[str, Query] = {
     "stream_raw": q_stream_raw,
     "stream_staging": q_stream_staging,
     "stream_hourly": q_stream_hourly,
+    "stream_hourly_late": q_stream_hourly_late,
     "stream_dedupe": q_stream_dedupe,
     "json_publish": q_json_publish,
 }
@@ -389,15 +421,19 @@ ALL_QUERIES.update(STREAM_QUERIES)
 # cities known so far - then runs the job functions of ``nimbus.plans.jobs`` (audited writes,
 # table generations) and reads the resulting table back.
 
+def _raw_table(spark, d) -> str:
+    # raw is only read by the jobs: one copy per session serves every job key
+    return _session_fixture(spark, d, "raw", lambda path: td.replayed_readings(spark, d)
+                            .repartitionByRange("event_date", "city_id").write.partitionBy("event_date").parquet(path))
+
+
 def _job_tables(spark, d):
     from nimbus.plans import jobs
     from nimbus.session import run_dir
-    # raw is only read by the jobs: one copy per session serves every job key
-    raw = _session_fixture(spark, d, "raw", lambda path: td.replayed_readings(spark, d)
-                           .write.partitionBy("event_date").parquet(path))
-    paths = jobs.Paths(run_dir(spark, "tables"), locations={"raw": raw})
-    td.staging_before(spark, d).write.partitionBy("event_date").parquet(paths.staging)
-    td.known_cities(spark, d).write.parquet(paths.cities)
+    from nimbus.sinks.batch import write_batch
+    paths = jobs.Paths(run_dir(spark, "tables"), locations={"raw": _raw_table(spark, d)})
+    write_batch(_staging_before_table(spark, d), 0, paths.staging, writer="before")
+    write_batch(td.known_cities(spark, d), 0, paths.cities, partition_by=(), writer="before")
     return paths
 
 
@@ -405,12 +441,12 @@ def _after_staging_job(spark, d):
     """Tables after L2 (late-safe increment)."""
     from nimbus.plans import jobs
     paths = _job_tables(spark, d)
-    jobs.update_staging(spark, paths, mode=staging.ANTI)
+    jobs.update_staging(spark, paths)
     return paths
 
 
 def _after_hourly_job(spark, d):
-    """Tables after L2 then L3 (audited full refresh of hourly)."""
+    """Tables after L2 then L3 (the touched dates of hourly)."""
     from nimbus.plans import jobs
     paths = _after_staging_job(spark, d)
     jobs.rollup_hourly(spark, paths)
@@ -418,7 +454,7 @@ def _after_hourly_job(spark, d):
 
 
 def q_job_ingest_files(spark, d):
-    """L1 as a batch job over the topic's message files: the raw table it appends."""
+    """L1 as a batch job over the topic's message files: the raw table it writes."""
     from nimbus.plans import jobs
     from nimbus.session import run_dir
     from nimbus.sources.tables import read_table
@@ -427,6 +463,17 @@ def q_job_ingest_files(spark, d):
     return read_table(spark, paths.raw, "raw").select(*READING_COLUMNS, "weather_pos", "event_date")
 
 
+def q_increment_late(spark, d):
+    """L2 stages readings of cities that report late, months before the newest staged one."""
+    from nimbus.schemas import STAGING_COLUMNS
+    from nimbus.sources.tables import read_table
+    paths = _after_staging_job(spark, d)
+    mark = staging.high_water(_staging_before_table(spark, d)).scalar()
+    late = read_table(spark, paths.staging, "staging").filter(
+        (F.col("city_id") % td.LATE_CITY_EVERY == 0) & (F.col("timestamp") < mark))
+    return comparable(late.select(*STAGING_COLUMNS))
+
+
 def q_job_update_staging(spark, d):
     from nimbus.schemas import STAGING_COLUMNS
     from nimbus.sources.tables import read_table
@@ -442,16 +489,38 @@ def q_job_cities(spark, d):
 
 
 def q_job_rollup_hourly(spark, d):
-    from nimbus.sources.tables import read_current
+    from nimbus.sources.tables import read_table
     paths = _after_hourly_job(spark, d)
-    return comparable(read_current(spark, paths.hourly, "hourly"))
+    return comparable(read_table(spark, paths.hourly, "hourly").drop("event_date"))
 
 
-def q_job_current_card(spark, d):
+def q_job_refresh_hourly(spark, d):
+    """Full refresh of the hourly table, published as an audited generation."""
+    from nimbus.plans import jobs
+    from nimbus.sources.tables import read_current
+    paths = _after_staging_job(spark, d)
+    jobs.refresh_hourly(spark, paths, f"{paths.root}/hourly_full")
+    return comparable(read_current(spark, f"{paths.root}/hourly_full", "hourly"))
+
+
+def _card(spark, d, seconds_later):
+    """L4 as of some time after the configured city's newest reading."""
     from nimbus.plans import jobs
+    from nimbus.sources.tables import read_table
     paths = _after_staging_job(spark, d)
     name, country = td.NAMED_CITY
-    return jobs.current_card(spark, paths, name, country)
+    own = serving.for_named_city(read_table(spark, paths.staging, "staging"), td.cities(spark, d), name, country)
+    newest = own.agg((F.max(F.unix_seconds("timestamp_utc")) + seconds_later).alias("s")).scalar()
+    return jobs.current_card(spark, paths, name, country, 24, now=F.timestamp_seconds(newest))
+
+
+def q_job_current_card(spark, d):
+    return _card(spark, d, 3600)
+
+
+def q_job_current_card_stale(spark, d):
+    """A city silent for 25 hours: no card."""
+    return _card(spark, d, 90000)
 
 
 def _day_view(spark, d):
@@ -475,8 +544,11 @@ JOB_QUERIES: dict[str, Query] = {
     "job_ingest_files": q_job_ingest_files,
     "job_update_staging": q_job_update_staging,
     "job_cities": q_job_cities,
+    "increment_late": q_increment_late,
     "job_rollup_hourly": q_job_rollup_hourly,
+    "job_refresh_hourly": q_job_refresh_hourly,
     "job_current_card": q_job_current_card,
+    "job_current_card_stale": q_job_current_card_stale,
     "job_day_series": q_job_day_series,
     "job_day_overlay": q_job_day_overlay,
 }

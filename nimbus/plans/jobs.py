@@ -1,9 +1,8 @@
 """User-level jobs (L1-L5): read tables, run the operators, write tables.
 
-Each job performs one write per output. A DataFrame used by several outputs is
-cut with ``checkpoint()`` into the shared checkpoint folder, so a lost executor
-costs a re-read of the checkpoint, not a recomputation of the whole lineage,
-and every output sees the same rows.
+L1-L3 are the streaming queries run to the end of what is there (``availableNow``): the checkpoint is the ledger of
+processed files, so a run is proportional to new data, a second run over the same input adds nothing, and batch
+and stream forms are one code with one rule for bad rows.
 """
 
 from __future__ import annotations
@@ -14,17 +13,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nimbus.operators import audit
-from nimbus.operators.decode import parse_messages, raw_and_quarantine
-from nimbus.operators.metrics import counted, rows
+from nimbus.operators.diff import has_changed
 from nimbus.operators.rollup import hourly_avg
 from nimbus.operators.serving import city_series, conditions_card, find_city, hourly_overlay, last_hours
-from nimbus.operators.staging import ANTI, city_candidates, increment, new_cities, to_staging
-from nimbus.schemas import PRIMARY_KEYS
-from nimbus.session import shared_dir
-from nimbus.sinks.tables import append_table, clustered_by_date, replace_table
+from nimbus.schemas import MAX_LENGTH, NOT_NULL, PRIMARY_KEYS
+from nimbus.sinks.tables import replace_table
 from nimbus.sources.files import read_messages
-from nimbus.sources.tables import read_current, read_table
-
+from nimbus.sources.tables import read_table, register
+from nimbus.streaming.hourly import staging_stream, start_hourly
+from nimbus.streaming.ingest import start_ingest
+from nimbus.streaming.staging import raw_stream, start_staging
+from nimbus.streaming.triggers import AVAILABLE_NOW, run_to_end
 
 TABLES = ("raw", "staging", "cities", "hourly", "quarantine")
 
@@ -33,105 +32,103 @@ TABLES = ("raw", "staging", "cities", "hourly", "quarantine")
 class Paths:
     """Locations of the four tables (plus the quarantine) under one root.
 
-    ``locations`` places single tables elsewhere, e.g. raw in the landing zone
-    the ingest writes to while the derived tables live under ``root``.
+    ``locations`` places single tables elsewhere, e.g. raw in the landing zone the ingest writes to while the
+    derived tables live under ``root``. With a ``database`` the jobs keep its catalog tables up to date.
     """
     root: str
     locations: dict[str, str] = field(default_factory=dict)
+    database: str | None = None
 
     def __getattr__(self, name: str) -> str:
         if name in TABLES:
             return self.locations.get(name) or f"{self.root.rstrip('/')}/{name}"
         raise AttributeError(name)
 
+    def checkpoint(self, job: str) -> str:
+        return f"{self.root.rstrip('/')}/_checkpoints/{job}"
 
-def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder and drop its lineage."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
 
+def ingest_files(spark: SparkSession, messages_path: str, paths: Paths) -> int:
+    """L1: the message files not yet ingested become raw rows and quarantine rows; returns the micro-batches run."""
+    q = start_ingest(read_messages(spark, messages_path, stream=True), paths.raw, paths.quarantine,
+                     paths.checkpoint("ingest"), AVAILABLE_NOW)
+    run_to_end(q)
+    register(spark, paths.database, "raw")
+    return _batches(q)
 
-def ingest_files(spark: SparkSession, messages_path: str, paths: Paths) -> dict:
-    """L1 as a batch job over message files (the streaming form is ``nimbus.streaming.ingest``)."""
-    # parsed once and cut: both outputs read the checkpoint, the text is never parsed twice
-    raw, bad = raw_and_quarantine(cut(parse_messages(read_messages(spark, messages_path, stream=False))))
-    raw, n_raw = counted(raw, "raw_rows")
-    bad, n_bad = counted(bad, "quarantined")
-    append_table(raw, paths.raw)
-    append_table(bad, paths.quarantine, partition_by=())
-    return {"raw_rows": rows(n_raw), "quarantined": rows(n_bad)}
 
+def update_staging(spark: SparkSession, paths: Paths) -> int:
+    """L2: raw files not yet staged -> quarantine, new cities, then de-duplicated staging rows."""
+    q = start_staging(raw_stream(spark, paths.raw), paths.staging, paths.cities, paths.quarantine,
+                      paths.checkpoint("staging"), AVAILABLE_NOW)
+    run_to_end(q)
+    register(spark, paths.database, "cities", "staging")
+    return _batches(q)
 
-def update_staging(spark: SparkSession, paths: Paths, mode: str = ANTI,
-                   lookback_seconds: int | None = None, cluster_days: int = 7) -> dict:
-    """L2: raw increment -> de-duplicated staging rows, new cities inserted first.
 
-    The increment is cut once and feeds both writes. Audits run before each
-    publish: staging keys unique, every staged city known to the dimension.
-    An increment spanning ``cluster_days`` or more dates (a backfill) is
-    written clustered by date (``clustered_by_date``).
-    """
-    raw = read_table(spark, paths.raw, "raw")
-    staged = read_table(spark, paths.staging, "staging")
-    cities = read_table(spark, paths.cities, "cities")
-    # one row per key, de-duplicated before the anti join (see ``increment``)
-    inc = cut(increment(raw, staged, mode=mode, lookback_seconds=lookback_seconds, dedupe_first=True))
-    add = cut(new_cities(city_candidates(inc), cities))
-    add_out, n_cities = counted(add, "new_cities")
-    append_table(add_out, paths.cities, partition_by=(),
-                 audits={"cities_pk": audit.pk_violations(add.unionByName(cities), PRIMARY_KEYS["cities"]),
-                         "cities_not_null": audit.null_violations(add, ["name", "latitude", "longitude"], ["id"]),
-                         "cities_country_length": audit.length_violations(add, "country", 5, ["id"])})
-    staged_rows = to_staging(inc)
-    all_cities = read_table(spark, paths.cities, "cities")
-    out, n_staged = counted(clustered_by_date(staged_rows, cluster_days), "staged_rows")
-    append_table(out, paths.staging,
-                 audits={"staging_key": audit.pk_violations(staged_rows, PRIMARY_KEYS["staging_reading"]),
-                         "staging_city_fk": audit.fk_violations(staged_rows, "city_id", all_cities, "id")})
-    return {"new_cities": rows(n_cities), "staged_rows": rows(n_staged)}
-
-
-def rollup_hourly(spark: SparkSession, paths: Paths, source: str = "staging") -> dict:
-    """L3: full refresh of the hourly table from staging (or raw), audited before publishing."""
-    src = read_table(spark, getattr(paths, source), source)
-    out = cut(hourly_avg(src))
-    cities = read_table(spark, paths.cities, "cities")
-    observed, n = counted(out, "hourly_rows")
-    target = replace_table(observed, paths.hourly,
-                           audits={"hourly_pk": audit.pk_violations(out, PRIMARY_KEYS["hourly"]),
-                                   "hourly_city_fk": audit.fk_violations(out, "city_id", cities, "id")})
-    return {"hourly_rows": rows(n), "generation": target}
+def rollup_hourly(spark: SparkSession, paths: Paths) -> int:
+    """L3: the dates that new staging files touch are recomputed in the hourly table."""
+    q = start_hourly(staging_stream(spark, paths.staging), paths.staging, paths.hourly, paths.checkpoint("hourly"), AVAILABLE_NOW)
+    run_to_end(q)
+    register(spark, paths.database, "hourly")
+    return _batches(q)
 
 
-def current_card(spark: SparkSession, paths: Paths, name: str, country: str) -> DataFrame:
-    """L4: the conditions card of the configured city (one row, or none)."""
-    staged = read_table(spark, paths.staging, "staging")
+def _batches(query) -> int:
+    last = query.lastProgress
+    return 0 if last is None else sum(1 for p in query.recentProgress if p["numInputRows"] > 0)
+
+
+def refresh_hourly(spark: SparkSession, paths: Paths, target: str, source: str = "staging") -> str:
+    """The whole hourly table anew as an audited generation of ``target``; returns its folder."""
+    out = hourly_avg(read_table(spark, getattr(paths, source), source))
     cities = read_table(spark, paths.cities, "cities")
+    return replace_table(out, target, audits={"hourly_pk": audit.pk_violations(out, PRIMARY_KEYS["hourly"]),
+                                              "hourly_city_fk": audit.fk_violations(out, "city_id", cities, "id")})
+
+
+def constraint_audits(spark: SparkSession, paths: Paths) -> dict[str, DataFrame]:
+    """J1-J4 over the stored tables: every key, reference, not-null and length rule of the schemas."""
+    t = {name: read_table(spark, getattr(paths, name), name) for name in ("raw", "staging", "cities", "hourly")}
+    out = {f"{name}_pk": audit.pk_violations(t[name.split("_")[0]], keys) for name, keys in PRIMARY_KEYS.items()}
+    out |= {f"{name}_not_null": audit.null_violations(t[name], cols, ["id"]) for name, cols in NOT_NULL.items()}
+    out |= {f"{name}_{col}_length": audit.length_violations(t[name], col, most, ["id"])
+            for name, cols in MAX_LENGTH.items() for col, most in cols.items()}
+    out["staging_raw_fk"] = audit.fk_violations(t["staging"], "id", t["raw"], "id")
+    out["staging_city_fk"] = audit.fk_violations(t["staging"], "city_id", t["cities"], "id")
+    out["hourly_city_fk"] = audit.fk_violations(t["hourly"], "city_id", t["cities"], "id")
+    return out
+
+
+def _of_city(df: DataFrame, cities: DataFrame, name: str, country: str) -> DataFrame:
     city = find_city(cities, name, country).select(F.col("id").alias("city_id"))
-    return conditions_card(staged.join(F.broadcast(city), "city_id", "left_semi"), cities)
+    return df.join(F.broadcast(city), "city_id", "left_semi")            # at most one row
+
+
+def current_card(spark: SparkSession, paths: Paths, name: str, country: str, hours: int = 24,
+                 now: Column | None = None) -> DataFrame:
+    """L4: the conditions card of the configured city from its readings of the last ``hours`` (one row, or none)."""
+    cities = read_table(spark, paths.cities, "cities")
+    recent = last_hours(read_table(spark, paths.staging, "staging"), hours, now)
+    return conditions_card(_of_city(recent, cities, name, country), cities)
 
 
 def day_view(spark: SparkSession, paths: Paths, name: str, country: str, hours: int = 24,
              now: Column | None = None) -> tuple[DataFrame, DataFrame]:
-    """The city's last 24 h of readings and of hourly averages (with local times)."""
+    """The city's last 24 h of readings and of hourly averages (with local times).
+
+    Both tables are opened for the dates of the window only; the offset is that of the city's newest reading in it
+    (an hour of the window has a reading in the window).
+    """
     staged = read_table(spark, paths.staging, "staging")
     cities = read_table(spark, paths.cities, "cities")
     series = city_series(staged, cities, name, country, hours, now)
-    city = find_city(cities, name, country).select(F.col("id").alias("city_id"))
-    hourly = read_current(spark, paths.hourly, "hourly").join(F.broadcast(city), "city_id", "left_semi")
-    hourly = last_hours(hourly, hours, now, ts="timestamp_hour")
-    overlay = hourly_overlay(hourly, staged.join(F.broadcast(city), "city_id", "left_semi"))
+    hourly = last_hours(read_table(spark, paths.hourly, "hourly"), hours, now, ts="timestamp_hour")
+    hourly = _of_city(hourly, cities, name, country).drop("event_date")
+    overlay = hourly_overlay(hourly, _of_city(last_hours(staged, hours, now), cities, name, country))
     return series, overlay.orderBy(F.col("timestamp_hour").desc())
 
 
-def publish_stream_hourly(spark: SparkSession, hourly_stream_path: str, paths: Paths) -> dict:
-    """L3 for the streaming form: the latest version of every (city, hour) written by the
-    hourly stream (``nimbus.streaming.hourly``) becomes a new audited generation of the table."""
-    from nimbus.streaming.hourly import read_hourly
-    out = cut(read_hourly(spark, hourly_stream_path))
-    cities = read_table(spark, paths.cities, "cities")
-    observed, n = counted(out, "hourly_rows")
-    target = replace_table(observed, paths.hourly,
-                           audits={"hourly_pk": audit.pk_violations(out, PRIMARY_KEYS["hourly"]),
-                                   "hourly_city_fk": audit.fk_violations(out, "city_id", cities, "id")})
-    return {"hourly_rows": rows(n), "generation": target}
+def refreshed(previous: DataFrame | None, current: DataFrame) -> DataFrame | None:
+    """The new result if it differs from the one on display, else None (nothing to draw)."""
+    return current if previous is None or has_changed(previous, current) else None

@@ -42,7 +42,7 @@ r AS (
     CAST(0 AS INTEGER) AS weather_pos,
     CAST(make_timestamp(t * 1000000) AS DATE) AS event_date
   FROM e),
-rp AS (SELECT * FROM r UNION ALL SELECT * REPLACE (id + 10000000 AS id) FROM r WHERE id % 10 = 0)"""
+rp AS (SELECT * FROM r UNION ALL SELECT * REPLACE (id + (SELECT max(event_id) + 1 FROM events) AS id) FROM r WHERE id % 10 = 0)"""
 
 CITIES = """
 cities AS (
@@ -108,6 +108,13 @@ SQL["flatten_explode"] = _with(READINGS) + _FLAT.format(src="r")
 
 SQL["quarantine_rows"] = _with(READINGS) + """SELECT city_id, timestamp, 'no_weather' AS reason FROM r WHERE id % 3 = 0"""
 
+# Text cut after 40 characters holds no complete field but the first: nothing of the message is known.
+SQL["quarantine_null_key"] = _with(READINGS) + """SELECT
+  CASE WHEN id % 20 = 5 OR id % 20 = 0 THEN NULL ELSE city_id END AS city_id,
+  CASE WHEN id % 20 = 5 OR id % 20 = 10 THEN NULL ELSE timestamp END AS timestamp,
+  CASE WHEN id % 20 = 5 THEN 'malformed' WHEN id % 3 = 0 THEN 'no_weather' ELSE 'null_key' END AS reason
+FROM r WHERE id % 3 = 0 OR id % 20 IN (0, 5, 10)"""
+
 SQL["high_water"] = _with(READINGS, STAGING) + """SELECT coalesce(max(timestamp), 0) AS high_water FROM sb"""
 
 SQL["increment_global"] = _with(READINGS, STAGING) + """SELECT * FROM r WHERE timestamp > (SELECT coalesce(max(timestamp), 0) FROM sb)"""
@@ -233,6 +240,8 @@ SQL["stream_staging"] = _with(READINGS) + f"""SELECT {", ".join(c for c in STAGI
 
 SQL["stream_hourly"] = _with(READINGS, HOURLY.format(src="(SELECT * FROM r WHERE id % 3 <> 0)")) + HOURLY_OUT
 
+SQL["stream_hourly_late"] = SQL["stream_hourly"]
+
 SQL["stream_dedupe"] = _with(READINGS) + """SELECT DISTINCT city_id, timestamp FROM r WHERE id % 3 <> 0"""
 
 # Sanity: every READING column is in the flatten select list.
@@ -256,9 +265,25 @@ cand AS (
 SELECT * FROM known UNION ALL
 SELECT city_id AS id, city AS name, country, latitude, longitude FROM cand WHERE city_id NOT IN (SELECT id FROM known)"""
 
-SQL["job_rollup_hourly"] = SQL["hourly_avg_staging"]
+SQL["job_rollup_hourly"] = SQL["job_refresh_hourly"] = SQL["hourly_avg_staging"]
+
+# The late cities' readings, up to months before what staging knew, are staged by the run.
+SQL["increment_late"] = _with(READINGS, STAGING) + """SELECT * FROM s
+WHERE city_id % 10 = 0 AND timestamp < (SELECT max(timestamp) FROM sb)"""
+
+# Every message has its own coordinates, so no raw id repeats or is null; every staged reading has its raw row.
+SQL["raw_pk_audit"] = _with(READINGS) + """SELECT id, count(*) AS n_rows, 'duplicate' AS violation
+FROM rp GROUP BY id HAVING count(*) > 1"""
+
+SQL["staging_raw_fk_audit"] = _with(READINGS, STAGING) + """SELECT id FROM s WHERE id NOT IN (SELECT id FROM rp)"""
 
-SQL["job_current_card"] = SQL["conditions_card"] + f"\nWHERE lat.city_id = {NAMED_CITY}"
+_CARD = SQL["conditions_card"].replace(
+    "SELECT * FROM s QUALIFY", f"""SELECT * FROM s WHERE timestamp >= {{now}} - 86400
+  AND city_id = {NAMED_CITY} QUALIFY""")
+_NEWEST = f"(SELECT max(timestamp) FROM s WHERE city_id = {NAMED_CITY})"
+SQL["job_current_card"] = _CARD.replace("{now}", f"({_NEWEST} + 3600)")
+# a city that has been silent for more than a day has no card
+SQL["job_current_card_stale"] = _CARD.replace("{now}", f"({_NEWEST} + 90000)")
 
 SQL["job_day_series"] = SQL["city_series"]
 

@@ -63,6 +63,8 @@ def shared_dir(spark: SparkSession) -> str:
             d = spark.sparkContext.getCheckpointDir()
         except Exception:  # noqa: BLE001 - no SparkContext in a Spark Connect client
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster") from None
+    if not d and not spark.sparkContext.master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
     if not d:
         # Only outside a cluster (tests, a laptop): a cluster names its shared folder.
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="nimbus-"))

@@ -1,13 +1,15 @@
-"""Micro-batch sinks (A7, A10, I3): one folder per batch id, so a retried batch replaces itself."""
+"""Micro-batch sinks (A7, A10, I3): date-first tables whose folders name the batch that wrote them."""
 
 from __future__ import annotations
 
 import hashlib
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Partition columns added by batch-folder tables.
 BATCH_COLUMNS = ("writer", "batch_id")
+COMPACTED = "compacted"
 
 
 def writer_tag(checkpoint: str) -> str:
@@ -15,28 +17,42 @@ def writer_tag(checkpoint: str) -> str:
     return hashlib.sha1(checkpoint.rstrip("/").encode()).hexdigest()[:12]
 
 
-def batch_path(root: str, batch_id: int, writer: str | None = None) -> str:
-    root = root.rstrip("/")
-    return f"{root}/writer={writer}/batch_id={batch_id}" if writer else f"{root}/batch_id={batch_id}"
+def write_batch(df: DataFrame, batch_id: int, root: str, partition_by: tuple[str, ...] = ("event_date",),
+                writer: str = "batch") -> None:
+    """Write a micro-batch to ``root/event_date=D/writer=W/batch_id=N``; an empty one writes no row.
+
+    Only the folders of this batch are replaced, so a batch re-run after a failure (same query, same id, same
+    offsets) overwrites itself instead of appending a second copy. ``writer`` keeps two queries (two checkpoints)
+    apart; a replay under a new checkpoint adds copies, which the staging de-duplication removes.
+    """
+    tagged = df.withColumn("writer", F.lit(writer)).withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
+    (tagged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*partition_by, *BATCH_COLUMNS).parquet(root))
 
 
-def write_batch(df: DataFrame, batch_id: int, root: str, partition_by: tuple[str, ...] = ("event_date",),
-                writer: str | None = None) -> bool:
-    """Write a micro-batch to ``root/writer=W/batch_id=N`` (overwrite), skip an empty one.
-
-    A batch re-run after a failure (same query, same id, same offsets)
-    overwrites its own folder instead of appending a second copy. ``writer``
-    keeps two queries (two checkpoints) from overwriting each other's batches;
-    a replay under a new checkpoint therefore adds copies, which the staging
-    de-duplication removes. Readers see the union of all folders.
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of a table or an intermediate, on whatever file system it is."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def compact(spark: SparkSession, root: str, table: str, dates: list) -> int:
+    """Fold the batch folders of closed ``dates`` into one each; returns how many folders went.
+
+    The folded copy is committed first, then the old folders are deleted; a reader in between sees rows twice, which
+    every consumer of batch tables folds by key. Run it on dates that no batch writes any more.
     """
-    if df.isEmpty():
-        return False
-    w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(batch_path(root, batch_id, writer))
-    return True
+    from nimbus.sources.tables import batch_table_schema
+    rows = spark.read.schema(batch_table_schema(table)).parquet(root).filter(F.col("event_date").isin(dates))
+    old = rows.select("event_date", *BATCH_COLUMNS).distinct().collect()      # a row for each folder of these dates
+    if not old:
+        return 0
+    version = max([r.batch_id for r in old if r.writer == COMPACTED], default=-1) + 1
+    write_batch(rows.drop(*BATCH_COLUMNS).repartitionByRange("event_date", "city_id", "timestamp")
+                .sortWithinPartitions("event_date", "city_id", "timestamp"), version, root, writer=COMPACTED)
+    for r in old:
+        remove(spark, f"{root.rstrip('/')}/event_date={r.event_date}/writer={r.writer}/batch_id={r.batch_id}")
+    return len(old)
 
 
 def preview(df: DataFrame, n: int = 20) -> DataFrame:

@@ -8,11 +8,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nimbus.operators.audit import require_clean
+from nimbus.sinks.batch import remove
+
+COMMIT = "generation long, path string"
+
+
+def commits_of(path: str) -> str:
+    """Log of a replace-style table's generations, beside its folder."""
+    return f"{path.rstrip('/')}.commits"
 
 
 def append_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = ("event_date",),
                  audits: dict[str, DataFrame] | None = None) -> None:
-    """Append after the audits pass; Spark's commit makes the append all-or-nothing."""
+    """Append after the audits pass. On a store without atomic renames a reader may see part of a running append."""
     require_clean(**(audits or {}))
     w = df.write.mode("append")
     if partition_by:
@@ -21,16 +29,16 @@ def append_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = ("eve
 
 
 def replace_table(df: DataFrame, path: str, audits: dict[str, DataFrame] | None = None,
-                  partition_by: tuple[str, ...] = ()) -> str:
+                  partition_by: tuple[str, ...] = (), keep: int = 2) -> str:
     """Full refresh of a derived table, published only when the audits pass.
 
     The reference truncates first and loads second, so a failed load leaves the
     table empty. Here the new content goes to a new ``generation=<ms>`` folder;
     only after that write has committed is a one-line record appended to the
-    table's ``commits`` log, and readers (``read_current``) take the newest
+    table's log (``<path>.commits``), and readers (``read_current``) take the newest
     recorded generation. A failed refresh leaves the previous generation
     current, and a reader that listed the old generation keeps reading intact
-    files. Returns the new folder.
+    files. Generations before the last ``keep`` are removed. Returns the new folder.
     """
     require_clean(**(audits or {}))
     gen = int(time.time() * 1000)
@@ -40,24 +48,21 @@ def replace_table(df: DataFrame, path: str, audits: dict[str, DataFrame] | None
         w = w.partitionBy(*partition_by)
     w.parquet(target)
     spark = df.sparkSession
-    (spark.createDataFrame([(gen, target)], "generation long, path string").coalesce(1)
-     .write.mode("append").json(f"{path.rstrip('/')}/commits"))
+    (spark.createDataFrame([(gen, target)], COMMIT).coalesce(1)
+     .write.mode("append").json(commits_of(path)))
+    known = spark.read.schema(COMMIT).json(commits_of(path)).orderBy(F.col("generation").desc())
+    for old in known.offset(keep).limit(100).collect():
+        remove(spark, old.path)
     return target
 
 
-def clustered_by_date(df: DataFrame, max_days: int = 7, keys=("city_id", "timestamp")) -> DataFrame:
+def clustered_by_date(df: DataFrame, keys=("city_id", "timestamp")) -> DataFrame:
     """Lay rows out for a write partitioned by ``event_date``.
 
-    Rows arriving hash-partitioned on a key put every date in every task, so a
-    partitioned write opens (tasks x dates) files: harmless for a daily
-    increment, millions of small files for a backfill over years. When ``df``
-    spans more than ``max_days`` dates it is range-partitioned on
-    ``(event_date, *keys)``: each task then holds a contiguous slice of one or
-    two dates (a hot city's day is split by time), and AQE sizes the tasks.
-    The span is one small aggregate over a single column of ``df``, which
-    should be a checkpoint, a table or a cached frame.
+    Rows arriving hash-partitioned on a key put every date in every task, so a partitioned write opens (tasks x
+    dates) files: millions of small files for a backfill over years. Range-partitioned and sorted on
+    ``(event_date, *keys)``, each task holds a contiguous slice of one or two dates (a hot city's day is split by
+    time), AQE sizes the tasks, and file statistics on the keys let readers skip.
     """
-    span = df.agg(F.datediff(F.max("event_date"), F.min("event_date")).alias("d")).first().d
-    if span is None or span < max_days:
-        return df
-    return df.repartitionByRange(F.col("event_date"), *[F.col(k) for k in keys])
+    order = [F.col("event_date"), *[F.col(k) for k in keys]]
+    return df.repartitionByRange(*order).sortWithinPartitions(*order)

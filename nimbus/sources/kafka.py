@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from nimbus.streaming.triggers import MAX_OFFSETS
+
 
 def kafka_source_options(servers: str, topic: str, starting: str = "earliest", **extra) -> dict:
     """A1/I4: subscribe to one topic; ``starting`` applies only to a fresh checkpoint."""
@@ -23,13 +25,13 @@ def read_kafka(spark: SparkSession, servers: str, topic: str, starting: str = "e
                stream: bool = True, **extra) -> DataFrame:
     """A1: messages with their coordinates (topic, partition, offset) and ``value`` (binary).
 
-    Each Kafka partition is read by its own task; ``maxOffsetsPerTrigger`` (pass it
-    in ``extra``) bounds a micro-batch after a long pause.
+    Each Kafka partition is read by its own task; ``maxOffsetsPerTrigger`` (``MAX_OFFSETS`` unless given in
+    ``extra``) bounds a micro-batch after a long pause.
     """
     reader = spark.readStream if stream else spark.read
+    if stream:
+        extra.setdefault("maxOffsetsPerTrigger", MAX_OFFSETS)
     opts = kafka_source_options(servers, topic, starting, **extra)
-    if not stream:
-        opts.pop("startingOffsets", None)
     return reader.format("kafka").options(**opts).load().select("topic", "partition", "offset", "value")
 
 

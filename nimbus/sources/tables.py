@@ -7,47 +7,73 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
-DDL = {
-    "raw": ("id BIGINT, longitude DOUBLE, latitude DOUBLE, weather_main STRING, weather_description STRING, "
-            "weather_icon STRING, temperature DOUBLE, feels_like DOUBLE, temp_min DOUBLE, temp_max DOUBLE, "
-            "pressure INT, humidity INT, sea_level INT, grnd_level INT, visibility INT, wind_speed DOUBLE, "
-            "wind_direction INT, wind_gust DOUBLE, cloud_coverage INT, timestamp BIGINT, country STRING, "
-            "sunrise BIGINT, sunset BIGINT, timezone INT, city_id INT, city STRING, weather_pos INT, event_date DATE",
-            "event_date"),
-    "staging": ("id BIGINT, weather_main STRING, weather_description STRING, weather_icon STRING, "
-                "temperature DOUBLE, feels_like DOUBLE, temp_min DOUBLE, temp_max DOUBLE, pressure INT, "
-                "humidity INT, sea_level INT, grnd_level INT, visibility INT, wind_speed DOUBLE, "
-                "wind_direction INT, wind_gust DOUBLE, cloud_coverage INT, timestamp BIGINT, sunrise BIGINT, "
-                "sunset BIGINT, timezone INT, city_id INT, timestamp_utc TIMESTAMP, weather_pos INT, "
-                "event_date DATE", "event_date"),
-    "cities": ("id INT, name STRING, country STRING, latitude DOUBLE, longitude DOUBLE", None),
-    "hourly": ("city_id INT, timestamp_hour TIMESTAMP, avg_temp DOUBLE, avg_humidity DOUBLE, "
-               "avg_wind_speed DOUBLE, avg_cloud_coverage DOUBLE", None),
+from nimbus.schemas import HOURLY_COLUMNS, PAYLOAD, RAW_COLUMNS, READING_FIELDS, STAGING_COLUMNS
+from nimbus.sinks.batch import BATCH_COLUMNS
+
+# Column types of the four tables. Readings take theirs from the payload; the partition columns of
+# batch-folder tables (``writer``, ``batch_id``) name the micro-batch that wrote a row.
+def _payload_type(path: str) -> str:
+    t = T.StructType(list(PAYLOAD.fields) + [T.StructField("w", PAYLOAD["weather"].dataType.elementType)])
+    for part in path.split("."):
+        t = t[part].dataType
+    return t.simpleString()
+
+
+_READING = {name: _payload_type(path) for name, path in READING_FIELDS}
+_TYPES = _READING | {"weather_pos": "int", "event_date": "date", "timestamp_utc": "timestamp"}
+_COLUMNS = {
+    "raw": {"id": "bigint"} | {c: _TYPES[c] for c in RAW_COLUMNS if c != "id"},
+    "staging": {"id": "bigint"} | {c: _TYPES[c] for c in STAGING_COLUMNS if c != "id"},
+    "cities": {"id": "int", "name": "string", "country": "string", "latitude": "double", "longitude": "double"},
+    "hourly": {"city_id": "int", "timestamp_hour": "timestamp"} | {c: "double" for c in HOURLY_COLUMNS[2:]} | {"event_date": "date"},
+    "quarantine": {"city_id": "int", "timestamp": "bigint", "reason": "string", "value": "string"},
 }
+_BATCHED = ("raw", "staging", "cities", "quarantine")
+CATALOG_TABLES = ("raw", "staging", "cities", "hourly")
 
 
 def schema_of(table: str) -> T.StructType:
-    return T.StructType.fromDDL(DDL[table][0])
+    return T.StructType.fromDDL(", ".join(f"{c} {t}" for c, t in _COLUMNS[table].items()))
+
+
+def batch_table_schema(table: str) -> T.StructType:
+    """Schema of a batch-folder table, with its ``writer`` and ``batch_id`` folder columns."""
+    return schema_of(table).add("writer", "string").add("batch_id", "long")
+
+
+def partitions_of(table: str) -> list[str]:
+    return [c for c in ("event_date",) if c in _COLUMNS[table]] + (list(BATCH_COLUMNS) if table in _BATCHED else [])
 
 
 def provision(spark: SparkSession, database: str, location: str) -> list[str]:
-    """Create the database and the four tables if missing (parquet, raw/staging by date)."""
+    """Create the database and the four tables if missing, partitioned as the jobs write them."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{location}'")
     made = []
-    for name, (cols, part) in DDL.items():
-        parted = f" PARTITIONED BY ({part})" if part else ""
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({cols}) USING parquet{parted} "
-                  f"LOCATION '{location}/{name}'")
+    for name in CATALOG_TABLES:
+        schema = batch_table_schema(name) if name in _BATCHED else schema_of(name)
+        cols = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields)
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({cols}) USING parquet "
+                  f"PARTITIONED BY ({', '.join(partitions_of(name))}) LOCATION '{location}/{name}'")
         made.append(f"{database}.{name}")
     return made
 
 
+def register(spark: SparkSession, database: str | None, *tables: str) -> None:
+    """Make the folders that a job wrote known to the catalog tables (nothing without a database)."""
+    for name in tables if database else ():
+        if name in CATALOG_TABLES and spark.catalog.tableExists(f"{database}.{name}"):
+            spark.catalog.recoverPartitions(f"{database}.{name}")
+            spark.catalog.refreshTable(f"{database}.{name}")
+
+
 def read_table(spark: SparkSession, path: str, table: str | None = None) -> DataFrame:
-    """A parquet table by path; an absent folder reads as an empty table of the known schema."""
+    """A parquet table by path, without its batch-folder columns; an absent folder reads as an empty table.
+
+    A known table is read with its schema, so no file is opened to infer one.
+    """
     try:
-        df = spark.read.parquet(path)
-        # tables written by streams carry their batch-folder columns
-        return df.drop("writer", "batch_id") if "batch_id" in df.columns else df
+        reader = spark.read.schema(batch_table_schema(table)) if table else spark.read
+        return reader.parquet(path).drop(*BATCH_COLUMNS)
     except AnalysisException:
         if table is None:
             raise
@@ -57,7 +83,7 @@ def read_table(spark: SparkSession, path: str, table: str | None = None) -> Data
 def current_generation(spark: SparkSession, path: str) -> str | None:
     """Folder of the newest committed generation of a replace-style table (None if never written)."""
     try:
-        log = spark.read.schema("generation long, path string").json(f"{path.rstrip('/')}/commits")
+        log = spark.read.schema("generation long, path string").json(f"{path.rstrip('/')}.commits")
         newest = log.orderBy(F.col("generation").desc()).limit(1).collect()
     except AnalysisException:
         return None
@@ -81,5 +107,5 @@ def read_table_or_none(spark: SparkSession, name: str) -> DataFrame | None:
     """
     if not spark.catalog.tableExists(name):
         return None
-    df = spark.table(name)
+    df = spark.table(name).drop(*BATCH_COLUMNS)
     return None if df.isEmpty() else df

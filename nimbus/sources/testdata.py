@@ -16,8 +16,7 @@ from nimbus.functions.timecols import event_date, wall_to_epoch
 from nimbus.schemas import CITY_COLUMNS, RAW_COLUMNS
 
 # Scenario constants (shared with the oracle SQL).
-REPLAY_EVERY = 10            # every tenth event is delivered twice ...
-REPLAY_ID_SHIFT = 10_000_000  # ... the copy at a new id
+REPLAY_EVERY = 10            # every tenth event is delivered twice, the copy at a new id
 LATE_CITY_EVERY = 10          # cities with city_id % 10 = 0 report late
 KNOWN_CITY_EVERY = 3          # customers with id % 3 <> 0 are already in the dimension
 NAMED_CITY = ("Customer#000000007", "N17")  # the dashboard's configured city
@@ -75,10 +74,15 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select(*[cols[c].alias(c) for c in RAW_COLUMNS])
 
 
+def replay_shift(spark: SparkSession, sf_dir: str) -> Column:
+    """What a copy's id is larger by: beyond every original, whatever the size of the table."""
+    return table(spark, sf_dir, "events").agg(F.max("event_id") + 1).scalar()
+
+
 def replayed_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """raw as a restarted stream leaves it: every tenth reading delivered again under a new id."""
     r = readings(spark, sf_dir)
-    copies = r.filter(F.col("id") % REPLAY_EVERY == 0).withColumn("id", F.col("id") + REPLAY_ID_SHIFT)
+    copies = r.filter(F.col("id") % REPLAY_EVERY == 0).withColumn("id", F.col("id") + replay_shift(spark, sf_dir))
     return r.unionByName(copies)
 
 
@@ -124,21 +128,6 @@ def cities_with_nation_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- messages: the readings as JSON text on a message bus -------------------------------------
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give a thinly split input one partition per core before per-row heavy work.
-
-    A small table in one file/row group scans as a single task; rendering and
-    parsing JSON is per-row work worth spreading. Inputs that already have
-    enough splits (any large table) are left alone, so no shuffle is added at scale.
-    """
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - a Spark Connect session exposes neither; leave the input as is
-        return df
-    return df if splits >= cores else df.repartition(cores)
-
-
 def _weather_list(r: Column) -> Column:
     """``event_id % 3`` conditions: 0 -> missing (id % 6 = 0) or empty list, 2 -> two conditions."""
     eid = F.col("id")
@@ -174,17 +163,29 @@ def payload_json(r: DataFrame) -> Column:
     ))
 
 
+def as_messages(r: DataFrame) -> DataFrame:
+    """Readings as bus messages with Kafka-style coordinates; ``offset`` is the reading's id."""
+    return r.select(F.lit("readings").alias("topic"), F.lit(0).alias("partition"),
+                    F.col("id").alias("offset"), payload_json(r).alias("value"))
+
+
+def replays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every tenth message delivered again at a new offset (same text), as after a producer retry."""
+    m = as_messages(readings(spark, sf_dir).filter(F.col("id") % REPLAY_EVERY == 0))
+    return m.withColumn("offset", F.col("offset") + replay_shift(spark, sf_dir))
+
+
 def messages(spark: SparkSession, sf_dir: str, replay: bool = False) -> DataFrame:
-    """Bus messages with Kafka-style coordinates (topic, partition, offset, value).
+    """Bus messages; with ``replay`` the redelivered ones too."""
+    m = as_messages(readings(spark, sf_dir))
+    return m.unionByName(replays(spark, sf_dir)) if replay else m
 
-    ``offset`` is the event id; with ``replay`` every tenth message is delivered
-    again at a new offset (same text), as after a producer retry.
-    """
-    r = spread(readings(spark, sf_dir))
-    m = r.select(F.lit("readings").alias("topic"), F.lit(0).alias("partition"),
-                 F.col("id").alias("offset"), payload_json(r).alias("value"))
-    if replay:
-        again = m.filter(F.col("offset") % REPLAY_EVERY == 0).withColumn(
-            "offset", F.col("offset") + REPLAY_ID_SHIFT)
-        m = m.unionByName(again)
-    return m
+
+def broken_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bus with every kind of message that gives no reading: no city (id % 20 = 0), no time (id % 20 = 10),
+    no conditions, and text cut in the middle (id % 20 = 5)."""
+    r = readings(spark, sf_dir)
+    r = (r.withColumn("city_id", F.when(F.col("id") % 20 != 0, F.col("city_id")))
+         .withColumn("timestamp", F.when(F.col("id") % 20 != 10, F.col("timestamp"))))
+    cut = F.when(F.col("offset") % 20 == 5, F.expr("left(value, 40)")).otherwise(F.col("value"))
+    return as_messages(r).withColumn("value", cut)

@@ -1,45 +1,40 @@
-"""I8: hourly averages as a streaming aggregation (same result as the batch rollup)."""
+"""I8 / L3: hourly averages kept up to date from new staging rows (same result as the batch rollup)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nimbus.schemas import HOURLY_COLUMNS
-from nimbus.sinks.batch import write_batch, writer_tag
-from nimbus.streaming.triggers import start
+from nimbus.functions.timecols import event_date
+from nimbus.operators.rollup import hourly_avg
+from nimbus.sources.tables import batch_table_schema, read_table
+from nimbus.streaming.triggers import MAX_FILES, start
 
 
-def hourly_updates(staging: DataFrame, watermark: str = "2 hours") -> DataFrame:
-    """Tumbling one-hour windows per city on ``timestamp_utc``.
+def staging_stream(spark: SparkSession, staging_path: str, max_files_per_trigger: int = MAX_FILES) -> DataFrame:
+    """New files of the staging table as a stream."""
+    return (spark.readStream.schema(batch_table_schema("staging")).option("maxFilesPerTrigger", str(max_files_per_trigger))
+            .parquet(staging_path))
 
-    The watermark lets Spark drop the state of hours that can no longer change;
-    readings later than it are not counted (the batch rollup counts them).
-    """
-    agg = (staging.withWatermark("timestamp_utc", watermark)
-           .groupBy("city_id", F.window("timestamp_utc", "1 hour"))
-           .agg(F.avg("temperature").alias("avg_temp"), F.avg("humidity").alias("avg_humidity"),
-                F.avg("wind_speed").alias("avg_wind_speed"),
-                F.avg("cloud_coverage").alias("avg_cloud_coverage")))
-    return agg.withColumn("timestamp_hour", F.col("window.start")).select(*HOURLY_COLUMNS)
-
-
-def start_hourly(staging: DataFrame, hourly_path: str, checkpoint: str, watermark: str = "2 hours",
-                 trigger: dict | None = None):
-    """Update mode: each micro-batch writes the hours it changed into its own batch folder."""
-    tag = writer_tag(checkpoint)
-    writer = hourly_updates(staging, watermark).writeStream.outputMode("update").foreachBatch(
-        lambda df, bid: write_batch(df, bid, hourly_path, partition_by=(), writer=tag))
-    return start(writer, checkpoint, trigger)
 
+def hourly_batch(batch: DataFrame, staging_path: str, hourly_path: str) -> None:
+    """Recompute the dates that new readings touch, and only those, and replace them in the hourly table.
 
-def read_hourly(spark: SparkSession, hourly_path: str) -> DataFrame:
-    """The current hourly table: for each (city, hour) the version of the latest batch.
-
-    A partial group limit runs before the shuffle, so each map task sends one
-    version per key.
+    The averages come from the whole staging rows of a date, so a reading counts however late it is, and a retried
+    batch writes the same rows again.
     """
-    versions = spark.read.parquet(hourly_path)
-    w = Window.partitionBy("city_id", "timestamp_hour").orderBy(F.col("batch_id").desc(), F.col("writer").desc())
-    return (versions.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1)
-            .select(*HOURLY_COLUMNS))
+    spark = batch.sparkSession
+    dates = [r[0] for r in batch.select("event_date").distinct().collect()]       # one value a day
+    if not dates:
+        return
+    rows = read_table(spark, staging_path, "staging").filter(F.col("event_date").isin(dates))
+    hours = hourly_avg(rows).withColumn("event_date", event_date(F.unix_seconds("timestamp_hour")))
+    (hours.repartitionByRange("event_date", "city_id").sortWithinPartitions("event_date", "city_id", "timestamp_hour")
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("event_date").parquet(hourly_path))
+
+
+def start_hourly(staging: DataFrame, staging_path: str, hourly_path: str, checkpoint: str, trigger: dict | None = None):
+    """Each micro-batch of new staging rows refreshes the dates it touches."""
+    writer = staging.writeStream.outputMode("append").foreachBatch(
+        lambda df, bid: hourly_batch(df, staging_path, hourly_path))
+    return start(writer, checkpoint, trigger)

@@ -1,8 +1,8 @@
-"""New raw rows start the staging update - a second streaming query over the raw table.
+"""New raw rows start the staging update - a second streaming query over the raw table.
 
-Replaces the reference's database trigger -> socket -> scheduler chain: the
-raw table's new files are the stream, and each micro-batch runs the batch
-staging operators against what is already staged.
+Replaces the reference's database trigger -> socket -> scheduler chain: the raw table's new files are the
+stream (its checkpoint is the ledger of what was processed), and each micro-batch runs the batch staging
+operators against what is already staged.
 """
 
 from __future__ import annotations
@@ -10,59 +10,55 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nimbus.operators.staging import ANTI, city_candidates, increment, new_cities, to_staging
-from nimbus.sinks.batch import BATCH_COLUMNS, write_batch, writer_tag
+from nimbus.operators.staging import ANTI, city_candidates, increment, new_cities, set_aside, to_staging, violation
+from nimbus.session import run_dir
+from nimbus.sinks.batch import BATCH_COLUMNS, remove, write_batch, writer_tag
 from nimbus.sinks.tables import clustered_by_date
-from nimbus.sources.tables import read_table, schema_of
-from nimbus.streaming.triggers import start
+from nimbus.sources.tables import batch_table_schema, schema_of
+from nimbus.streaming.triggers import MAX_FILES, start
+from pyspark.sql.utils import AnalysisException
 
 
-def raw_stream(spark: SparkSession, raw_path: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """New files of the raw table as a stream (schema fixed; ``batch_id`` from the folder names).
-
-    A retried ingest batch rewrites its folder under new file names; a listed
-    file that vanished meanwhile is skipped (``ignoreMissingFiles``) because its
-    rows come back in the rewritten files, which the stream picks up next.
-    """
-    r = spark.readStream.schema(batch_table_schema("raw")).option("ignoreMissingFiles", "true")
-    if max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return r.parquet(raw_path).drop(*BATCH_COLUMNS)
-
-
-def batch_table_schema(table: str):
-    """Schema of a batch-folder table, with its ``writer`` and ``batch_id`` folder columns."""
-    return schema_of(table).add("writer", "string").add("batch_id", "long")
+def raw_stream(spark: SparkSession, raw_path: str, max_files_per_trigger: int = MAX_FILES) -> DataFrame:
+    """New files of the raw table as a stream (schema fixed). A listed file that is gone fails the batch."""
+    return (spark.readStream.schema(batch_table_schema("raw")).option("maxFilesPerTrigger", str(max_files_per_trigger))
+            .parquet(raw_path).drop(*BATCH_COLUMNS))
 
 
 def _others(spark: SparkSession, path: str, table: str, writer: str, batch_id: int) -> DataFrame:
     """A batch-folder table without this batch's own folder (a retry must not see its first try)."""
-    df = read_table(spark, path, table)
-    if "batch_id" in df.columns:
-        own = (F.col("writer") == F.lit(writer)) & (F.col("batch_id") == F.lit(batch_id))
-        df = df.filter(~own).drop(*BATCH_COLUMNS)
-    return df
+    try:
+        df = spark.read.schema(batch_table_schema(table)).parquet(path)
+    except AnalysisException:
+        return spark.createDataFrame([], schema_of(table))
+    own = F.col("writer").eqNullSafe(F.lit(writer)) & F.col("batch_id").eqNullSafe(F.lit(int(batch_id)))
+    return df.filter(~own).drop(*BATCH_COLUMNS)
 
 
-def staging_batch(batch: DataFrame, batch_id: int, staging_path: str, cities_path: str, writer: str) -> None:
+def staging_batch(batch: DataFrame, batch_id: int, staging_path: str, cities_path: str, quarantine_path: str,
+                  writer: str) -> None:
+    """Violating readings to the quarantine, new cities to the dimension, then the increment to staging."""
     spark = batch.sparkSession
-    batch = batch.persist()
+    dates = [r[0] for r in batch.select("event_date").distinct().collect()]       # one value a day
+    if not dates:
+        return
+    write_batch(set_aside(batch), batch_id, quarantine_path, partition_by=(), writer=writer)
+    good = batch.filter(violation().isNull())
+    work = f"{run_dir(spark, 'increment')}"
+    increment(good, _others(spark, staging_path, "staging", writer, batch_id), mode=ANTI, dedupe_first=True,
+              dates=dates).write.parquet(work)
     try:
-        staged = _others(spark, staging_path, "staging", writer, batch_id)
-        inc = increment(batch, staged, mode=ANTI, dedupe_first=True).persist()
-        # a catch-up batch after downtime can span many days: cluster it like the batch job
-        write_batch(clustered_by_date(to_staging(inc)), batch_id, staging_path, writer=writer)
+        inc = spark.read.schema(schema_of("raw")).parquet(work)
         known = _others(spark, cities_path, "cities", writer, batch_id)
-        write_batch(new_cities(city_candidates(inc), known), batch_id, cities_path, partition_by=(),
-                    writer=writer)
-        inc.unpersist()
+        write_batch(new_cities(city_candidates(inc), known), batch_id, cities_path, partition_by=(), writer=writer)
+        write_batch(clustered_by_date(to_staging(inc)), batch_id, staging_path, writer=writer)
     finally:
-        batch.unpersist()
+        remove(spark, work)
 
 
-def start_staging(raw: DataFrame, staging_path: str, cities_path: str, checkpoint: str,
+def start_staging(raw: DataFrame, staging_path: str, cities_path: str, quarantine_path: str, checkpoint: str,
                   trigger: dict | None = None):
     tag = writer_tag(checkpoint)
     writer = raw.writeStream.outputMode("append").foreachBatch(
-        lambda df, bid: staging_batch(df, bid, staging_path, cities_path, tag))
+        lambda df, bid: staging_batch(df, bid, staging_path, cities_path, quarantine_path, tag))
     return start(writer, checkpoint, trigger)

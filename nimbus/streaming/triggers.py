@@ -6,6 +6,9 @@ from __future__ import annotations
 DEFAULT_TRIGGER = {"processingTime": "10 seconds"}
 # Drain what is there now, in as many micro-batches as the source limits allow, then stop.
 AVAILABLE_NOW = {"availableNow": True}
+# Bounds of one micro-batch, unless the caller gives others: a first run over a long history is cut into many.
+MAX_FILES = 1000
+MAX_OFFSETS = 5_000_000
 
 
 def start(writer, checkpoint: str, trigger: dict | None = None, name: str | None = None):
