@@ -57,10 +57,10 @@ def test_flatten_and_quarantine(spark):
     raw, bad = dec.messages_to_raw(messages(spark, lines))
     assert raw.columns == RAW_COLUMNS
     rows = raw.collect()
-    # ok, two conditions (2 rows), gust missing, humidity float, dt missing, sixty later
-    assert len(rows) == 7
+    # ok, two conditions (2 rows), gust missing, humidity float, sixty later; the one without a time is set aside
+    assert len(rows) == 6
     reasons = sorted(r.reason for r in bad.collect())
-    assert reasons == ["malformed", "no_weather", "no_weather", "no_weather"]
+    assert reasons == ["malformed", "no_weather", "no_weather", "no_weather", "null_key"]
     by_ts = {}
     for r in rows:
         by_ts.setdefault(r.timestamp, []).append(r)
@@ -69,10 +69,10 @@ def test_flatten_and_quarantine(spark):
     # a wrong-typed scalar becomes null, the rest of the reading survives
     hum = [r for r in rows if r.timestamp == 1744502521]
     assert len(hum) == 1 and hum[0].humidity is None and hum[0].temperature == 12.5
-    assert any(r.timestamp is None for r in rows)            # dt missing kept in raw
+    assert all(r.timestamp is not None for r in rows)
     assert any(r.wind_gust is None for r in rows)            # gust missing
     # every reading gets its own id; city columns are renamed
-    assert len({r.id for r in rows}) == 7
+    assert len({r.id for r in rows}) == 6
     ok = by_ts[1744502461]
     assert {r.city for r in ok} == {"London"} and {r.city_id for r in ok} == {5128581}
     assert all(r.event_date is not None for r in rows if r.timestamp is not None)

@@ -10,53 +10,76 @@ from nimbus.plans import jobs
 from nimbus.plans.catalog import comparable
 from nimbus.sources import testdata as td
 from nimbus.sources.files import write_messages
-from nimbus.sources.tables import current_generation, read_current
+from nimbus.sources.tables import read_table
 
 
 def sorted_rows(df):
     return sorted((tuple(r) for r in df.collect()), key=repr)
 
 
+def files_of(path):
+    import os
+    return {os.path.join(p, f) for p, _, fs in os.walk(path) for f in fs if f.endswith(".parquet")}
+
+
 def test_pipeline_jobs(spark, tmp):
     paths = jobs.Paths(f"{tmp}/tables")
     write_messages(td.messages(spark, SF_SMALL, replay=True), f"{tmp}/messages")
-    m = jobs.ingest_files(spark, f"{tmp}/messages", paths)
-    raw = spark.read.parquet(paths.raw)
-    assert m["raw_rows"] == raw.count() and m["quarantined"] == spark.read.parquet(paths.quarantine).count()
+    assert jobs.ingest_files(spark, f"{tmp}/messages", paths) >= 1
+    raw = read_table(spark, paths.raw, "raw")
     events = td.readings(spark, SF_SMALL)
     valid = events.filter(F.col("id") % 3 != 0)
-    assert spark.read.parquet(paths.quarantine).count() == events.count() - valid.count() + \
+    assert read_table(spark, paths.quarantine, "quarantine").count() == events.count() - valid.count() + \
         events.filter((F.col("id") % 3 == 0) & (F.col("id") % 10 == 0)).count()
+    n_raw = raw.count()
+    assert jobs.ingest_files(spark, f"{tmp}/messages", paths) == 0          # the same folder again adds nothing
+    assert read_table(spark, paths.raw, "raw").count() == n_raw
 
-    m = jobs.update_staging(spark, paths)
-    stg = spark.read.parquet(paths.staging)
+    jobs.update_staging(spark, paths)
+    stg = read_table(spark, paths.staging, "staging")
     n = stg.count()
-    assert m["staged_rows"] == n and m["new_cities"] == spark.read.parquet(paths.cities).count()
     assert n == valid.count() == stg.select("city_id", "timestamp").distinct().count()
-    cities = spark.read.parquet(paths.cities)
+    cities = read_table(spark, paths.cities, "cities")
     assert cities.count() == raw.select("city_id").distinct().count()
-
-    m = jobs.update_staging(spark, paths)             # nothing new: adds nothing
-    assert m == {"new_cities": 0, "staged_rows": 0}
-    assert spark.read.parquet(paths.staging).count() == n
-    assert spark.read.parquet(paths.cities).count() == cities.count()
-
     jobs.rollup_hourly(spark, paths)
-    hourly = read_current(spark, paths.hourly)
-    assert sorted_rows(comparable(hourly)) == sorted_rows(comparable(hourly_avg(spark.read.parquet(paths.staging))))
-    first_gen = current_generation(spark, paths.hourly)
-    jobs.rollup_hourly(spark, paths)                  # full refresh, same content, new generation
-    assert current_generation(spark, paths.hourly) != first_gen
-    assert read_current(spark, paths.hourly).count() == hourly.count()
-    assert hourly.count() > 0                         # a reader of the old generation still works
+    hourly = read_table(spark, paths.hourly, "hourly")
+    assert sorted_rows(comparable(hourly.drop("event_date"))) == sorted_rows(comparable(hourly_avg(stg)))
+
+    # a second run over an unchanged table opens no raw partition and rewrites no hourly date
+    before = files_of(paths.staging), files_of(paths.hourly)
+    assert jobs.update_staging(spark, paths) == 0 and jobs.rollup_hourly(spark, paths) == 0
+    assert (files_of(paths.staging), files_of(paths.hourly)) == before
 
     name = cities.orderBy("id").first()
-    card = jobs.current_card(spark, paths, name["name"], name["country"]).collect()
+    top = F.timestamp_seconds(F.lit(stg.filter(F.col("city_id") == name["id"]).agg(F.max("timestamp")).first()[0]))
+    card = jobs.current_card(spark, paths, name["name"], name["country"], now=top).collect()
     assert len(card) == 1 and card[0].city_id == name["id"]
-    now = F.timestamp_seconds(F.lit(spark.read.parquet(paths.staging).agg(F.max("timestamp")).first()[0]))
-    series, overlay = jobs.day_view(spark, paths, name["name"], name["country"], 24 * 40, now)
-    assert series.count() == stg.filter(F.col("city_id") == name["id"]).count()
-    assert overlay.count() == hourly.filter(F.col("city_id") == name["id"]).count()
+    assert jobs.current_card(spark, paths, name["name"], name["country"]).isEmpty()     # nothing in the last 24 h of now
+    series, overlay = jobs.day_view(spark, paths, name["name"], name["country"], 24 * 40, top)
+    own = stg.filter(F.col("city_id") == name["id"]).count()
+    assert 0 < series.count() <= own and 0 < overlay.count() <= own
+    assert jobs.refreshed(None, series) is series and jobs.refreshed(series, series) is None
+
+    # every scan of staging and hourly is bounded by date
+    for df in (jobs.current_card(spark, paths, "x", "y", now=top), *jobs.day_view(spark, paths, "x", "y", now=top)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        scans = [ln for ln in plan.splitlines() if "FileScan parquet" in ln and ("/staging" in ln or "/hourly" in ln)]
+        assert scans and all("event_date" in ln.split("PartitionFilters: [")[1].split("]")[0] for ln in scans)
+
+
+def test_bad_rows_are_set_aside_and_the_run_goes_on(spark, tmp):
+    """A reading without a city name: the same staging, cities and quarantine from the job and from the batch function."""
+    from conftest import raw_df, raw_row
+    from nimbus.sinks.batch import write_batch
+    from nimbus.streaming.staging import staging_batch
+    rows = raw_df(spark, [raw_row(id=1, city_id=1), raw_row(id=2, city_id=2, city=None), raw_row(id=3, city_id=3, country="TOOLONG")])
+    paths = jobs.Paths(f"{tmp}/a")
+    write_batch(rows, 0, paths.raw)
+    jobs.update_staging(spark, paths)
+    staging_batch(rows, 0, f"{tmp}/b/staging", f"{tmp}/b/cities", f"{tmp}/b/quarantine", "w")
+    for name, expected in (("staging", 1), ("cities", 1), ("quarantine", 2)):
+        one, two = (read_table(spark, f"{tmp}/{x}/{name}", name) for x in "ab")
+        assert sorted_rows(one) == sorted_rows(two) and one.count() == expected, name
 
 
 def test_staging_refuses_unknown_cities_violation(spark, tmp):
@@ -74,21 +97,12 @@ def test_staging_refuses_unknown_cities_violation(spark, tmp):
 
 
 def test_backfill_write_is_clustered_by_date(spark, tmp):
-    """A many-day increment is range-clustered before the partitioned write: each task writes one
-    or two date folders, not one file per (task, date)."""
-    import os
+    """An increment is range-clustered before the partitioned write: each task writes one or two date folders, not one
+    file per (task, date)."""
+    from nimbus.sinks.tables import clustered_by_date
     r = td.readings(spark, SF_SMALL)
-    days = r.select("event_date").distinct().count()
-    assert days >= 7
     wide = r.repartition(4, "city_id", "timestamp")          # as after the de-duplication shuffle
-    out = jobs.clustered_by_date(wide, 7)
-    assert out is not wide
-    out.write.partitionBy("event_date").parquet(f"{tmp}/clustered")
+    clustered_by_date(wide).write.partitionBy("event_date").parquet(f"{tmp}/clustered")
     wide.write.partitionBy("event_date").parquet(f"{tmp}/hashed")
-
-    def files(p):
-        return sum(1 for _, _, fs in os.walk(p) for f in fs if f.endswith(".parquet"))
-    assert files(f"{tmp}/clustered") < files(f"{tmp}/hashed")
+    assert len(files_of(f"{tmp}/clustered")) < len(files_of(f"{tmp}/hashed"))
     assert sorted_rows(spark.read.parquet(f"{tmp}/clustered")) == sorted_rows(r)
-    daily = r.filter(F.col("event_date") == r.agg(F.min("event_date")).first()[0])
-    assert jobs.clustered_by_date(daily, 7) is daily                # a daily increment is left as is

@@ -73,6 +73,21 @@ def test_detect_changes_equals_lag_rule(spark):
     assert j.filter(F.col("is_change") != F.col("exp")).count() == 0
 
 
+def test_detect_changes_with_repeated_and_null_ids(spark):
+    df = raw_df(spark, [raw_row(id=7, city_id=1, timestamp=5), raw_row(id=7, city_id=1, timestamp=5),
+                        raw_row(id=None, city_id=2, timestamp=9), raw_row(id=3, city_id=2, timestamp=9),
+                        raw_row(id=None, city_id=3, timestamp=1)])
+    got = sorted((r.city_id, r.id is None, r.is_change) for r in series.detect_changes(df).collect())
+    assert got == [(1, False, False), (1, False, True), (2, False, False), (2, True, True), (3, True, True)]
+
+
+def test_snapshot_diff_replicates_a_million_copies(spark):
+    many = spark.range(1_000_000).selectExpr("1 k", "'a' v")
+    none = many.limit(0)
+    out = diff.snapshot_diff(none, many)
+    assert out.count() == 1_000_000 and out.distinct().count() == 1
+
+
 def test_snapshot_diff_bag_semantics(spark):
     prev = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b")], "k int, v string")
     cur = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "k int, v string")

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import raw_df, raw_row
-from nimbus.sinks.batch import write_batch
+from nimbus.sinks.batch import compact, write_batch
 from nimbus.sinks.tables import replace_table
 from nimbus.operators.audit import ConstraintViolation, pk_violations
 from nimbus.sources import jdbc, kafka
@@ -33,15 +33,57 @@ def test_jdbc_option_shapes():
     assert p == {"partitionColumn": "id", "lowerBound": "0", "upperBound": "1000", "numPartitions": "8"}
 
 
-def test_write_batch_idempotent_and_skips_empty(spark, tmp):
+def test_write_batch_is_idempotent(spark, tmp):
     df = raw_df(spark, [raw_row(id=1), raw_row(id=2)])
-    assert write_batch(df, 0, f"{tmp}/raw")
-    assert write_batch(df, 0, f"{tmp}/raw")          # retried batch replaces itself
-    assert not write_batch(df.limit(0), 1, f"{tmp}/raw")
+    write_batch(df, 0, f"{tmp}/raw")
+    write_batch(df, 0, f"{tmp}/raw")                 # a retried batch replaces itself
+    write_batch(df.limit(0), 1, f"{tmp}/raw")        # an empty one writes no row
     back = spark.read.parquet(f"{tmp}/raw")
     assert back.count() == 2 and set(back.columns) >= {"batch_id", "event_date"}
 
 
+def test_compaction_bounds_the_files_of_closed_dates(spark, tmp):
+    import os
+    for n in range(50):
+        write_batch(raw_df(spark, [raw_row(id=n, city_id=n, timestamp=1744502461 + n)]).coalesce(1), n, f"{tmp}/raw")
+    before = sorted(tuple(r) for r in read_table(spark, f"{tmp}/raw", "raw").select("id", "city_id", "timestamp").collect())
+    dates = [r.event_date for r in read_table(spark, f"{tmp}/raw", "raw").select("event_date").distinct().collect()]
+    assert compact(spark, f"{tmp}/raw", "raw", dates) == 50
+    files = [f for _, _, fs in os.walk(f"{tmp}/raw") for f in fs if f.endswith(".parquet")]
+    assert len(files) <= 4
+    after = sorted(tuple(r) for r in read_table(spark, f"{tmp}/raw", "raw").select("id", "city_id", "timestamp").collect())
+    assert before == after and len(after) == 50
+
+
+def test_old_generations_are_removed(spark, tmp):
+    import os
+    import time
+    for n in range(4):
+        replace_table(spark.createDataFrame([(n,)], "id int"), f"{tmp}/t", keep=2)
+        time.sleep(0.005)
+    assert len([d for d in os.listdir(f"{tmp}/t") if d.startswith("generation=")]) == 2
+    assert [tuple(r) for r in read_current(spark, f"{tmp}/t").collect()] == [(3,)]
+
+
+def test_jobs_on_provisioned_tables(spark, tmp):
+    """A12 then L2 and L3: the catalog tables give the rows that the jobs wrote."""
+    from conftest import SF_SMALL
+    from nimbus.plans import jobs
+    from nimbus.sources import testdata as td
+    provision(spark, "nimbus_jobs", f"{tmp}/wh")
+    paths = jobs.Paths(f"{tmp}/wh", database="nimbus_jobs")
+    write_batch(td.readings(spark, SF_SMALL), 0, paths.raw)
+    jobs.update_staging(spark, paths)
+    jobs.rollup_hourly(spark, paths)
+    from nimbus.sources.tables import register
+    register(spark, "nimbus_jobs", "raw")
+    for name in ("raw", "staging", "cities", "hourly"):
+        stored = read_table(spark, getattr(paths, name), name)
+        assert read_table_or_none(spark, f"nimbus_jobs.{name}").count() == stored.count() > 0, name
+    assert not [k for k, v in jobs.constraint_audits(spark, paths).items() if not v.isEmpty()]
+    spark.sql("DROP DATABASE nimbus_jobs CASCADE")
+
+
 def test_replace_table_is_guarded(spark, tmp):
     import time
     good = spark.createDataFrame([(1, "a")], "id int, v string")
@@ -62,8 +104,8 @@ def test_provision_and_read_helpers(spark, tmp):
     provision(spark, "nimbus_test", f"{tmp}/wh")        # if not exists: second call is a no-op
     assert read_table_or_none(spark, "nimbus_test.cities") is None           # empty
     assert read_table_or_none(spark, "nimbus_test.nope") is None             # missing
-    spark.createDataFrame([(1, "x", "UK", 1.0, 2.0)], "id int, name string, country string, latitude double, "
-                          "longitude double").write.insertInto("nimbus_test.cities")
+    spark.createDataFrame([(1, "x", "UK", 1.0, 2.0, "w", 0)], "id int, name string, country string, latitude double, "
+                          "longitude double, writer string, batch_id long").write.insertInto("nimbus_test.cities")
     assert read_table_or_none(spark, "nimbus_test.cities").count() == 1
     raw = spark.table("nimbus_test.raw")
     assert raw.schema["event_date"].dataType.simpleString() == "date"

@@ -30,7 +30,8 @@ def test_increment_global_loses_late_city_anti_keeps_it(spark):
                          raw_row(id=6, city_id=3, timestamp=None)])
     assert keyset(st.increment(raw, staged, "global")) == [(2, 6000)]
     assert keyset(st.increment(raw, staged, "anti")) == [(1, 2000), (2, 6000)]
-    assert sorted(r.id for r in st.null_key_rows(raw).collect()) == [5, 6]
+    aside = st.set_aside(raw).collect()
+    assert sorted(r.reason for r in aside) == ["null_key", "null_key"] and all('"id":' in r.value for r in aside)
 
 
 def test_increment_against_empty_staging(spark):
@@ -40,11 +41,18 @@ def test_increment_against_empty_staging(spark):
     assert st.increment(raw, empty, "anti").count() == 2
 
 
-def test_increment_lookback_bounds_both_sides(spark):
-    staged = st.stage(raw_df(spark, [raw_row(id=1, city_id=1, timestamp=100_000)]))
-    raw = raw_df(spark, [raw_row(id=2, city_id=1, timestamp=10), raw_row(id=3, city_id=1, timestamp=99_000)])
-    assert keyset(st.increment(raw, staged, "anti", lookback_seconds=5000)) == [(1, 99_000)]
-    assert keyset(st.increment(raw, staged, "anti")) == [(1, 10), (1, 99_000)]
+def test_increment_keeps_a_reading_months_late(spark):
+    staged = st.stage(raw_df(spark, [raw_row(id=1, city_id=1, timestamp=20_000_000)]))
+    raw = raw_df(spark, [raw_row(id=2, city_id=1, timestamp=10), raw_row(id=3, city_id=1, timestamp=20_000_000)])
+    assert keyset(st.increment(raw, staged, "anti")) == [(1, 10)]
+    dates = [r.event_date for r in raw.select("event_date").distinct().collect()]
+    assert keyset(st.increment(raw, staged, "anti", dedupe_first=True, dates=dates)) == [(1, 10)]
+
+
+def test_violating_readings_have_a_reason(spark):
+    raw = raw_df(spark, [raw_row(id=1), raw_row(id=2, city=None), raw_row(id=3, latitude=None),
+                         raw_row(id=4, country="TOOLONG"), raw_row(id=5, city_id=None, city=None), raw_row(id=6, country=None)])
+    assert sorted(r.reason for r in st.set_aside(raw).collect()) == ["city_not_null", "city_not_null", "country_length", "null_key"]
 
 
 def test_dedupe_first_condition_then_lowest_id(spark):
@@ -116,13 +124,13 @@ def test_dedupe_first_equals_dedupe_after(spark):
         assert sorted(tuple(r) for r in a.collect()) == sorted(tuple(r) for r in b.collect())
 
 
-def test_lookback_prunes_raw_partitions(spark, tmp):
+def test_dates_open_only_their_partitions_of_staging(spark, tmp):
     rows = [raw_row(id=i, city_id=1, timestamp=1_744_500_000 + i * 86400) for i in range(6)]
-    raw_df(spark, rows).write.partitionBy("event_date").parquet(f"{tmp}/raw")
     st.stage(raw_df(spark, rows[:4])).write.partitionBy("event_date").parquet(f"{tmp}/stg")
-    raw, stg = spark.read.parquet(f"{tmp}/raw"), spark.read.parquet(f"{tmp}/stg")
-    inc = st.increment(raw, stg, "anti", lookback_seconds=2 * 86400, dedupe_first=True)
+    new = raw_df(spark, rows[3:])
+    dates = [r.event_date for r in new.select("event_date").distinct().collect()]
+    inc = st.increment(new, spark.read.parquet(f"{tmp}/stg"), "anti", dedupe_first=True, dates=dates)
     assert sorted(r.id for r in inc.collect()) == [4, 5]
     plan = inc._jdf.queryExecution().executedPlan().toString()
-    scans = [ln for ln in plan.splitlines() if "FileScan parquet" in ln and "/raw" in ln]
-    assert scans and all("PartitionFilters: [isnotnull(event_date" in ln for ln in scans)
+    scans = [ln for ln in plan.splitlines() if "FileScan parquet" in ln and "/stg" in ln]
+    assert scans and all("PartitionFilters: [" in ln and "PartitionFilters: []" not in ln for ln in scans)

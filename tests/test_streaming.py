@@ -10,19 +10,17 @@ from nimbus.operators.staging import stage
 from nimbus.plans.catalog import comparable
 from nimbus.sources import testdata as td
 from nimbus.sources.files import read_messages, write_messages
-from nimbus.streaming.dedupe import dedupe_stream
-from nimbus.streaming.hourly import read_hourly, start_hourly
+from nimbus.streaming.dedupe import start_dedupe
+from nimbus.streaming.hourly import staging_stream, start_hourly
 from nimbus.streaming.ingest import start_ingest
-from nimbus.streaming.staging import batch_table_schema, raw_stream, start_staging
+from nimbus.streaming.staging import raw_stream, start_staging
 from nimbus.streaming.triggers import AVAILABLE_NOW, run_to_end
 from conftest import SF_SMALL
 
 
 def publish(spark, root):
-    msgs = td.messages(spark, SF_SMALL, replay=True)
-    write_messages(msgs.filter(F.col("offset") < td.REPLAY_ID_SHIFT).repartitionByRange(3, "offset"),
-                   f"{root}/messages")
-    write_messages(msgs.filter(F.col("offset") >= td.REPLAY_ID_SHIFT).coalesce(1), f"{root}/messages")
+    write_messages(td.messages(spark, SF_SMALL).repartitionByRange(3, "offset"), f"{root}/messages")
+    write_messages(td.replays(spark, SF_SMALL).coalesce(1), f"{root}/messages")
     with open(f"{root}/messages/part-zz-bad.txt", "w") as f:
         f.write('{"coord": {"lon": 1.0,\n{"dt": 5, "id": 1}\n')
 
@@ -50,9 +48,8 @@ def test_ingest_stream_equals_batch_and_restarts_add_nothing(spark, tmp):
     bad = spark.read.parquet(f"{tmp}/quarantine").drop("writer", "batch_id")
     assert rows(bad.select(*batch_bad.columns)) == rows(batch_bad)
     assert {r.reason for r in bad.collect()} == {"malformed", "no_weather"}
-    (writer,) = os.listdir(f"{tmp}/raw")
-    n_batches = len([d for d in os.listdir(f"{tmp}/raw/{writer}") if d.startswith("batch_id=")])
-    assert n_batches >= 2
+    folders = spark.read.parquet(f"{tmp}/raw").select("writer", "batch_id").distinct().collect()
+    assert len(folders) >= 2 and len({r.writer for r in folders}) == 1
     n = streamed.count()
     # restart on the same checkpoint: nothing new
     ingest(spark, tmp)
@@ -61,9 +58,11 @@ def test_ingest_stream_equals_batch_and_restarts_add_nothing(spark, tmp):
     from nimbus.streaming.ingest import ingest_batch
     from nimbus.sinks.batch import writer_tag
     again = read_messages(spark, f"{tmp}/messages", stream=False).limit(50)
-    ingest_batch(again, 0, f"{tmp}/raw", f"{tmp}/quarantine", writer_tag(f"{tmp}/_ck/ingest"))
-    ingest_batch(again, 0, f"{tmp}/raw", f"{tmp}/quarantine", writer_tag(f"{tmp}/_ck/ingest"))
-    assert spark.read.parquet(f"{tmp}/raw/{writer}/batch_id=0").count() == messages_to_raw(again)[0].count()
+    ingest_batch(again, 7, f"{tmp}/raw", f"{tmp}/quarantine", writer_tag(f"{tmp}/_ck/ingest"))
+    ingest_batch(again, 7, f"{tmp}/raw", f"{tmp}/quarantine", writer_tag(f"{tmp}/_ck/ingest"))
+    tag = writer_tag(f"{tmp}/_ck/ingest")
+    mine = spark.read.parquet(f"{tmp}/raw").filter((F.col("writer") == tag) & (F.col("batch_id") == 7))
+    assert mine.count() == messages_to_raw(again)[0].count()
 
 
 def test_staging_hourly_dedupe_streams_equal_batch(spark, tmp):
@@ -71,7 +70,7 @@ def test_staging_hourly_dedupe_streams_equal_batch(spark, tmp):
     ingest(spark, tmp)
     raw = spark.read.parquet(f"{tmp}/raw").drop("writer", "batch_id")
     run_to_end(start_staging(raw_stream(spark, f"{tmp}/raw", max_files_per_trigger=4), f"{tmp}/staging",
-                             f"{tmp}/cities", f"{tmp}/_ck/staging", AVAILABLE_NOW))
+                             f"{tmp}/cities", f"{tmp}/quarantine", f"{tmp}/_ck/staging", AVAILABLE_NOW))
     stg = spark.read.parquet(f"{tmp}/staging").drop("writer", "batch_id")
     expected = stage(raw)
     n = stg.count()
@@ -81,40 +80,29 @@ def test_staging_hourly_dedupe_streams_equal_batch(spark, tmp):
     assert cities.count() == raw.select("city_id").distinct().count() == cities.select("id").distinct().count()
     expected_hourly = rows(comparable(hourly_avg(stg)))
     # a second staging query (new checkpoint) over the same raw adds nothing
-    run_to_end(start_staging(raw_stream(spark, f"{tmp}/raw"), f"{tmp}/staging", f"{tmp}/cities",
+    run_to_end(start_staging(raw_stream(spark, f"{tmp}/raw"), f"{tmp}/staging", f"{tmp}/cities", f"{tmp}/quarantine",
                              f"{tmp}/_ck/staging2", AVAILABLE_NOW))
     assert spark.read.parquet(f"{tmp}/staging").count() == n
 
-    stg_stream = spark.readStream.schema(batch_table_schema("staging")).parquet(f"{tmp}/staging")
-    run_to_end(start_hourly(stg_stream.drop("writer", "batch_id"), f"{tmp}/hourly", f"{tmp}/_ck/hourly",
-                            trigger=AVAILABLE_NOW))
-    assert rows(comparable(read_hourly(spark, f"{tmp}/hourly"))) == expected_hourly
-    # publish the stream's hourly versions as the hourly table (needs the cities table)
-    from nimbus.plans import jobs
-    from nimbus.sources.tables import read_current
-    paths = jobs.Paths(f"{tmp}/tables")
-    cities.write.parquet(paths.cities)
-    m = jobs.publish_stream_hourly(spark, f"{tmp}/hourly", paths)
-    assert rows(comparable(read_current(spark, paths.hourly))) == expected_hourly
-    assert m["hourly_rows"] == len(expected_hourly)
-
-    keys = dedupe_stream(raw_stream(spark, f"{tmp}/raw")).select("city_id", "timestamp")
-    q = keys.writeStream.format("memory").queryName("dedupe_keys").trigger(availableNow=True).start()
-    run_to_end(q)
-    got = spark.table("dedupe_keys")
-    assert got.count() == raw.select("city_id", "timestamp").distinct().count()
+    run_to_end(start_hourly(staging_stream(spark, f"{tmp}/staging", 2), f"{tmp}/staging", f"{tmp}/hourly", f"{tmp}/_ck/hourly",
+                            AVAILABLE_NOW))
+    assert rows(comparable(spark.read.parquet(f"{tmp}/hourly").drop("event_date"))) == expected_hourly
+
+    run_to_end(start_dedupe(raw_stream(spark, f"{tmp}/raw", 2), f"{tmp}/keys", f"{tmp}/_ck/dedupe", AVAILABLE_NOW))
+    got = spark.read.parquet(f"{tmp}/keys").select("city_id", "timestamp")
+    assert got.count() == got.distinct().count() == raw.select("city_id", "timestamp").distinct().count()
 
 
 def test_replay_under_new_checkpoint_adds_no_staging_rows(spark, tmp):
     publish(spark, tmp)
     ingest(spark, tmp)
-    run_to_end(start_staging(raw_stream(spark, f"{tmp}/raw"), f"{tmp}/staging", f"{tmp}/cities",
+    run_to_end(start_staging(raw_stream(spark, f"{tmp}/raw"), f"{tmp}/staging", f"{tmp}/cities", f"{tmp}/quarantine",
                              f"{tmp}/_ck/staging", AVAILABLE_NOW))
     n_raw = spark.read.parquet(f"{tmp}/raw").count()
     n_stg = spark.read.parquet(f"{tmp}/staging").count()
     ingest(spark, tmp, ck="replay")                      # the whole topic again, new checkpoint
     assert spark.read.parquet(f"{tmp}/raw").count() == 2 * n_raw
-    run_to_end(start_staging(raw_stream(spark, f"{tmp}/raw"), f"{tmp}/staging", f"{tmp}/cities",
+    run_to_end(start_staging(raw_stream(spark, f"{tmp}/raw"), f"{tmp}/staging", f"{tmp}/cities", f"{tmp}/quarantine",
                              f"{tmp}/_ck/staging", AVAILABLE_NOW))   # same staging query resumes
     assert spark.read.parquet(f"{tmp}/staging").count() == n_stg
 
