@@ -104,7 +104,7 @@ def forward(words: list[str], prob: np.ndarray, single: np.ndarray):
     n = codes.shape[1]
     alpha = [None] * (n + 1)
     alpha[0] = np.ones((len(words), prob.shape[1]))
-    scale = np.zeros((len(words), 1))
+    scale = np.zeros((len(words), prob.shape[1]))
     for j in range(2, n + 1):
         total = np.zeros_like(alpha[0])
         for i, p in at[j]:
@@ -118,7 +118,7 @@ def forward(words: list[str], prob: np.ndarray, single: np.ndarray):
             total += np.where((found >= 0)[:, None], 0.0, np.where((letter >= 0)[:, None], prob[letter], single))
         alpha[j] = total
         if j % 8 == 0:                       # long words would underflow
-            top = total.max(axis=1, keepdims=True)
+            top = total                      # of each word and language
             for k in range(max(0, j - pieces()[2]), j + 1):
                 if alpha[k] is not None:
                     alpha[k] = alpha[k] / top

@@ -10,8 +10,8 @@
    automaton of the word; look-alike digits and signs count as the letters they stand for. Words that the
    clean training documents use are no misspellings.
 3. Each hit is weighed by its window: in quotation marks or near a verb of reporting it counts as quoted, near
-   the second person it counts more. Sums of plain, quoted and misspelled weights, the heaviest window and the
-   length are the inputs of a logistic model, fitted on the same rows.
+   the second person it counts more, misspelled it counts less. The sums of plain and of quoted weights, the
+   heaviest window and the length are the inputs of a logistic model, fitted on the same rows.
 
 Only the text enters a score. Whole texts are scored.
 
@@ -173,10 +173,10 @@ class Model:
         known, look = self.known, self.term
         hit = {w: t for w in set(words) if (t := known[w] if w in known else look(w))}
         if not hit:
-            return [0.0, 0.0, 0.0, 0.0, float(np.log1p(len(words)))]
+            return [0.0, 0.0, 0.0, float(np.log1p(len(words)))]
         low = text.lower()
         spans = [m.span() for m in _TOKEN.finditer(low)]
-        sums, windows = [0.0, 0.0, 0.0], 0.0
+        sums = [0.0, 0.0]
         weight = np.zeros(len(words))
         for i, w in enumerate(words):
             if w not in hit:
@@ -194,10 +194,9 @@ class Model:
             if not _PERSON.isdisjoint(around):
                 value *= ADDRESSED
             weight[i] = value * (MISSPELLED if misspelled else 1.0)
-            sums[1 if quoted else 2 if misspelled else 0] += value
+            sums[quoted] += weight[i]
         run = np.convolve(weight, np.ones(2 * WINDOW + 1), "same") if len(weight) else weight
-        windows = float(run.max())
-        return [*np.log1p(sums).tolist(), float(np.log1p(windows)), float(np.log1p(len(words)))]
+        return [*np.log1p(sums).tolist(), float(np.log1p(run.max())), float(np.log1p(len(words)))]
 
     def score(self, x: np.ndarray) -> np.ndarray:
         if not self.beta:
@@ -241,7 +240,7 @@ def _near_words(model):
 def _features(model, *others):
     def run(batches):
         for batch in batches:
-            x = np.array([model.features(t or "") for t in batch.column(0).to_pylist()]).reshape(-1, 5)
+            x = np.array([model.features(t or "") for t in batch.column(0).to_pylist()]).reshape(-1, 4)
             yield pa.RecordBatch.from_arrays([pa.array(x.tolist(), pa.list_(pa.float64())), batch.column(1)],
                                              names=["x", "toxic"])
     return run
@@ -312,7 +311,7 @@ def learn(docs: DataFrame, labels: DataFrame, usable=None) -> Model:
         counts.unpersist()
     finally:
         train.unpersist()
-    x, y = np.array([r["x"] for r in rows]).reshape(-1, 5), np.array([r["toxic"] for r in rows], dtype=float)
+    x, y = np.array([r["x"] for r in rows]).reshape(-1, 4), np.array([r["toxic"] for r in rows], dtype=float)
     if not y.sum():
         return Model({})
     share = {1: total[1] / max(1, n1), 0: total.get(0, 0) / max(1, n0)}
@@ -325,7 +324,7 @@ def learn(docs: DataFrame, labels: DataFrame, usable=None) -> Model:
 def _scores(model: Model):
     def run(batches):
         for batch in batches:
-            x = np.array([model.features(batch.column(1)[i].as_py() or "") for i in range(batch.num_rows)]).reshape(-1, 5)
+            x = np.array([model.features(batch.column(1)[i].as_py() or "") for i in range(batch.num_rows)]).reshape(-1, 4)
             s = model.score(x)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(s), pa.array((s >= THRESHOLD).astype(np.int32))], names=["doc_id", "score", "predicted"])
@@ -342,7 +341,7 @@ def _clean(model: Model, schema):
 
     def run(batches):
         for batch in batches:
-            x = np.array([model.features(batch.column(at)[i].as_py() or "") for i in range(batch.num_rows)]).reshape(-1, 5)
+            x = np.array([model.features(batch.column(at)[i].as_py() or "") for i in range(batch.num_rows)]).reshape(-1, 4)
             yield batch.filter(pa.array(model.score(x) < THRESHOLD))
     return run
 

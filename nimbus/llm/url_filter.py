@@ -9,8 +9,9 @@ branch if it holds at least ``SHARE`` of its parent's urls (a parent thus has at
 labelled rate differs from its parent's (two-proportion test, ``Z``). Other segments, the variable ones and
 the branches that are statistically alike, merge into the wildcard ``*``. Segments from ``DEPTH`` on are one ``**``.
 
-A template's purity is its rate of blocked labels, smoothed by ``WEIGHT`` pseudo-labels of the rate that its shape has
-on all hosts, which is smoothed by the rate of all labels. Templates of ``REJECT`` or more are blocked.
+A url's purity is the rate of blocked labels in its template, smoothed by ``WEIGHT`` pseudo-labels of the rate that its
+shape has on all hosts, which is smoothed by the rate of all labels: a template without labels follows its shapes.
+Urls of ``REJECT`` or more are blocked.
 
 Everything is counted and joined in DataFrames; hosts that hold a third of all urls are aggregated before any join.
 
@@ -113,12 +114,10 @@ def judge(pages: DataFrame, rules=RULES, labelled: DataFrame | None = None) -> D
     # the same shape on all hosts, whichever branches a host's tree has merged
     by_shape = (leaves.groupBy("shape").agg(F.sum("labels").alias("l"), F.sum("bad").alias("b"))
                 .select("shape", ((F.col("b") + WEIGHT * every) / (F.col("l") + WEIGHT)).alias("prior")))
-    scored = leaves.join(by_shape, "shape")
-    of_template = scored.groupBy("host", "template").agg(
-        F.sum("labels").alias("l"), F.sum("bad").alias("b"), (F.sum(F.col("prior") * F.col("n")) / F.sum("n")).alias("prior"))
-    of_template = of_template.select("host", "template", ((F.col("b") + WEIGHT * F.col("prior")) / (F.col("l") + WEIGHT)).alias("purity"))
-    verdicts = cut(leaves.select("host", "shape", "template").join(of_template, ["host", "template"])
-                   .select("host", F.col("shape").alias("shape_"), "template", "purity"), root, "verdicts")
+    of_template = leaves.groupBy("host", "template").agg(F.sum("labels").alias("l"), F.sum("bad").alias("b"))
+    purity = (F.col("b") + WEIGHT * F.col("prior")) / (F.col("l") + WEIGHT)
+    verdicts = cut(leaves.select("host", "shape", "template").join(of_template, ["host", "template"]).join(by_shape, "shape")
+                   .select("host", F.col("shape").alias("shape_"), "template", purity.alias("purity")), root, "verdicts")
     found = pages.join(verdicts, ["host", "shape_"], "left")
     learned = F.when(F.col("purity") >= REJECT, "block").otherwise("allow")
     return found.withColumn("verdict", F.coalesce("by_rule", learned)).drop("by_rule", "shape_")
