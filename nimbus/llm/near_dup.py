@@ -34,7 +34,7 @@ K, BITS = 512, 2          # the first ROWS * BANDS minima make the bands, all of
 LONGS = K * BITS // 64
 LEAST = 0.75              # similarity of a link
 MARGIN = 0.09             # estimates below LEAST - MARGIN are discarded: 3.9 standard errors, a chance of 5e-5 at 0.75
-PIVOT_ROUNDS, PIVOTS, BEST = 3, 4, 2
+PIVOT_ROUNDS, BEST = 4, 2
 BUCKET_ROWS = 2048        # rows of a hot bucket that one task compares with the bucket
 
 _rng = np.random.default_rng(7)
@@ -237,14 +237,12 @@ def near_duplicates(docs: DataFrame, root: str | None = None) -> DataFrame:
             left = members.join(comps, "id", "left").select("key", "band", "m", "id", F.coalesce("comp", "id").alias("comp"))
         mixed = (left.groupBy("key").agg(F.min("comp").alias("least"), F.max("comp").alias("most"))
                  .filter("least != most").select("key"))
-        rows = left.join(mixed, "key")
+        rows = cut(left.join(mixed, "key"), root, f"rows-{k}")
         if k < PIVOT_ROUNDS:
-            # each bucket's pivots, others in every bucket and round; of those a document meets, the most similar
-            rows = cut(rows, root, f"rows-{k}")
-            rank = Window.partitionBy("key").orderBy(F.xxhash64("id", "key", F.lit(k)), "id")
-            pivots = (rows.withColumn("r", F.row_number().over(rank)).filter(F.col("r") <= PIVOTS)
-                      .select("key", F.col("id").alias("pivot"), F.col("comp").alias("other")))
-            star = rows.join(cut(pivots, root, f"pivots-{k}"), "key").filter("comp != other").select("id", "pivot").distinct()
+            # each bucket's pivot, another one in every bucket and round; of those a document meets, the most similar
+            pivots = (rows.groupBy("key").agg(F.min(F.struct(F.xxhash64("id", "key", F.lit(k)).alias("o"), "id", "comp")).alias("p"))
+                      .select("key", F.col("p.id").alias("pivot"), F.col("p.comp").alias("other")))
+            star = rows.join(pivots, "key").filter("comp != other").select("id", "pivot").distinct()
             a, b = sig.alias("a"), sig.alias("b")
             pairs = (star.alias("p").join(a, F.expr("a.id = p.id")).join(b, F.expr("b.id = p.pivot"))
                      .filter(_similar("a", "b")).select(F.expr("a.id").alias("a"), F.expr("b.id").alias("b"), _equal("a", "b").alias("e")))
