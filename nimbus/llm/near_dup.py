@@ -231,7 +231,7 @@ def near_duplicates(docs: DataFrame, root: str | None = None) -> DataFrame:
         new = merged.join(comps.select(F.col("id").alias("comp")), "comp", "left_anti")
         return cut(old.unionByName(new.select(F.col("comp").alias("id"), F.col("to").alias("comp"))), root, f"{name}-comps")
 
-    tested, left, comps = [], members.withColumn("comp", F.col("id")), None
+    tested, left, comps = None, members.withColumn("comp", F.col("id")), None
     for k in range(PIVOT_ROUNDS + 1):
         if comps is not None:
             left = members.join(comps, "id", "left").select("key", "band", "m", "id", F.coalesce("comp", "id").alias("comp"))
@@ -255,13 +255,15 @@ def near_duplicates(docs: DataFrame, root: str | None = None) -> DataFrame:
             b = wide.withColumn("salt", F.explode(F.expr("sequence(0, parts - 1)"))).alias("b")
             pairs = (a.join(b, F.expr("a.key = b.key AND a.salt = b.salt AND a.comp < b.comp") & _similar("a", "b") & first)
                      .select(F.expr("a.id").alias("a"), F.expr("b.id").alias("b")))
-        for t in tested:
-            pairs = pairs.join(t, [F.least(pairs.a, pairs.b) == t.a, F.greatest(pairs.a, pairs.b) == t.b], "left_anti")
         if k < PIVOT_ROUNDS:
+            # pairs that failed before make room for others; the last round may confirm those few again
+            if tested is not None:
+                pairs = pairs.join(tested, [F.least(pairs.a, pairs.b) == tested.a, F.greatest(pairs.a, pairs.b) == tested.b], "left_anti")
             best = Window.partitionBy("a").orderBy(F.desc("e"), "b")
             pairs = pairs.withColumn("r", F.row_number().over(best)).filter(F.col("r") <= BEST)
         found = confirmed(pairs, str(k))
-        tested.append(spark.read.parquet(f"{root}/pairs-{k}"))
+        done = spark.read.schema("a long, b long").parquet(f"{root}/pairs-{k}")
+        tested = done if tested is None else tested.unionByName(done)
         if not found.isEmpty():
             comps = contracted(comps, found, f"cc{k}")
     if comps is None:
