@@ -23,11 +23,11 @@ from __future__ import annotations
 import re
 from collections import Counter
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nimbus.llm.common import cut, held_out, work_folder
@@ -222,9 +222,8 @@ def learn(docs: DataFrame, usable=None, root: str | None = None) -> Model | None
         return None
     langs = sorted(share)
     # the bound of the sample, chosen by id alone, so that no text is shuffled
-    rank = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = (rows.select("doc_id", "lang").withColumn("k", F.row_number().over(rank)).filter(F.col("k") <= DOCS)
-           .select("doc_id", "lang").distinct())
+    ids = reduce(DataFrame.unionByName, [rows.filter(F.col("lang") == la).select("doc_id", "lang").orderBy(F.xxhash64("doc_id"), "doc_id").limit(DOCS)
+                                         for la in langs]).distinct()
     sample = rows.join(F.broadcast(ids), ["doc_id", "lang"], "left_semi").select("lang", "text")
     words = cut(sample.mapInArrow(_train_words, "lang string, word string, n long").groupBy("lang", "word")
                 .agg(F.sum("n").alias("n")), root or work_folder(docs.sparkSession, "language-id"), "words")
