@@ -145,17 +145,16 @@ class Index:
         post = np.repeat(self.first[k] - (np.cumsum(n) - n), n) + np.arange(n.sum())
         item = self.item[post].astype(np.int64)
         diagonal = np.repeat(at, n) - self.place[post]
-        step = self.edits[item] + 1
-        found = []
-        band = diagonal // step
+        step_of = self.edits + 1
+        step = step_of[item]
+        cell = diagonal // step
         span = len(codes) + 2 * int(max((len(c) for c in self.codes), default=0)) + 4
         shift = span // 2
-        for back in (0, 1):
-            keys, counts = np.unique(item * (2 * span) + (band - back + shift), return_counts=True)
-            of, b = keys // (2 * span), keys % (2 * span) - shift
-            good = counts >= self.least[of]
-            found += zip(of[good].tolist(), (b[good] * (self.edits[of[good]] + 1)).tolist())
-        return found
+        # band b is the cells b and b + 1, so each shared q-gram counts in two bands
+        keys, counts = np.unique(np.concatenate([item * (2 * span) + (cell - back + shift) for back in (0, 1)]), return_counts=True)
+        of, b = keys // (2 * span), keys % (2 * span) - shift
+        good = counts >= self.least[of]
+        return list(zip(of[good].tolist(), (b[good] * step_of[of[good]]).tolist()))
 
 
 def align(passage: np.ndarray, codes: np.ndarray, low: int, width: int, edits: int) -> tuple[int, int, int] | None:

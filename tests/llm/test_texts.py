@@ -138,6 +138,37 @@ def test_alignment_equals_full_dynamic_programming():
         assert (got and got[0]) == (min(row) if min(row) <= 12 else None)
 
 
+def test_passages_within_the_whole_budget_are_found():
+    def least(passage, text):
+        a, row = np.frombuffer(text.encode("utf-32-le"), np.uint32), np.zeros(len(text) + 1, dtype=np.int64)
+        at = np.arange(len(text) + 1)
+        for i, c in enumerate(passage):
+            new = np.append(i + 1, np.minimum(row[1:] + 1, row[:-1] + (a != ord(c))))
+            row = np.minimum.accumulate(new - at) + at
+        return row.min()
+    r = random.Random(8)
+    def letters(n):
+        return "".join(r.choices("abcdefghijklmnop", k=n))
+    for n in (24, 60, 200, 400):
+        for kind in ("delete", "insert", "mixed"):
+            items = [(i, letters(n)) for i in range(25)]
+            index = decontaminate.Index(items)
+            texts = []
+            for i, p in items:
+                budget = int(index.edits[i])
+                part = list(p)
+                # edits of one direction all move the passage's diagonal the same way
+                for k in sorted(r.sample(range(1, n - 1), r.choice([budget, budget, max(1, budget * 3 // 4)])), reverse=True):
+                    what = kind if kind != "mixed" else r.choice(["delete", "insert", "replace"])
+                    part[k:k + (what != "insert")] = [] if what == "delete" else ["z"]
+                texts.append(letters(r.randrange(300)) + "".join(part) + letters(r.randrange(300)))
+            found = decontaminate.matches(index, texts)
+            for (i, p), text, got in zip(items, texts, found):
+                want = least(p, text)
+                assert want <= index.edits[i]
+                assert [(f[0], f[3]) for f in got] == [(i, want)], (n, kind)
+
+
 def test_passages_are_found_and_clean_documents_left(spark):
     r = random.Random(6)
     items = [(i, " ".join(r.choices(WORDS, k=40))) for i in range(20)] + [(50, None), (51, "!!"), (52, "ab c"), (53, None)]
