@@ -13,17 +13,19 @@ Findings come from a table ``text, start, end, secret``. Where a corpus has none
 a fold by form: keys with a checkable form and assigned random values are secrets; identifiers, digests, numbers, paths,
 addresses, long words and placeholders put in the place of found secrets are not.
 
-Defined results: null or empty texts hold nothing; candidates that overlap are one, of the most specific kind; repeated rows are
-scanned each; a null ``doc_id`` stays null; extra columns are kept by ``redact`` and ignored else; without findings of both
-kinds every candidate of a known form counts as a secret.
+Defined results: null or empty texts hold nothing; of candidates that overlap the most specific kind stays whole and the
+others go on with what they hold beside it; repeated rows are scanned each; a null ``doc_id`` stays null; extra columns are
+kept by ``redact`` and ignored else; without findings of both kinds every candidate of a known form counts as a secret.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from dataclasses import dataclass, field
 from functools import lru_cache
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -54,6 +56,9 @@ _NAMES = ("password", "passwd", "pwd", "passphrase", "secret", "token", "apikey"
 _KEY = re.compile("|".join(f"(?P<{k}>{v})" for k, v in KEYS.items()), re.S)
 _ASSIGNED = re.compile(r"(?i)(?:" + "|".join(map(re.escape, _NAMES)) + r")[\"']?\s{0,4}(?:=>|:=|[:=])\s{0,4}[\"'`]?([^\s\"'`,;<>]{6,})")
 _LONG = re.compile(r"[A-Za-z0-9+/_-]{20,}={0,2}")
+# what joins a key to the next: a sign, or signs around the next one's name
+_JOINT = re.compile(r"[&|:/?#=]*(?:(?<=[&|:?#])[\w.-]{1,40}=)?")
+_JOINT_BACK = re.compile(r"(?:=[\w.-]{1,40}(?=[&|:?#]))?[&|:/?#=]*")
 _WORD = re.compile(r"\w+")
 _SECRET_WORDS = frozenset("password passwd pwd secret token key apikey api auth bearer credential credentials private access login".split())
 _PLAIN_WORDS = frozenset("example sample dummy placeholder test fake sha sha1 sha256 md5 commit hash digest checksum uuid guid id isbn version "
@@ -84,7 +89,10 @@ def pairs() -> dict[str, float]:
 
 
 def candidates(text: str) -> list[tuple[int, int, str]]:
-    """(start, end, kind), in order, without overlaps: of those that overlap the most specific kind stays, then the longest."""
+    """(start, end, kind), in order, without overlaps: the most specific kind first, then the longest.
+
+    Of a candidate that overlaps those kept before it, the parts beside them go on as candidates of its kind.
+    """
     found = []
     if any(s in text for s in _STARTS):
         found += [(*m.span(), m.lastgroup) for m in _KEY.finditer(text)]
@@ -92,23 +100,39 @@ def candidates(text: str) -> list[tuple[int, int, str]]:
     if any(n in low for n in _NAMES):
         found += [(*m.span(1), "assigned") for m in _ASSIGNED.finditer(text)]
     for m in _LONG.finditer(text):
-        w = m.group()
-        if any(c.isdigit() for c in w) and any(c.isalpha() for c in w):
+        if _mixed(m.group()):
             found.append((*m.span(), "token"))
     order = {k: i for i, k in enumerate((*KEYS, "assigned", "token"))}
+    left = [(order[k], a - b, a, b, k) for a, b, k in found]
+    heapify(left)
     kept: list[tuple[int, int, str]] = []
-    at = end = 0
-    for x in sorted(found, key=lambda x: x[0]):              # groups of candidates that overlap
-        if not kept or x[0] >= end:
-            at, end = len(kept), x[1]
-            kept.append(x)
-        else:
-            end = max(end, x[1])
-            if (order[x[2]], x[0] - x[1]) < (order[kept[at][2]], kept[at][0] - kept[at][1]):
-                kept[at] = x
+    while left:
+        _, _, start, end, kind = heappop(left)
+        k = bisect_left(kept, start, key=lambda x: x[1])          # the first that ends at start or later
+        k += k < len(kept) and kept[k][1] == start
+        if k == len(kept) or kept[k][0] >= end:
+            kept.insert(k, (start, end, kind))
+            continue
+        at = start
+        while True:
+            to = kept[k][0] if k < len(kept) and kept[k][0] < end else end
+            # without the joints and names that led to the ones beside it
+            a = at if at == start or to <= at else at + _JOINT.match(text[at:to]).end()
+            b = to if to == end or to <= a else to - _JOINT_BACK.match(text[a:to][::-1]).end()
+            if b - a >= 6 and (kind != "token" or (_LONG.fullmatch(text, a, b) and _mixed(text[a:b]))):
+                heappush(left, (order[kind], a - b, a, b, kind))
+            if to == end:
+                break
+            at, k = kept[k][1], k + 1
+            if at >= end:
+                break
     return kept
 
 
+def _mixed(w: str) -> bool:
+    return any(c.isdigit() for c in w) and any(c.isalpha() for c in w)
+
+
 def covered(low: str) -> float:
     """Share of the characters that longest dictionary words, from the left, cover."""
     words, n, i = dictionary(), 0, 0

@@ -231,3 +231,23 @@ def test_secrets_are_told_from_placeholders(spark):
     assert [secrets.clean(forest, t) for t in fakes] == fakes
     known = secrets.learn(secrets.weak_findings(df.limit(0)))          # nothing to learn from: known forms only
     assert secrets.clean(known, f"a {docs[0][1]}").count(secrets.MARK) == 1 and secrets.clean(known, "password=8f3kd9Zk2lQ0x7") == "password=8f3kd9Zk2lQ0x7"
+
+
+def test_secrets_joined_by_a_wider_candidate_are_told_apart():
+    r = random.Random(9)
+    def letters(n):
+        return "".join(r.choices("abcdefghijkmnpqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ23456789", k=n))
+    hub, aws, other = "ghp_" + letters(40), "AKIA" + letters(16).upper(), "q7" + letters(16)
+    def found(text):
+        return [(text[a:b], k) for a, b, k in secrets.candidates(text)]
+    assert found(f"see ?token={hub}&api_key={aws} there") == [(hub, "github"), (aws, "aws_key")]
+    for sign in "&|:/":
+        assert found(f"secret={sign.join([hub, aws, hub])}") == [(hub, "github"), (aws, "aws_key"), (hub, "github")]
+        assert found(f"token={aws}{sign}{other}") == [(aws, "aws_key"), (other, "assigned")]
+        assert found(f"token={other}{sign}{aws}") == [(other, "assigned"), (aws, "aws_key")]
+    assert found(f"token={other}&api_key={aws}&password={other}") == [(other, "assigned"), (aws, "aws_key"), (other, "assigned")]
+    assert found(f"token={aws}:{other}/x9=") == [(aws, "aws_key"), (f"{other}/x9=", "assigned")]
+    text = f"?token={hub}&api_key={aws} {aws}|{hub} x"
+    assert secrets.clean(secrets.Forest(), text) == f"?token={secrets.MARK}&api_key={secrets.MARK} {secrets.MARK}|{secrets.MARK} x"
+    many = secrets.candidates("token=" + "&api_key=".join([aws] * 4000))
+    assert len(many) == 4000 and all(x[1] <= y[0] for x, y in zip(many, many[1:]))
