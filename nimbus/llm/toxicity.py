@@ -7,8 +7,8 @@
    mean words of a document / SUPPORT. Beginnings of 4 to 7 letters that several such words share are stems by
    the same test, so a term's unseen forms count too.
 2. Misspellings: words are run against a trie of the terms by the bit-parallel simulation of the Levenshtein
-   automaton of the word; look-alike digits and signs count as the letters they stand for. Words that the
-   clean training documents use are no misspellings.
+   automaton of the word, one edit from terms of 4 letters or more, two from 10 letters on; look-alike digits and
+   signs count as the letters they stand for. Words that the clean training documents use are no misspellings.
 3. Each hit is weighed by its window: in quotation marks or near a verb of reporting it counts as quoted, near
    the second person it counts more, misspelled it counts less. The sums of plain and of quoted weights, the
    heaviest window and the length are the inputs of a logistic model, fitted on the same rows.
@@ -76,9 +76,11 @@ class Trie:
         self.sizes = sorted({len(h) for h in self.heads})
         self.inner = sorted({len(h) for h in self.middles})
 
-    def near(self, word: str, edits: int) -> tuple[str, int] | None:
+    def near(self, word: str, edits: int, own: bool = False) -> tuple[str, int] | None:
         """Closest term within ``edits`` insertions, deletions and substitutions (ties: smallest term).
 
+        ``own``: of the terms that have the word within their own reach.
+
         ``masks[d]``: the states of the word's automaton that are reached with ``d`` edits; state i has read i
         letters of the word.
         """
@@ -92,6 +94,8 @@ class Trie:
             if "" in node:
                 for d, m in enumerate(masks):
                     if m & final:
+                        if own and d > reach(node[""]):
+                            break
                         if best is None or (d, node[""]) < (best[1], best[0]):
                             best = (node[""], d)
                         break
@@ -125,7 +129,7 @@ class Trie:
 
 def reach(term: str) -> int:
     """Edits within which a word counts as the misspelled term."""
-    return 0 if len(term) < 6 else 1 if len(term) < 10 else 2
+    return 0 if len(term) < 4 else 1 if len(term) < 10 else 2
 
 
 @dataclass
@@ -159,9 +163,10 @@ class Model:
             plain = word if word.isalpha() else word.translate(_LOOKS)
             if plain != word and plain in self.weights:
                 found = (plain, True)
-            elif len(plain) >= 5 and self.trie.may_be_near(plain):
-                near = self.trie.near(plain, 2 if len(plain) >= 9 else 1)
-                if near and near[1] <= reach(near[0]):
+            elif len(plain) >= 3 and self.trie.may_be_near(plain):
+                # the largest reach of a term that two deletions bring to this length
+                near = self.trie.near(plain, reach("." * (len(plain) + 2)), own=True)
+                if near:
                     found = (near[0], True)
         if len(self.known) >= KNOWN_WORDS:
             self.known.clear()

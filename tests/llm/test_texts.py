@@ -251,3 +251,29 @@ def test_secrets_joined_by_a_wider_candidate_are_told_apart():
     assert secrets.clean(secrets.Forest(), text) == f"?token={secrets.MARK}&api_key={secrets.MARK} {secrets.MARK}|{secrets.MARK} x"
     many = secrets.candidates("token=" + "&api_key=".join([aws] * 4000))
     assert len(many) == 4000 and all(x[1] <= y[0] for x, y in zip(many, many[1:]))
+
+
+def test_misspellings_of_short_and_long_terms():
+    terms = ("trash", "idiot", "clown", "loser", "moron", "scum", "disgusting", "abominably", "stupid")
+    model = toxicity.Model(dict.fromkeys(terms, 4.0), clean=frozenset(["crown", "loses"]))
+    forms = {"idiott": "idiot", "looser": "loser", "morron": "moron", "claun": None, "clawn": "clown", "klown": "clown", "scu": "scum",
+             "scumm": "scum", "trsh": "trash", "crown": None, "loses": None, "disgutig": "disgusting", "abmnably": "abominably", "stpd": None}
+    assert {w: (t := model.term(w)) and t[0] for w in forms} == forms
+    assert all(model.term(w)[1] for w, t in forms.items() if t)
+    assert model.features("what a looser")[0] > 0
+    # a farther term with more reach is not hidden by a nearer one without
+    assert toxicity.Model({"abcdef": 1.0, "abcdefghij": 1.0}).term("abcdefgh") == ("abcdefghij", True)
+
+    def within(a, b, k):
+        if not a or not b or not k:
+            return len(a) + len(b) <= k if not a or not b else a == b
+        return within(a[1:], b[1:], k) if a[0] == b[0] else any(within(x, y, k - 1) for x, y in ((a[1:], b), (a, b[1:]), (a[1:], b[1:])))
+    r = random.Random(10)
+    for _ in range(2000):
+        w = list(r.choice(terms))
+        for _ in range(r.randrange(4)):
+            k = r.randrange(len(w) + 1)
+            w[k:k + r.randrange(2)] = r.choice(["", "x", "s"])
+        w = "".join(w)
+        near = any(within(w, t, toxicity.reach(t)) for t in terms)
+        assert (model.term(w) is not None) == (near and w not in model.clean), w
