@@ -5,9 +5,10 @@ decide, and any labelled urls given, are the labels from which the tree learns a
 
 The tree: a path is its segments; digits inside a segment stand for their class, so most numbers and dates fall together
 at once. Urls are first folded to (host, shape) with counts; then, level by level, a segment stays a literal
-branch if it holds at least ``SHARE`` of its parent's urls (a parent thus has at most 1 / SHARE branches) and its
-labelled rate differs from its parent's (two-proportion test, ``Z``). Other segments, the variable ones and
-the branches that are statistically alike, merge into the wildcard ``*``. Segments from ``DEPTH`` on are one ``**``.
+branch if it holds at least ``LEAST`` urls and its labelled rate differs from its siblings' (two-proportion test, ``Z``),
+however small its share. Other labelled segments, the variable ones and the branches that are statistically alike, merge into
+the wildcard ``*``; segments without labels beside labelled ones merge into ``?`` (no sign of a path), so that they don't
+take the others' labels. Segments from ``DEPTH`` on are one ``**``.
 
 A url's purity is the rate of blocked labels in its template, smoothed by ``WEIGHT`` pseudo-labels of the rate that its
 shape has on all hosts, which is smoothed by the rate of all labels: a template without labels follows its shapes.
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 
 from nimbus.llm.common import cut, work_folder
 
-SHARE, LEAST, Z = 0.02, 20, 2.58
+LEAST, Z = 20, 2.58
 DEPTH = 6
 WEIGHT, REJECT = 5.0, 0.5
 
@@ -75,11 +76,11 @@ def tree(shapes: DataFrame, root: str) -> DataFrame:
         differs = F.expr("labels > 0 AND labels_ > labels AND bad_ > 0 AND bad_ < labels_") & (
             F.abs(F.expr("bad / labels") - F.expr("(bad_ - bad) / (labels_ - labels)"))
             > Z * F.sqrt(pooled * (1 - pooled) * F.expr("1 / labels + 1 / (labels_ - labels)")))
+        own = F.when((F.col("n") >= LEAST) & differs, F.col("part")).when(F.expr("labels = 0 AND labels_ > 0"), F.lit("?"))
         kept = (branch.join(parent, ["host", "template"])
-                .filter(F.col("n") >= F.greatest(F.lit(LEAST), SHARE * F.col("n_"))).filter(differs)
-                .select("host", "template", "part", F.lit(True).alias("literal")))
-        more = F.when(F.col("part").isNull(), F.array().cast("array<string>")).when(F.col("literal"), F.array("part")).otherwise(F.array(F.lit("*")))
-        now = now.join(kept, ["host", "template", "part"], "left").withColumn("template", F.concat("template", more)).drop("part", "literal")
+                .select("host", "template", "part", own.alias("own")).filter("own IS NOT NULL"))
+        more = F.when(F.col("part").isNull(), F.array().cast("array<string>")).otherwise(F.array(F.coalesce("own", F.lit("*"))))
+        now = now.join(kept, ["host", "template", "part"], "left").withColumn("template", F.concat("template", more)).drop("part", "own")
         now = cut(now, root, f"level-{level}")
     tail = F.when(F.size("shape") > DEPTH, F.array(F.lit("**"))).otherwise(F.array().cast("array<string>"))
     return now.withColumn("template", F.concat(F.lit("/"), F.array_join(F.concat("template", tail), "/")))

@@ -65,6 +65,25 @@ def test_rules_and_templates(spark):
     assert url_filter.judge(df.limit(0)).count() == 0
 
 
+def test_small_and_unlabelled_branches_keep_to_themselves(spark):
+    names = [f"{a}{b}" for a in "abcdefgh" for b in "klmnopqr"]                     # 64 sections of one host
+    urls, labels = [], []
+    for k, s in enumerate(names):
+        urls += [f"http://hot.net/{s}/{i}" for i in range(60)]
+        labels += [(f"http://hot.net/{s}/{i}", int(k == 7)) for i in range(60, 100)]
+    urls += [f"http://m.s.com/{x}/{i}" for x, n in (("de", 13), ("fr", 6), ("en", 20), ("es", 19)) for i in range(n)]
+    urls += [f"http://one.com/{x}/{i}" for x, n in (("de", 13), ("en", 30)) for i in range(n)]
+    urls += [f"http://w.org/{x}/{i}" for x in ("en", "es") for i in range(200)]      # allowed by rule: the shapes' prior
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = url_filter.judge(df, labelled=spark.createDataFrame(labels, "url string, bad int")).collect()
+    hot = {(r.path.split("/")[1], r.template, r.verdict) for r in got if r.host == "hot.net"}
+    assert hot == {(s, "/*/*" if k != 7 else f"/{s}/*", "block" if k == 7 else "allow") for k, s in enumerate(names)}
+    for host in ("m.s.com", "one.com"):
+        rows = [r for r in got if r.host == host]
+        assert {(r.path.split("/")[1], r.verdict) for r in rows if r.rule is None} <= {("en", "allow"), ("es", "allow")}
+        assert {r.template for r in rows if r.rule is None} == {"/?/*"} and {r.template for r in rows if r.rule} == {"/*/*"}
+
+
 def page(body, head=""):
     return f"<!DOCTYPE html><html><head><title>T</title>{head}</head><body>{body}</body></html>"
 
