@@ -115,6 +115,28 @@ def test_pages_without_a_mark_lose_the_lines_of_their_neighbour(spark):
     assert html_text.extract(df.limit(0)).count() == 0
 
 
+def test_copies_and_partition_edges_are_differenced_alike(spark):
+    def body(story):
+        return page(f"<div>Welcome to the site</div><p>{story}</p><div>All rights reserved</div>")
+    copied, near = (f"{w} story, " + "long and with many words " * 20 for w in ("A copied", "A nearly copied"))
+    rows = [(0, "http://h.com/a/0", body("First of its own")), (99, "http://h.com/z", body("Last of its own"))]
+    rows += [(i, f"http://h.com/b/{i:02}", body(copied)) for i in range(10, 40)] + [(i, "http://h.com/b/same", body(copied)) for i in (40, 41, 42)]
+    # near copies: another last line each
+    rows += [(i, f"http://h.com/c/{i}", body(near + f"</p><p>Part {i}")) for i in range(50, 60)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    want = {0: "First of its own", 99: "Last of its own"} | dict.fromkeys(range(10, 43), copied.strip()) | {i: f"{near.strip()}\n\nPart {i}" for i in range(50, 60)}
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    aqe = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    try:
+        for n in (1, 7, 40):
+            spark.conf.set("spark.sql.shuffle.partitions", str(n))
+            spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+            assert {r.page_id: r.text for r in html_text.extract(df).collect()} == want, n
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", aqe)
+
+
 def test_common_lines_are_a_longest_common_subsequence():
     rng = np.random.default_rng(4)
     for _ in range(200):
