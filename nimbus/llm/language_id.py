@@ -143,14 +143,31 @@ def expected(words: list[str], counts: np.ndarray, prob: np.ndarray, single: flo
             letter = lookup(_hash(codes[:, 1], np.zeros(m, np.uint64)))
             p = np.where(found >= 0, -1, letter)
             steps.append((0, 2, p, np.where(found >= 0, 0.0, np.where(letter >= 0, prob[letter], single))))
-    for i, j, _, w in steps:
-        alpha[j] += alpha[i] * w
-    for i, j, _, w in reversed(steps):
-        beta[i] += beta[j] * w
+    # each place is scaled by its own power, as long words would underflow
+    up, down = np.zeros((n + 1, m)), np.zeros((n + 1, m))
+    by: dict[int, list] = {}
+    for s in steps:
+        by.setdefault(s[1], []).append(s)
+    for j in sorted(by):
+        up[j] = np.max([up[i] for i, *_ in by[j]], axis=0)
+        for i, _, _, w in by[j]:
+            alpha[j] += alpha[i] * w * np.exp(up[i] - up[j])
+        top = np.where(alpha[j] > 0, alpha[j], 1.0)
+        alpha[j] /= top
+        up[j] += np.log(top)
+    by = {}
+    for s in steps:
+        by.setdefault(s[0], []).append(s)
+    for i in sorted(by, reverse=True):
+        down[i] = np.max([down[j] for _, j, *_ in by[i]], axis=0)
+        for _, j, _, w in by[i]:
+            beta[i] += beta[j] * w * np.exp(down[j] - down[i])
+        top = np.where(beta[i] > 0, beta[i], 1.0)
+        beta[i] /= top
+        down[i] += np.log(top)
     out = np.zeros(len(prob))
-    total = np.maximum(alpha[n], 1e-300)
     for i, j, p, w in steps:
-        use = counts * alpha[i] * w * beta[j] / total
+        use = counts * alpha[i] * w * beta[j] * np.exp(up[i] + down[j] - up[n])
         there = p >= 0
         np.add.at(out, p[there], use[there])
     return out
@@ -186,7 +203,7 @@ def _train_words(batches):
         by: dict[str, Counter] = {}
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             by.setdefault(lang, Counter()).update(words_of(text))
-        rows = [(la, w, n) for la, c in by.items() for w, n in c.items() if len(w) <= LONG_WORD]
+        rows = [(la, w, n) for la, c in by.items() for w, n in c.items()]
         cols = list(zip(*rows)) or [(), (), ()]
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.string(), pa.int64()))],
                                          names=["lang", "word", "n"])
@@ -201,8 +218,9 @@ def _expect(langs, prob, single):
                 by.setdefault((la, len(w)), []).append((w, n))
             for (la, _), some in by.items():
                 k = langs.index(la)
-                for at in range(0, len(some), 4096):
-                    part = some[at:at + 4096]
+                most = 4096 if len(some[0][0]) <= LONG_WORD else 1
+                for at in range(0, len(some), most):
+                    part = some[at:at + most]
                     got = expected([w for w, _ in part], np.array([n for _, n in part], dtype=float), prob[:, k], single[k])
                     total[la] = total.get(la, 0) + got
         for la, v in total.items():

@@ -23,6 +23,7 @@ from __future__ import annotations
 import math
 import re
 from bisect import bisect_left
+from collections import Counter
 from dataclasses import dataclass, field
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
@@ -147,14 +148,14 @@ def covered(low: str) -> float:
 
 
 def describe(text: str, start: int, end: int, kind: str) -> list[float]:
-    w = text[start:end][:4096]                    # a key block may be long; its shape shows in its first part
+    w = text[start:end]
     n, low = max(1, len(w)), w.lower()
     kinds = ["d" if c.isdigit() else "u" if c.isupper() else "l" if c.islower() else "s" for c in w]
     share = {k: kinds.count(k) / n for k in "duls"}
     moves = [a + b for a, b in zip(kinds, kinds[1:])]
     letters = [low[i:i + 2] for i in range(len(low) - 1) if low[i:i + 2].isalpha()]
     usual = sum(pairs().get(p, -12.0) for p in letters) / max(1, len(letters)) if letters else -12.0
-    counts = [w.count(c) for c in set(w)]
+    counts = Counter(w).values()
     entropy = -sum(c / n * math.log2(c / n) for c in counts)
     before = [x.lower() for x in _WORD.findall(text[max(0, start - 80):start])[-AROUND:]]
     after = [x.lower() for x in _WORD.findall(text[end:end + 80])[:AROUND]]

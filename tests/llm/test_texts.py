@@ -253,6 +253,14 @@ def test_secrets_joined_by_a_wider_candidate_are_told_apart():
     assert len(many) == 4000 and all(x[1] <= y[0] for x, y in zip(many, many[1:]))
 
 
+def test_long_candidates_are_described_whole():
+    w = "a1" * 4096
+    x, y = (secrets.describe(t, 0, len(t), "token") for t in (w[:4096], w + "/EXAMPLE"))
+    assert x[0] == 4096 and y[0] == len(w) + 8 and y[16] == 1 and y[21] == 1
+    head = secrets.describe(w + "B" * 9000, 0, len(w) + 9000, "token")
+    assert abs(head[3] - 9000 / 17192) < 1e-12 and abs(head[14] - 9000 / 17192) < 1e-12
+
+
 def test_misspellings_of_short_and_long_terms():
     terms = ("trash", "idiot", "clown", "loser", "moron", "scum", "disgusting", "abominably", "stupid")
     model = toxicity.Model(dict.fromkeys(terms, 4.0), clean=frozenset(["crown", "loses"]))
@@ -277,3 +285,20 @@ def test_misspellings_of_short_and_long_terms():
         w = "".join(w)
         near = any(within(w, t, toxicity.reach(t)) for t in terms)
         assert (model.term(w) is not None) == (near and w not in model.clean), w
+
+
+def test_long_words_are_fitted_too():
+    rows = list(next(language_id._train_words([language_id.pa.RecordBatch.from_pydict({"lang": ["xx"], "text": ["ab " + "sch" * 400]})])).column(1).to_pylist())
+    assert sorted(rows) == ["ab", "sch" * 400]
+    rng = np.random.default_rng(1)
+    prob = rng.random(len(language_id.pieces()[0])) / 1e4
+    single = 1e-9
+    for word in ("information", "ab" * 40, "sch" * 400):
+        got = language_id.expected([word], np.array([3.0]), prob, single)
+        assert np.isfinite(got).all() and got.sum() > 0
+        # uses are the slope of the log probability in the log of each piece's
+        for p in np.argsort(got)[-3:]:
+            more = prob.copy()
+            more[p] *= 1 + 1e-5
+            slope = np.diff([language_id.forward([word], x[:, None], np.array([single]))[0, 0] for x in (prob, more)])[0] / 1e-5
+            assert abs(3 * slope - got[p]) < 1e-3 * got[p]
