@@ -79,6 +79,56 @@ def test_whole_table_against_brute_force(spark):
     assert sum(x.doc_id is None for x in left) == 1
 
 
+def brute_rows(rows):
+    """(n, smallest id) for each row, rows that share an id being documents each; and one set of row numbers a group."""
+    found = brute(list(enumerate(t for _, t in rows)))
+    groups = {}
+    for k, (n, root) in found.items():
+        if n and rows[k][0] is not None:
+            groups.setdefault(root, set()).add(k)
+    least = {root: min(rows[k][0] for k in g) for root, g in groups.items()}
+    marks = [(i, found[k][0], least[found[k][1]] if found[k][0] and i is not None else i) for k, (i, _) in enumerate(rows)]
+    return marks, list(groups.values())
+
+
+def test_repeated_ids_with_unlike_texts(spark):
+    """Rows are told apart by their texts: nothing is lost, and one row of each group stays."""
+    r = random.Random(8)
+    a, b, c = (" ".join(r.choices([f"w{i}" for i in range(500)], k=80)) for _ in range(3))
+    rows = [(5, a), (5, b), (9, b), (3, c + " more"), (7, c), (5, c), (7, c), (7, c), (8, a), (8, a.upper()), (11, ""), (11, ""), (None, a)]
+    df = spark.createDataFrame([(i, t, 1, "s", 2) for i, t in rows], "doc_id long, text string, t1 int, stays string, id int").repartition(3)
+    marks, groups = brute_rows(rows)
+    got = [(x.doc_id, x.n_shingles, x.component_id) for x in near_dup.near_duplicates(df).collect()]
+    key = str
+    assert sorted(got, key=key) == sorted(marks, key=key)
+    left = near_dup.drop_near_duplicates(df)
+    assert left.columns == df.columns
+    left = sorted(((x.doc_id, x.text) for x in left.collect()), key=key)
+    want = [min((rows[k] for k in g), key=lambda x: x[0]) for g in groups] + [(11, ""), (11, ""), (None, a)]
+    assert len(left) == len(want) and sorted(i for i, _ in left if i) == sorted(i for i, _ in want if i)
+    sets = {frozenset(t.lower().split()) for _, t in left}
+    assert all(any(frozenset(rows[k][1].lower().split()) in sets for k in g) for g in groups)
+
+
+def test_hot_pivots_and_buckets_in_parts(spark, monkeypatch):
+    """Groups larger than a part: the pivot's text goes to each, buckets are dealt over many."""
+    monkeypatch.setattr(near_dup, "BUCKET_ROWS", 4)
+    monkeypatch.setattr(near_dup, "GROUP_ROWS", 3)
+    monkeypatch.setattr(near_dup, "BROADCAST_ROWS", 0)
+    r = random.Random(9)
+    words = [f"w{i}" for i in range(400)]
+    base = r.choices(words, k=70)
+    rows = []
+    for k in range(60):
+        copy = list(base)
+        for _ in range(r.randrange(9)):
+            copy[r.randrange(len(copy))] = r.choice(words)
+        rows.append((100 - k, " ".join(copy)))
+    got = {x.doc_id: x.component_id for x in near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: c for i, (_, c) in brute(rows).items()}
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert near_dup.near_duplicates(df).count() == 0
+    assert near_dup.drop_near_duplicates(df).count() == 0
