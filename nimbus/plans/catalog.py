@@ -332,15 +332,16 @@ def _ingest(spark, d, topic=_publish_messages):
     return root
 
 
-def _a_third_of_the_files(spark, path) -> int:
-    """Files per trigger that make at least three micro-batches of a written table."""
-    return max(1, len(spark.read.parquet(path).inputFiles()) // 3)
+def _a_third_of_the_commits(spark, path) -> int:
+    """Commits per trigger that make at least three micro-batches of a written table."""
+    from nimbus.sinks.manifest import names
+    return max(1, len(names(spark, f"{path}/_log")) // 3)
 
 
 def _stage_stream(spark, root):
     from nimbus.streaming.staging import raw_stream, start_staging
     from nimbus.streaming.triggers import AVAILABLE_NOW, run_to_end
-    src = raw_stream(spark, f"{root}/raw", _a_third_of_the_files(spark, f"{root}/raw"))
+    src = raw_stream(spark, f"{root}/raw", _a_third_of_the_commits(spark, f"{root}/raw"))
     run_to_end(start_staging(src, f"{root}/staging", f"{root}/cities", f"{root}/quarantine", f"{root}/_ck/staging", AVAILABLE_NOW))
 
 
@@ -358,13 +359,12 @@ def q_stream_staging(spark, d):
 
 
 def _hourly_stream(spark, root):
-    from nimbus.sources.tables import read_table
-    from nimbus.streaming.hourly import staging_stream, start_hourly
+    from nimbus.streaming.hourly import read_hourly, staging_stream, start_hourly
     from nimbus.streaming.triggers import AVAILABLE_NOW, run_to_end
     stg = f"{root}/staging"
-    run_to_end(start_hourly(staging_stream(spark, stg, _a_third_of_the_files(spark, stg)), stg, f"{root}/hourly",
+    run_to_end(start_hourly(staging_stream(spark, stg, _a_third_of_the_commits(spark, stg)), f"{root}/hourly_state",
                             f"{root}/_ck/hourly", AVAILABLE_NOW))
-    return comparable(read_table(spark, f"{root}/hourly", "hourly").drop("event_date"))
+    return comparable(read_hourly(spark, f"{root}/hourly_state").drop("event_date"))
 
 
 def q_stream_hourly(spark, d):
@@ -385,7 +385,7 @@ def q_stream_dedupe(spark, d):
     from nimbus.streaming.staging import raw_stream
     from nimbus.streaming.triggers import AVAILABLE_NOW, run_to_end
     root = _ingest(spark, d)
-    src = raw_stream(spark, f"{root}/raw", _a_third_of_the_files(spark, f"{root}/raw"))
+    src = raw_stream(spark, f"{root}/raw", _a_third_of_the_commits(spark, f"{root}/raw"))
     run_to_end(start_dedupe(src, f"{root}/keys", f"{root}/_ck/dedupe", AVAILABLE_NOW))
     return spark.read.parquet(f"{root}/keys").select("city_id", "timestamp")
 
@@ -489,9 +489,9 @@ def q_job_cities(spark, d):
 
 
 def q_job_rollup_hourly(spark, d):
-    from nimbus.sources.tables import read_table
+    from nimbus.streaming.hourly import read_hourly
     paths = _after_hourly_job(spark, d)
-    return comparable(read_table(spark, paths.hourly, "hourly").drop("event_date"))
+    return comparable(read_hourly(spark, paths.hourly_state).drop("event_date"))
 
 
 def q_job_refresh_hourly(spark, d):

@@ -20,17 +20,17 @@ from nimbus.schemas import MAX_LENGTH, NOT_NULL, PRIMARY_KEYS
 from nimbus.sinks.tables import replace_table
 from nimbus.sources.files import read_messages
 from nimbus.sources.tables import read_table, register
-from nimbus.streaming.hourly import staging_stream, start_hourly
+from nimbus.streaming.hourly import read_hourly, staging_stream, start_hourly
 from nimbus.streaming.ingest import start_ingest
 from nimbus.streaming.staging import raw_stream, start_staging
 from nimbus.streaming.triggers import AVAILABLE_NOW, run_to_end
 
-TABLES = ("raw", "staging", "cities", "hourly", "quarantine")
+TABLES = ("raw", "staging", "cities", "hourly_state", "quarantine")
 
 
 @dataclass
 class Paths:
-    """Locations of the four tables (plus the quarantine) under one root.
+    """Locations of the four tables (the hourly one as the state it is read from) and of the quarantine under one root.
 
     ``locations`` places single tables elsewhere, e.g. raw in the landing zone the ingest writes to while the
     derived tables live under ``root``. With a ``database`` the jobs keep its catalog tables up to date.
@@ -53,7 +53,7 @@ def ingest_files(spark: SparkSession, messages_path: str, paths: Paths) -> int:
     q = start_ingest(read_messages(spark, messages_path, stream=True), paths.raw, paths.quarantine,
                      paths.checkpoint("ingest"), AVAILABLE_NOW)
     run_to_end(q)
-    register(spark, paths.database, "raw")
+    register(spark, paths.database, paths.root, "raw")
     return _batches(q)
 
 
@@ -62,15 +62,15 @@ def update_staging(spark: SparkSession, paths: Paths) -> int:
     q = start_staging(raw_stream(spark, paths.raw), paths.staging, paths.cities, paths.quarantine,
                       paths.checkpoint("staging"), AVAILABLE_NOW)
     run_to_end(q)
-    register(spark, paths.database, "cities", "staging")
+    register(spark, paths.database, paths.root, "cities", "staging")
     return _batches(q)
 
 
 def rollup_hourly(spark: SparkSession, paths: Paths) -> int:
-    """L3: the dates that new staging files touch are recomputed in the hourly table."""
-    q = start_hourly(staging_stream(spark, paths.staging), paths.staging, paths.hourly, paths.checkpoint("hourly"), AVAILABLE_NOW)
+    """L3: the parts of new staging rows are added to the hourly state."""
+    q = start_hourly(staging_stream(spark, paths.staging), paths.hourly_state, paths.checkpoint("hourly"), AVAILABLE_NOW)
     run_to_end(q)
-    register(spark, paths.database, "hourly")
+    register(spark, paths.database, paths.root, "hourly_state")
     return _batches(q)
 
 
@@ -89,7 +89,8 @@ def refresh_hourly(spark: SparkSession, paths: Paths, target: str, source: str =
 
 def constraint_audits(spark: SparkSession, paths: Paths) -> dict[str, DataFrame]:
     """J1-J4 over the stored tables: every key, reference, not-null and length rule of the schemas."""
-    t = {name: read_table(spark, getattr(paths, name), name) for name in ("raw", "staging", "cities", "hourly")}
+    t = {name: read_table(spark, getattr(paths, name), name) for name in ("raw", "staging", "cities")}
+    t["hourly"] = read_hourly(spark, paths.hourly_state)
     out = {f"{name}_pk": audit.pk_violations(t[name.split("_")[0]], keys) for name, keys in PRIMARY_KEYS.items()}
     out |= {f"{name}_not_null": audit.null_violations(t[name], cols, ["id"]) for name, cols in NOT_NULL.items()}
     out |= {f"{name}_{col}_length": audit.length_violations(t[name], col, most, ["id"])
@@ -123,7 +124,7 @@ def day_view(spark: SparkSession, paths: Paths, name: str, country: str, hours:
     staged = read_table(spark, paths.staging, "staging")
     cities = read_table(spark, paths.cities, "cities")
     series = city_series(staged, cities, name, country, hours, now)
-    hourly = last_hours(read_table(spark, paths.hourly, "hourly"), hours, now, ts="timestamp_hour")
+    hourly = last_hours(read_hourly(spark, paths.hourly_state), hours, now, ts="timestamp_hour")
     hourly = _of_city(hourly, cities, name, country).drop("event_date")
     overlay = hourly_overlay(hourly, _of_city(last_hours(staged, hours, now), cities, name, country))
     return series, overlay.orderBy(F.col("timestamp_hour").desc())

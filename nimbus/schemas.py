@@ -101,6 +101,9 @@ CITY_COLUMNS = ["id", "name", "country", "latitude", "longitude"]
 HOURLY_COLUMNS = ["city_id", "timestamp_hour", "avg_temp", "avg_humidity", "avg_wind_speed",
                   "avg_cloud_coverage"]
 
+# Averages of the hourly table and the measures they are of.
+HOURLY_MEASURES = dict(zip(HOURLY_COLUMNS[2:], ("temperature", "humidity", "wind_speed", "cloud_coverage")))
+
 # Table constraints the database enforced in the reference; audited here (nimbus.operators.audit).
 PRIMARY_KEYS = {
     "raw": ["id"],

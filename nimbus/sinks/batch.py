@@ -1,15 +1,20 @@
-"""Micro-batch sinks (A7, A10, I3): date-first tables whose folders name the batch that wrote them."""
+"""Micro-batch sinks (A7, A10, I3): tables of batch folders whose commit log says which are live."""
 
 from __future__ import annotations
 
 import hashlib
+import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from nimbus.sinks.manifest import COMPACT, Conflict, Manifest, State, combined, exists, remove  # noqa: F401
+
 # Partition columns added by batch-folder tables.
 BATCH_COLUMNS = ("writer", "batch_id")
 COMPACTED = "compacted"
+NO_DATE = "__HIVE_DEFAULT_PARTITION__"
 
 
 def writer_tag(checkpoint: str) -> str:
@@ -17,44 +22,111 @@ def writer_tag(checkpoint: str) -> str:
     return hashlib.sha1(checkpoint.rstrip("/").encode()).hexdigest()[:12]
 
 
-def write_batch(df: DataFrame, batch_id: int, root: str, partition_by: tuple[str, ...] = ("event_date",),
-                writer: str = "batch") -> None:
-    """Write a micro-batch to ``root/event_date=D/writer=W/batch_id=N``; an empty one writes no row.
+def committed(spark: SparkSession, root: str, writer: str, batch_id: int) -> bool:
+    return Manifest(spark, root).state().writers.get(writer, -1) >= batch_id
 
-    Only the folders of this batch are replaced, so a batch re-run after a failure (same query, same id, same
-    offsets) overwrites itself instead of appending a second copy. ``writer`` keeps two queries (two checkpoints)
-    apart; a replay under a new checkpoint adds copies, which the staging de-duplication removes.
-    """
-    tagged = df.withColumn("writer", F.lit(writer)).withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
-    (tagged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*partition_by, *BATCH_COLUMNS).parquet(root))
 
+def _digest(rows: DataFrame, dated: bool) -> list:
+    """(date, rows, exclusive or, sum of the row hashes): equal for the same rows in any order and any files."""
+    date = F.col("event_date").cast("string") if dated else F.lit(None).cast("string")
+    h = F.xxhash64(*sorted(rows.columns))
+    return rows.groupBy(date.alias("date")).agg(F.count(F.lit(1)).alias("n"), F.bit_xor(h).alias("x"),
+                                                F.sum(h.cast("decimal(38,0)")).alias("s")).collect()      # one row a day
 
-def remove(spark: SparkSession, path: str) -> None:
-    """Delete a folder of a table or an intermediate, on whatever file system it is."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
+def _write(df: DataFrame, root: str, folder: str, partition_by: tuple[str, ...],
+           check: Callable[[DataFrame], None] | None) -> list[tuple]:
+    """Write rows to a folder of the table that no record names yet; its entries for the record."""
+    path, dated = f"{root.rstrip('/')}/{folder}", "event_date" in partition_by
+    w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
+    rows = df.sparkSession.read.schema(df.schema).parquet(path)
+    if check:
+        check(rows)
+    entries = []
+    for r in _digest(rows, dated):
+        own = f"{folder}/event_date={r.date or NO_DATE}" if dated else folder
+        entries.append((own, r.date, r.n, r.x, int(r.s)))
+    return entries
 
-def compact(spark: SparkSession, root: str, table: str, dates: list) -> int:
-    """Fold the batch folders of closed ``dates`` into one each; returns how many folders went.
 
-    The folded copy is committed first, then the old folders are deleted; a reader in between sees rows twice, which
-    every consumer of batch tables folds by key. Run it on dates that no batch writes any more.
+def write_batch(df: DataFrame, batch_id: int, root: str, partition_by: tuple[str, ...] = ("event_date",),
+                writer: str = "batch", check: Callable[[DataFrame], None] | None = None) -> int | None:
+    """Add a micro-batch to a table, exactly once; returns its version, None if it was there already.
+
+    The rows go to ``root/writer=W/batch_id=N[/event_date=D]`` and become visible with one record of the commit log. A
+    batch that is run again after a failure (same query, same id, same offsets) overwrites the folder if its record
+    is missing and is passed over if it is there; ids of one writer only grow. ``writer`` keeps two queries
+    (two checkpoints) apart. ``check`` sees the written rows before they are visible and stops the
+    publication by raising.
     """
-    from nimbus.sources.tables import batch_table_schema
-    rows = spark.read.schema(batch_table_schema(table)).parquet(root).filter(F.col("event_date").isin(dates))
-    old = rows.select("event_date", *BATCH_COLUMNS).distinct().collect()      # a row for each folder of these dates
-    if not old:
-        return 0
-    version = max([r.batch_id for r in old if r.writer == COMPACTED], default=-1) + 1
-    write_batch(rows.drop(*BATCH_COLUMNS).repartitionByRange("event_date", "city_id", "timestamp")
-                .sortWithinPartitions("event_date", "city_id", "timestamp"), version, root, writer=COMPACTED)
-    for r in old:
-        remove(spark, f"{root.rstrip('/')}/event_date={r.event_date}/writer={r.writer}/batch_id={r.batch_id}")
+    spark = df.sparkSession
+    if committed(spark, root, writer, batch_id):
+        return None
+    entries = _write(df, root, f"writer={writer}/batch_id={int(batch_id)}", partition_by, check)
+    return Manifest(spark, root).commit(entries, writer=writer, batch_id=int(batch_id))
+
+
+def append_new(spark: SparkSession, root: str, build: Callable[[State], DataFrame], batch_id: int, writer: str,
+               partition_by: tuple[str, ...] = ("event_date",), check: Callable[[DataFrame], None] | None = None) -> int | None:
+    """Add rows that depend on what the table holds, although others write to it too.
+
+    ``build`` makes the rows (an anti join, say) from one version of the table, and they are committed only as the
+    next version: if another commit came first, they are made again from what it left. So two writers that
+    insert the same new key leave one row. The rows of a lost try are overwritten by the next.
+    """
+    table = Manifest(spark, root)
+    while True:
+        now = table.state()
+        if now.writers.get(writer, -1) >= batch_id:
+            return None
+        entries = _write(build(now), root, f"writer={writer}/batch_id={int(batch_id)}", partition_by, check)
+        try:
+            return table.commit(entries, writer=writer, batch_id=int(batch_id), expected=now.version)
+        except Conflict:
+            continue
+
+
+def compact(spark: SparkSession, root: str, table: str, dates: list, fold: Callable[[DataFrame], DataFrame] | None = None) -> int:
+    """Fold the live folders of ``dates`` into one a date; returns how many they were.
+
+    One record removes the old folders and adds the new one, so a reader sees the one or the other, and a crash
+    before it changes nothing. The new folder must hold the same rows by their digest, unless ``fold`` merges rows
+    (a table of partial sums). The old files stay for those who read them until ``Manifest.vacuum``.
+    """
+    from nimbus.sources.tables import read_folders
+    log = Manifest(spark, root)
+    now = log.state()
+    old = now.folders(dates)
+    if len(old) <= len({now.live[f][0] for f in old}):
+        return 0                            # one folder a date already
+    rows = read_folders(spark, root, table, old)
+    by = [c for c in ("event_date", "city_id", "timestamp") if c in rows.columns]
+    rows = fold(rows) if fold else rows
+    # a name of its own for every try: nothing of a crashed or lost one is ever read
+    entries = _write(rows.repartitionByRange(*by).sortWithinPartitions(*by), root,
+                     f"writer={COMPACTED}/batch_id={uuid.uuid4().int >> 65}", ("event_date",), None)
+    if fold is None:
+        new: dict = {}
+        for _, date, *digest in entries:
+            new[date] = combined(new.get(date, (0, 0, 0)), tuple(digest))
+        if new != now.digests(old):
+            raise RuntimeError(f"{root}: the compacted rows are not those of the folders they replace")
+    log.commit(entries, removed=old, writer=COMPACTED, kind=COMPACT)
     return len(old)
 
 
+def verify(spark: SparkSession, root: str, table: str, dates: list | None = None) -> list:
+    """Dates whose stored rows are not the rows that were committed (lost, altered or added files); reads those dates only."""
+    from nimbus.sources.tables import read_folders
+    now = Manifest(spark, root).state()
+    folders = now.folders(dates)
+    rows = read_folders(spark, root, table, folders)
+    found = {r.date: (r.n, r.x, int(r.s)) for r in _digest(rows, "event_date" in rows.columns)}
+    want = now.digests(folders)
+    return sorted(d or "" for d in {*found, *want} if found.get(d) != want.get(d))
+
+
 def preview(df: DataFrame, n: int = 20) -> DataFrame:
     """A10: the first ``n`` rows of a batch for a log (bounded; off unless asked for)."""
     return df.limit(n)

@@ -26,3 +26,8 @@ def run_to_end(query) -> None:
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
+
+
+def dates_of(batch) -> list:
+    """The dates of a micro-batch: one value a day."""
+    return [r[0] for r in batch.select("event_date").distinct().collect() if r[0] is not None]

@@ -11,6 +11,7 @@ from nimbus.plans.catalog import comparable
 from nimbus.sources import testdata as td
 from nimbus.sources.files import write_messages
 from nimbus.sources.tables import read_table
+from nimbus.streaming.hourly import read_hourly
 
 
 def sorted_rows(df):
@@ -42,13 +43,13 @@ def test_pipeline_jobs(spark, tmp):
     cities = read_table(spark, paths.cities, "cities")
     assert cities.count() == raw.select("city_id").distinct().count()
     jobs.rollup_hourly(spark, paths)
-    hourly = read_table(spark, paths.hourly, "hourly")
+    hourly = read_hourly(spark, paths.hourly_state)
     assert sorted_rows(comparable(hourly.drop("event_date"))) == sorted_rows(comparable(hourly_avg(stg)))
 
-    # a second run over an unchanged table opens no raw partition and rewrites no hourly date
-    before = files_of(paths.staging), files_of(paths.hourly)
+    # a second run over an unchanged table opens no raw folder and adds nothing to the hourly state
+    before = files_of(paths.staging), files_of(paths.hourly_state)
     assert jobs.update_staging(spark, paths) == 0 and jobs.rollup_hourly(spark, paths) == 0
-    assert (files_of(paths.staging), files_of(paths.hourly)) == before
+    assert (files_of(paths.staging), files_of(paths.hourly_state)) == before
 
     name = cities.orderBy("id").first()
     top = F.timestamp_seconds(F.lit(stg.filter(F.col("city_id") == name["id"]).agg(F.max("timestamp")).first()[0]))

@@ -9,7 +9,9 @@ from nimbus.operators.rollup import hourly_avg
 from nimbus.operators.serving import for_city
 from nimbus.operators.staging import to_staging
 from nimbus.sinks.batch import preview
-from nimbus.streaming.hourly import hourly_batch
+from nimbus.sinks.manifest import Manifest
+from nimbus.sources.tables import read_table
+from nimbus.streaming.hourly import compact_hourly, hourly_batch, read_hourly
 
 
 def test_preview_is_bounded(spark):
@@ -31,28 +33,26 @@ def test_counted_reads_the_count_from_the_one_action(spark, tmp):
     assert rows(obs) == 617 == spark.read.parquet(f"{tmp}/even").count()
 
 
-def test_hourly_batch_replaces_only_the_dates_it_touches(spark, tmp):
-    """I8: a micro-batch recomputes its dates from staging, late rows included, and leaves other dates' files alone."""
-    import os
+def test_hourly_batch_adds_only_its_own_rows(spark, tmp):
+    """I8: a micro-batch adds the parts of its rows; late rows of an hour count, a retry does not count twice."""
     base = 1744502400   # an hour start
     rs = [raw_row(id=i, city_id=c, timestamp=base + off, temperature=t, humidity=h, wind_speed=w, cloud_coverage=k)
           for i, (c, off, t, h, w, k) in enumerate([
               (1, 0, 10.0, 50, 1.0, 10), (1, 3599, 12.0, None, 3.0, 20), (1, 3600, 5.0, 40, 2.0, 30),
-              (2, 10, -1.5, 90, 0.5, 0)])]
-    stg = to_staging(raw_df(spark, rs))
-    other = to_staging(raw_df(spark, [raw_row(id=9, city_id=5, timestamp=base + 5 * 86400)]))
-    stg.unionByName(other).write.partitionBy("event_date").parquet(f"{tmp}/stg")
-    hourly_batch(stg.unionByName(other), f"{tmp}/stg", f"{tmp}/hourly")
-
-    def files():
-        return {os.path.join(p, f) for p, _, fs in os.walk(f"{tmp}/hourly") for f in fs if f.endswith(".parquet")}
-    before = files()
-    hourly_batch(stg, f"{tmp}/stg", f"{tmp}/hourly")
-    untouched = {f for f in before if f"event_date={other.first().event_date}" in f}
-    assert len(untouched) == 1 and untouched <= files()
-    got = spark.read.parquet(f"{tmp}/hourly").drop("event_date")
-    batch_form = hourly_avg(stg).collect()
-    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, hourly_avg(stg.unionByName(other)).collect()))
-    first = [r for r in batch_form if r.city_id == 1 and r.timestamp_hour ==
-             stg.select(epoch_to_instant(F.lit(base)).alias("t")).first().t][0]
-    assert (first.avg_temp, first.avg_humidity, first.avg_wind_speed, first.avg_cloud_coverage) == (11.0, 50.0, 2.0, 15.0)
+              (2, 10, -1.5, 90, 0.5, 0), (3, 20, None, None, None, None)])]
+    late = to_staging(raw_df(spark, rs[:1] + [raw_row(id=9, city_id=5, timestamp=base + 5 * 86400)]))
+    first = to_staging(raw_df(spark, rs[1:]))
+    for n, batch in enumerate((first, late, late)):
+        hourly_batch(batch, min(n, 1), f"{tmp}/state", "w")
+    log = Manifest(spark, f"{tmp}/state").state()
+    assert log.version == 2 and len(log.live) == 3
+    want = hourly_avg(first.unionByName(late))
+    got = read_hourly(spark, f"{tmp}/state").drop("event_date")
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+    assert compact_hourly(spark, f"{tmp}/state", [first.first().event_date]) == 2
+    assert read_table(spark, f"{tmp}/state", "hourly_state").count() == want.count()
+    got = read_hourly(spark, f"{tmp}/state").drop("event_date")
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+    one = [r for r in got.collect() if r.city_id == 1 and r.timestamp_hour ==
+           first.select(epoch_to_instant(F.lit(base)).alias("t")).first().t][0]
+    assert (one.avg_temp, one.avg_humidity, one.avg_wind_speed, one.avg_cloud_coverage) == (11.0, 50.0, 2.0, 15.0)

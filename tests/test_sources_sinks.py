@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from conftest import raw_df, raw_row
 from nimbus.sinks.batch import compact, write_batch
+from nimbus.sinks.manifest import Manifest
 from nimbus.sinks.tables import replace_table
 from nimbus.operators.audit import ConstraintViolation, pk_violations
 from nimbus.sources import jdbc, kafka
@@ -49,6 +50,7 @@ def test_compaction_bounds_the_files_of_closed_dates(spark, tmp):
     before = sorted(tuple(r) for r in read_table(spark, f"{tmp}/raw", "raw").select("id", "city_id", "timestamp").collect())
     dates = [r.event_date for r in read_table(spark, f"{tmp}/raw", "raw").select("event_date").distinct().collect()]
     assert compact(spark, f"{tmp}/raw", "raw", dates) == 50
+    assert Manifest(spark, f"{tmp}/raw").vacuum(grace=0) == 50 and compact(spark, f"{tmp}/raw", "raw", dates) == 0
     files = [f for _, _, fs in os.walk(f"{tmp}/raw") for f in fs if f.endswith(".parquet")]
     assert len(files) <= 4
     after = sorted(tuple(r) for r in read_table(spark, f"{tmp}/raw", "raw").select("id", "city_id", "timestamp").collect())
@@ -76,10 +78,24 @@ def test_jobs_on_provisioned_tables(spark, tmp):
     jobs.update_staging(spark, paths)
     jobs.rollup_hourly(spark, paths)
     from nimbus.sources.tables import register
-    register(spark, "nimbus_jobs", "raw")
-    for name in ("raw", "staging", "cities", "hourly"):
-        stored = read_table(spark, getattr(paths, name), name)
-        assert read_table_or_none(spark, f"nimbus_jobs.{name}").count() == stored.count() > 0, name
+    from nimbus.streaming.hourly import read_hourly
+    register(spark, "nimbus_jobs", paths.root, "raw")
+    for again in (False, True):
+        for name in ("raw", "staging", "cities"):
+            stored = read_table(spark, getattr(paths, name), name)
+            assert read_table_or_none(spark, f"nimbus_jobs.{name}").count() == stored.count() > 0, name
+        by_name, by_path = read_table_or_none(spark, "nimbus_jobs.hourly"), read_hourly(spark, paths.hourly_state)
+        assert sorted(map(tuple, by_name.select(*by_path.columns).collect()), key=repr) == sorted(map(tuple, by_path.collect()), key=repr)
+        # more readings in other folders, then one folder a date: the catalog follows the log
+        if not again:
+            more = raw_df(spark, [raw_row(id=-1, city_id=1, city="Customer#000000001", country="N1")])
+            write_batch(more, 1, paths.raw)
+            jobs.update_staging(spark, paths)
+            jobs.rollup_hourly(spark, paths)
+            dates = [r.event_date for r in read_table(spark, paths.staging, "staging").select("event_date").distinct().collect()]
+            compact(spark, paths.staging, "staging", dates)
+            register(spark, "nimbus_jobs", paths.root, "raw", "staging")
+            Manifest(spark, paths.staging).vacuum(grace=0)
     assert not [k for k, v in jobs.constraint_audits(spark, paths).items() if not v.isEmpty()]
     spark.sql("DROP DATABASE nimbus_jobs CASCADE")
 
@@ -100,7 +116,7 @@ def test_replace_table_is_guarded(spark, tmp):
 
 def test_provision_and_read_helpers(spark, tmp):
     made = provision(spark, "nimbus_test", f"{tmp}/wh")
-    assert made == ["nimbus_test.raw", "nimbus_test.staging", "nimbus_test.cities", "nimbus_test.hourly"]
+    assert made == [f"nimbus_test.{t}" for t in ("raw", "staging", "cities", "hourly_state", "hourly")]
     provision(spark, "nimbus_test", f"{tmp}/wh")        # if not exists: second call is a no-op
     assert read_table_or_none(spark, "nimbus_test.cities") is None           # empty
     assert read_table_or_none(spark, "nimbus_test.nope") is None             # missing

@@ -11,7 +11,7 @@ from nimbus.plans.catalog import comparable
 from nimbus.sources import testdata as td
 from nimbus.sources.files import read_messages, write_messages
 from nimbus.streaming.dedupe import start_dedupe
-from nimbus.streaming.hourly import staging_stream, start_hourly
+from nimbus.streaming.hourly import read_hourly, staging_stream, start_hourly
 from nimbus.streaming.ingest import start_ingest
 from nimbus.streaming.staging import raw_stream, start_staging
 from nimbus.streaming.triggers import AVAILABLE_NOW, run_to_end
@@ -69,7 +69,7 @@ def test_staging_hourly_dedupe_streams_equal_batch(spark, tmp):
     publish(spark, tmp)
     ingest(spark, tmp)
     raw = spark.read.parquet(f"{tmp}/raw").drop("writer", "batch_id")
-    run_to_end(start_staging(raw_stream(spark, f"{tmp}/raw", max_files_per_trigger=4), f"{tmp}/staging",
+    run_to_end(start_staging(raw_stream(spark, f"{tmp}/raw", max_files_per_trigger=1), f"{tmp}/staging",
                              f"{tmp}/cities", f"{tmp}/quarantine", f"{tmp}/_ck/staging", AVAILABLE_NOW))
     stg = spark.read.parquet(f"{tmp}/staging").drop("writer", "batch_id")
     expected = stage(raw)
@@ -84,11 +84,10 @@ def test_staging_hourly_dedupe_streams_equal_batch(spark, tmp):
                              f"{tmp}/_ck/staging2", AVAILABLE_NOW))
     assert spark.read.parquet(f"{tmp}/staging").count() == n
 
-    run_to_end(start_hourly(staging_stream(spark, f"{tmp}/staging", 2), f"{tmp}/staging", f"{tmp}/hourly", f"{tmp}/_ck/hourly",
-                            AVAILABLE_NOW))
-    assert rows(comparable(spark.read.parquet(f"{tmp}/hourly").drop("event_date"))) == expected_hourly
+    run_to_end(start_hourly(staging_stream(spark, f"{tmp}/staging", 1), f"{tmp}/hourly_state", f"{tmp}/_ck/hourly", AVAILABLE_NOW))
+    assert rows(comparable(read_hourly(spark, f"{tmp}/hourly_state").drop("event_date"))) == expected_hourly
 
-    run_to_end(start_dedupe(raw_stream(spark, f"{tmp}/raw", 2), f"{tmp}/keys", f"{tmp}/_ck/dedupe", AVAILABLE_NOW))
+    run_to_end(start_dedupe(raw_stream(spark, f"{tmp}/raw", 1), f"{tmp}/keys", f"{tmp}/_ck/dedupe", AVAILABLE_NOW))
     got = spark.read.parquet(f"{tmp}/keys").select("city_id", "timestamp")
     assert got.count() == got.distinct().count() == raw.select("city_id", "timestamp").distinct().count()
 
