@@ -80,13 +80,13 @@ def metric_text(value, unit: str) -> Column:
     """One decimal (half-up) followed by a unit, e.g. "12.5°C"; -0.04 shows as "0.0"."""
     rounded = F.round(_c(value).cast("double"), 1)
     # as a decimal, so that large values are written out and there is no negative zero
-    return F.concat(F.coalesce(rounded.cast("decimal(20,1)").cast("string"), rounded.cast("string")), F.lit(unit))
+    return F.concat(F.coalesce(rounded.try_cast("decimal(38,1)").cast("string"), rounded.cast("string")), F.lit(unit))
 
 
 def plain_text(value) -> Column:
     """A double as text without an exponent."""
     v = _c(value).cast("double")
-    digits = F.regexp_replace(F.regexp_replace(v.cast("decimal(38,12)").cast("string"), "0+$", ""), r"\\.$", ".0")
+    digits = F.regexp_replace(F.regexp_replace(v.try_cast("decimal(38,12)").cast("string"), "0+$", ""), r"\.$", ".0")
     usual = (v == 0) | F.abs(v).between(1e-3, 9_999_999.0)
     return F.when(usual | v.isNull(), v.cast("string")).otherwise(F.coalesce(digits, v.cast("string")))
 

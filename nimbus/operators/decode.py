@@ -75,30 +75,39 @@ def split_exploded(ex: DataFrame) -> tuple[DataFrame, DataFrame]:
     valid = ex.filter(F.col("weather_pos").isNotNull())
     bad = ex.filter(F.col("weather_pos").isNull()).select(
         F.col("id").alias("city_id"), F.col("dt").alias("timestamp"),
-        quarantine_reason().alias("reason"), F.col(f"{MSG}.value").cast("string").alias("value"))
+        quarantine_reason().alias("reason"), F.col(f"{MSG}.value").cast("string").alias("value"),
+        message_id(source_coordinates(ex)).alias("msg_id"))
     return valid, bad
 
 
 def source_coordinates(decoded: DataFrame) -> list[str]:
     """Columns of ``_msg`` that identify a message where it was read.
 
-    Kafka: (topic, partition, offset). Files: (file_path, value) - two identical
-    lines in one file then share an id, which the primary-key audit reports.
+    Kafka: (topic, partition, offset). Files: (file_path, line), or (file_path, value) if lines are not
+    numbered - two identical lines in one file then share an id, which the primary-key audit reports. A message
+    that is replayed keeps the identity it had (``msg_id``).
     """
     fields = decoded.schema[MSG].dataType.fieldNames()
-    for group in (("topic", "partition", "offset"), ("file_path", "value")):
+    for group in (("msg_id",), ("topic", "partition", "offset"), ("file_path", "line"), ("file_path", "value")):
         if all(f in fields for f in group):
             return list(group)
     return fields
 
 
+def message_id(coords: list[str]) -> Column:
+    """Identity of a message: a 64-bit hash of where it was read, or the one it was given."""
+    if coords == ["msg_id"]:
+        return F.col(f"{MSG}.msg_id")
+    return F.xxhash64(*[F.col(f"{MSG}.{c}") for c in coords])
+
+
 def row_id(coords: list[str], pos: Column) -> Column:
-    """Surrogate key of one reading, a 64-bit hash of where it was read.
+    """Surrogate key of one reading: its message's identity and the position in the weather list, hashed.
 
     Deterministic: re-reading the same offset (a restarted stream) gives the same
     id, so a replayed batch overwrites instead of duplicating.
     """
-    return F.xxhash64(*[F.col(f"{MSG}.{c}") for c in coords], pos)
+    return F.xxhash64(message_id(coords), pos)
 
 
 def project_readings(valid: DataFrame, coords: list[str] | None = None) -> DataFrame:

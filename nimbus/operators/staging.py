@@ -30,9 +30,10 @@ def violation() -> Column:
 
 
 def set_aside(raw: DataFrame) -> DataFrame:
-    """B12 at staging: the violating readings as quarantine rows."""
+    """B12 at staging: the violating readings as quarantine rows (they are in raw: no ``msg_id`` to replay)."""
     return (raw.withColumn("reason", violation()).filter(F.col("reason").isNotNull())
-            .select("city_id", "timestamp", "reason", F.to_json(F.struct(*raw.columns)).alias("value")))
+            .select("city_id", "timestamp", "reason", F.to_json(F.struct(*raw.columns)).alias("value"),
+                    F.lit(None).cast("bigint").alias("msg_id")))
 
 
 def since(df: DataFrame, seconds: Column, strict: bool = False) -> DataFrame:

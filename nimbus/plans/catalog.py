@@ -210,6 +210,21 @@ def q_null_audit(spark, d):
     return audit.null_violations(td.readings(spark, d), ["city", "latitude", "longitude", "wind_gust"], ["id"])
 
 
+def q_city_readings(spark, d):
+    """The readings of one city, given by id."""
+    return comparable(serving.for_city(_staging_table(spark, d), 7))
+
+
+def q_row_counts(spark, d):
+    """D-c: rows of each date's readings as counted by the write itself, beside a count of the result."""
+    from nimbus.operators.metrics import counted, rows
+    from nimbus.session import run_dir
+    path = run_dir(spark, "counted")
+    out, seen = counted(td.replayed_readings(spark, d), "readings")
+    out.write.parquet(path)
+    return spark.read.parquet(path).agg(F.lit(rows(seen)).cast("bigint").alias("observed"), F.count("*").alias("n_rows"))
+
+
 def q_length_audit(spark, d):
     return audit.length_violations(td.cities_with_nation_names(spark, d), "country", 5, ["id"])
 
@@ -246,6 +261,8 @@ BATCH_QUERIES: dict[str, Query] = {
     "fk_audit": q_fk_audit,
     "null_audit": q_null_audit,
     "length_audit": q_length_audit,
+    "city_readings": q_city_readings,
+    "row_counts": q_row_counts,
 }
 
 
@@ -292,6 +309,8 @@ def prepare(spark, d) -> None:
     """Write the shared inputs of the queries."""
     _publish_messages(spark, d)
     _publish_late(spark, d)
+    _publish_ordered(spark, d)
+    _publish_broken(spark, d)
     _staging_table(spark, d)
     _staging_before_table(spark, d)
     _raw_table(spark, d)
@@ -346,16 +365,52 @@ def _stage_stream(spark, root):
 
 
 def q_stream_raw(spark, d):
+    from nimbus.sources.tables import read_table
     root = _ingest(spark, d)
-    return spark.read.parquet(f"{root}/raw").select(*READING_COLUMNS, "weather_pos", "event_date")
+    return read_table(spark, f"{root}/raw", "raw").select(*READING_COLUMNS, "weather_pos", "event_date")
 
 
 def q_stream_staging(spark, d):
     root = _ingest(spark, d)
     _stage_stream(spark, root)
-    from nimbus.schemas import STAGING_COLUMNS
-    out = spark.read.parquet(f"{root}/staging").select(*STAGING_COLUMNS)
-    return comparable(out.drop("id"))
+    return _staged(spark, root)
+
+
+def _staged(spark, root):
+    from nimbus.sources.tables import read_table
+    return comparable(read_table(spark, f"{root}/staging", "staging").drop("id"))
+
+
+def _dates(spark, root, table):
+    from nimbus.sources.tables import read_table
+    from nimbus.streaming.triggers import dates_of
+    return dates_of(read_table(spark, f"{root}/{table}", table))
+
+
+def q_compact_raw(spark, d):
+    """Raw compacted between two runs of the staging stream and after them: the same rows, read once each."""
+    from nimbus.sinks.batch import compact
+    from nimbus.sinks.manifest import Manifest
+    from nimbus.sources.tables import read_table
+    root = _ingest(spark, d)
+    compact(spark, f"{root}/raw", "raw", _dates(spark, root, "raw"))
+    log = Manifest(spark, f"{root}/raw")
+    log.expire(keep=0)
+    log.vacuum(grace=0)
+    return read_table(spark, f"{root}/raw", "raw").select(*READING_COLUMNS, "weather_pos", "event_date")
+
+
+def q_compact_crash(spark, d):
+    """A compaction of raw that dies before its record, another that ends, both before staging has read a row."""
+    from nimbus.sinks.batch import COMPACTED, compact
+    from nimbus.sources.tables import read_table
+    root = _ingest(spark, d)
+    (read_table(spark, f"{root}/raw", "raw").write.partitionBy("event_date")
+     .parquet(f"{root}/raw/writer={COMPACTED}/batch_id=1"))                 # what the first one leaves
+    compact(spark, f"{root}/raw", "raw", _dates(spark, root, "raw"))
+    _stage_stream(spark, root)
+    compact(spark, f"{root}/staging", "staging", _dates(spark, root, "staging"))
+    return _staged(spark, root)
 
 
 def _hourly_stream(spark, root):
@@ -380,6 +435,92 @@ def q_stream_hourly_late(spark, d):
     return _hourly_stream(spark, root)
 
 
+def q_stream_hourly_state(spark, d):
+    """Late readings, with the state merged half way: parts of later commits add to the merged ones."""
+    from nimbus.streaming.hourly import compact_hourly
+    root = _ingest(spark, d, _publish_late)
+    _stage_stream(spark, root)
+    _hourly_stream(spark, root)
+    compact_hourly(spark, f"{root}/hourly_state", _dates(spark, root, "hourly_state"))
+    return _hourly_stream(spark, root)
+
+
+def q_stream_latest(spark, d):
+    """E1 kept up to date: readings that arrive newest first leave the newest of every city."""
+    from nimbus.streaming.hourly import staging_stream
+    from nimbus.streaming.latest import read_latest, start_latest
+    from nimbus.streaming.triggers import AVAILABLE_NOW, run_to_end
+    root = _ingest(spark, d, _publish_late)
+    _stage_stream(spark, root)
+    run_to_end(start_latest(staging_stream(spark, f"{root}/staging", 1), f"{root}/latest", f"{root}/_ck/latest", AVAILABLE_NOW))
+    return comparable(read_latest(spark, f"{root}/latest").drop("id"))
+
+
+def _publish_ordered(spark, d):
+    """The bus in the order of time, in four deliveries; the last repeats the newest reading of every city."""
+    from nimbus.sources.files import write_messages
+
+    def publish(path):
+        r = td.readings(spark, d)
+        bounds = r.agg(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi"))
+        third = bounds.select(((F.col("hi") - F.col("lo") + 1) / 3).alias("w")).scalar()
+        on = F.floor((F.col("timestamp") - bounds.select("lo").scalar()) / third)
+        for part in (0, 1, 2):
+            write_messages(td.as_messages(r.filter(on == part)).repartition(FILES_A_BATCH), path)
+        newest = series.latest_per_city(r.filter(F.col("id") % 3 != 0))
+        write_messages(td.as_messages(newest).repartition(FILES_A_BATCH), path)
+    return _session_fixture(spark, d, "ordered-topic", publish)
+
+
+def q_stream_changes(spark, d):
+    """E2 at insertion, over a restart: half of the deliveries, then the rest under the same checkpoint."""
+    from nimbus.session import run_dir
+    from nimbus.sources.files import read_messages
+    from nimbus.sources.tables import read_table
+    from nimbus.streaming.changes import start_changes
+    from nimbus.streaming.triggers import AVAILABLE_NOW, run_to_end
+    root, topic = run_dir(spark, "changes"), _publish_ordered(spark, d)
+    for _ in range(2):          # the second start finds nothing new
+        run_to_end(start_changes(read_messages(spark, topic, stream=True, max_files_per_trigger=FILES_A_BATCH),
+                                 f"{root}/changes", f"{root}/_ck/changes", AVAILABLE_NOW))
+    return read_table(spark, f"{root}/changes", "changes").select("city_id", "timestamp", "previous")
+
+
+def _publish_broken(spark, d):
+    from nimbus.sources.files import write_messages
+    return _session_fixture(spark, d, "broken-topic", lambda path: write_messages(
+        td.broken_messages(spark, d).repartitionByRange(FILES_A_BATCH, "offset"), path))
+
+
+def q_quarantine_replay(spark, d):
+    """Messages without conditions get one and are replayed, twice: raw holds each once, under its first id.
+
+    Those that lack their city or time as well stay set aside.
+    """
+    from nimbus.schemas import PAYLOAD
+    from nimbus.sources.tables import read_table
+    from nimbus.streaming.replay import replay
+    root = _ingest(spark, d, _publish_broken)
+    held = read_table(spark, f"{root}/quarantine", "quarantine").filter(F.col("reason") == decode.NO_WEATHER)
+    clear = F.array(F.struct(F.lit(800).alias("id"), F.lit("Clear").alias("main"), F.lit("clear sky").alias("description"),
+                             F.lit("01d").alias("icon")))
+    fixed = held.select("msg_id", F.to_json(F.from_json("value", PAYLOAD).withField("weather", clear)).alias("value"))
+    for _ in range(2):
+        replay(fixed, f"{root}/raw", f"{root}/quarantine", f"{root}/replayed")
+    return read_table(spark, f"{root}/raw", "raw").select("city_id", "timestamp", "weather_main", "temperature", "weather_pos")
+
+
+def q_raw_line_ids(spark, d):
+    """Every message stands twice in its file: twice the readings, and no id twice."""
+    from nimbus.session import run_dir
+    from nimbus.sources.files import read_messages, write_messages
+    path = run_dir(spark, "twice")
+    m = td.messages(spark, d).repartitionByRange(FILES_A_BATCH, "offset")
+    write_messages(m.select(F.explode(F.array("value", "value")).alias("value")), path)
+    raw, _ = decode.messages_to_raw(read_messages(spark, path, stream=False))
+    return raw.agg(F.count("*").alias("n_rows"), F.count_distinct("id").alias("n_ids"))
+
+
 def q_stream_dedupe(spark, d):
     from nimbus.streaming.dedupe import start_dedupe
     from nimbus.streaming.staging import raw_stream
@@ -387,7 +528,8 @@ def q_stream_dedupe(spark, d):
     root = _ingest(spark, d)
     src = raw_stream(spark, f"{root}/raw", _a_third_of_the_commits(spark, f"{root}/raw"))
     run_to_end(start_dedupe(src, f"{root}/keys", f"{root}/_ck/dedupe", AVAILABLE_NOW))
-    return spark.read.parquet(f"{root}/keys").select("city_id", "timestamp")
+    from nimbus.sources.tables import read_table
+    return read_table(spark, f"{root}/keys", "raw").select("city_id", "timestamp")
 
 
 def q_json_publish(spark, d):
@@ -408,6 +550,13 @@ STREAM_QUERIES: dict[str, Query] = {
     "stream_staging": q_stream_staging,
     "stream_hourly": q_stream_hourly,
     "stream_hourly_late": q_stream_hourly_late,
+    "stream_hourly_state": q_stream_hourly_state,
+    "stream_latest": q_stream_latest,
+    "stream_changes": q_stream_changes,
+    "compact_raw": q_compact_raw,
+    "compact_crash": q_compact_crash,
+    "quarantine_replay": q_quarantine_replay,
+    "raw_line_ids": q_raw_line_ids,
     "stream_dedupe": q_stream_dedupe,
     "json_publish": q_json_publish,
 }
@@ -511,6 +660,7 @@ def _card(spark, d, seconds_later):
     name, country = td.NAMED_CITY
     own = serving.for_named_city(read_table(spark, paths.staging, "staging"), td.cities(spark, d), name, country)
     newest = own.agg((F.max(F.unix_seconds("timestamp_utc")) + seconds_later).alias("s")).scalar()
+    jobs.update_latest(spark, paths)
     return jobs.current_card(spark, paths, name, country, 24, now=F.timestamp_seconds(newest))
 
 

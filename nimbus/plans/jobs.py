@@ -17,15 +17,19 @@ from nimbus.operators.diff import has_changed
 from nimbus.operators.rollup import hourly_avg
 from nimbus.operators.serving import city_series, conditions_card, find_city, hourly_overlay, last_hours
 from nimbus.schemas import MAX_LENGTH, NOT_NULL, PRIMARY_KEYS
+from nimbus.sinks.batch import compact
+from nimbus.sinks.manifest import GRACE_SECONDS, Manifest
 from nimbus.sinks.tables import replace_table
 from nimbus.sources.files import read_messages
 from nimbus.sources.tables import read_table, register
-from nimbus.streaming.hourly import read_hourly, staging_stream, start_hourly
+from nimbus.streaming.hourly import compact_hourly, read_hourly, staging_stream, start_hourly
 from nimbus.streaming.ingest import start_ingest
+from nimbus.streaming.latest import read_latest, start_latest
+from nimbus.streaming.replay import replay
 from nimbus.streaming.staging import raw_stream, start_staging
 from nimbus.streaming.triggers import AVAILABLE_NOW, run_to_end
 
-TABLES = ("raw", "staging", "cities", "hourly_state", "quarantine")
+TABLES = ("raw", "staging", "cities", "hourly_state", "quarantine", "latest", "changes", "replayed")
 
 
 @dataclass
@@ -74,17 +78,48 @@ def rollup_hourly(spark: SparkSession, paths: Paths) -> int:
     return _batches(q)
 
 
+def update_latest(spark: SparkSession, paths: Paths) -> int:
+    """New staging rows are merged into the table of latest readings."""
+    q = start_latest(staging_stream(spark, paths.staging), paths.latest, paths.checkpoint("latest"), AVAILABLE_NOW)
+    run_to_end(q)
+    return _batches(q)
+
+
+def replay_quarantine(spark: SparkSession, paths: Paths, corrections: DataFrame) -> DataFrame:
+    """Corrected messages (``msg_id``, ``value``) enter raw once; returns those that are still bad."""
+    still = replay(corrections, paths.raw, paths.quarantine, paths.replayed)
+    register(spark, paths.database, paths.root, "raw")
+    return still
+
+
+def maintain(spark: SparkSession, paths: Paths, closed: list, grace: float = GRACE_SECONDS) -> dict[str, int]:
+    """Keep the tables short: folders of ``closed`` dates into one each, old records folded, replaced files deleted.
+
+    Safe at any time and beside every other job; returns the folders that were folded.
+    """
+    folded = {name: compact(spark, getattr(paths, name), name, closed) for name in ("raw", "staging")
+              if Manifest(spark, getattr(paths, name)).there()}
+    if Manifest(spark, paths.hourly_state).there():
+        folded["hourly_state"] = compact_hourly(spark, paths.hourly_state, closed)
+    for name in TABLES:
+        log = Manifest(spark, getattr(paths, name))
+        if log.there():
+            log.vacuum(grace)
+            log.expire()
+    return folded
+
+
 def _batches(query) -> int:
     last = query.lastProgress
     return 0 if last is None else sum(1 for p in query.recentProgress if p["numInputRows"] > 0)
 
 
-def refresh_hourly(spark: SparkSession, paths: Paths, target: str, source: str = "staging") -> str:
-    """The whole hourly table anew as an audited generation of ``target``; returns its folder."""
+def refresh_hourly(spark: SparkSession, paths: Paths, target: str, source: str = "staging", name: str | None = None) -> str:
+    """The whole hourly table anew as an audited generation of ``target`` (and of the catalog table ``name``)."""
     out = hourly_avg(read_table(spark, getattr(paths, source), source))
     cities = read_table(spark, paths.cities, "cities")
     return replace_table(out, target, audits={"hourly_pk": audit.pk_violations(out, PRIMARY_KEYS["hourly"]),
-                                              "hourly_city_fk": audit.fk_violations(out, "city_id", cities, "id")})
+                                              "hourly_city_fk": audit.fk_violations(out, "city_id", cities, "id")}, name=name)
 
 
 def constraint_audits(spark: SparkSession, paths: Paths) -> dict[str, DataFrame]:
@@ -108,10 +143,17 @@ def _of_city(df: DataFrame, cities: DataFrame, name: str, country: str) -> DataF
 
 def current_card(spark: SparkSession, paths: Paths, name: str, country: str, hours: int = 24,
                  now: Column | None = None) -> DataFrame:
-    """L4: the conditions card of the configured city from its readings of the last ``hours`` (one row, or none)."""
+    """L4: the conditions card of the configured city if it has a reading of the last ``hours`` (one row, or none).
+
+    The city is looked up first (at most one row comes to the driver); then its bucket of the table of latest
+    readings is all that is opened.
+    """
     cities = read_table(spark, paths.cities, "cities")
-    recent = last_hours(read_table(spark, paths.staging, "staging"), hours, now)
-    return conditions_card(_of_city(recent, cities, name, country), cities)
+    city = find_city(cities, name, country).first()
+    latest = read_latest(spark, paths.latest, -1 if city is None else city.id)
+    if city is None:
+        latest = latest.limit(0)
+    return conditions_card(last_hours(latest, hours, now), cities)
 
 
 def day_view(spark: SparkSession, paths: Paths, name: str, country: str, hours: int = 24,

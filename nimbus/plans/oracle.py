@@ -244,6 +244,32 @@ SQL["stream_hourly_late"] = SQL["stream_hourly"]
 
 SQL["stream_dedupe"] = _with(READINGS) + """SELECT DISTINCT city_id, timestamp FROM r WHERE id % 3 <> 0"""
 
+SQL["stream_hourly_state"] = SQL["stream_hourly"]
+
+SQL["stream_latest"] = SQL["stream_staging"] + """
+QUALIFY row_number() OVER (PARTITION BY city_id ORDER BY timestamp DESC) = 1"""
+
+SQL["stream_changes"] = _with(READINGS) + """, k AS (SELECT DISTINCT city_id, timestamp FROM r WHERE id % 3 <> 0)
+SELECT city_id, timestamp, lag(timestamp) OVER (PARTITION BY city_id ORDER BY timestamp) AS previous FROM k"""
+
+SQL["compact_raw"] = SQL["stream_raw"]
+
+SQL["compact_crash"] = SQL["stream_staging"]
+
+SQL["quarantine_replay"] = _with(READINGS) + """
+SELECT city_id, timestamp, CASE WHEN id % 3 = 0 THEN 'Clear' ELSE weather_main END AS weather_main, temperature, 0 AS weather_pos
+FROM r WHERE id % 20 NOT IN (0, 5, 10)
+UNION ALL
+SELECT city_id, timestamp, 'Clouds' AS weather_main, temperature, 1 AS weather_pos
+FROM r WHERE id % 3 = 2 AND id % 20 NOT IN (0, 5, 10)"""
+
+SQL["raw_line_ids"] = _with(READINGS) + """
+SELECT (sum(2 * (id % 3)))::BIGINT AS n_rows, (sum(2 * (id % 3)))::BIGINT AS n_ids FROM r"""
+
+SQL["city_readings"] = _with(READINGS, STAGING) + """SELECT * FROM s WHERE city_id = 7"""
+
+SQL["row_counts"] = _with(READINGS) + """SELECT count(*) AS observed, count(*) AS n_rows FROM rp"""
+
 # Sanity: every READING column is in the flatten select list.
 assert all(c in _FLAT for c in READING_COLUMNS), _READING_LIST
 

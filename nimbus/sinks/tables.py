@@ -2,20 +2,13 @@
 
 from __future__ import annotations
 
-import time
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nimbus.operators.audit import require_clean
-from nimbus.sinks.batch import remove
-
-COMMIT = "generation long, path string"
-
-
-def commits_of(path: str) -> str:
-    """Log of a replace-style table's generations, beside its folder."""
-    return f"{path.rstrip('/')}.commits"
+from nimbus.sinks.manifest import COMPACT, GRACE_SECONDS, Manifest
 
 
 def append_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = ("event_date",),
@@ -29,33 +22,43 @@ def append_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = ("eve
 
 
 def replace_table(df: DataFrame, path: str, audits: dict[str, DataFrame] | None = None,
-                  partition_by: tuple[str, ...] = (), keep: int = 2) -> str:
+                  partition_by: tuple[str, ...] = (), grace: float = GRACE_SECONDS, name: str | None = None) -> str:
     """Full refresh of a derived table, published only when the audits pass.
 
-    The reference truncates first and loads second, so a failed load leaves the
-    table empty. Here the new content goes to a new ``generation=<ms>`` folder;
-    only after that write has committed is a one-line record appended to the
-    table's log (``<path>.commits``), and readers (``read_current``) take the newest
-    recorded generation. A failed refresh leaves the previous generation
-    current, and a reader that listed the old generation keeps reading intact
-    files. Generations before the last ``keep`` are removed. Returns the new folder.
+    The reference truncates first and loads second, so a failed load leaves the table empty. Here the new content
+    goes to a folder of its own; one record of the table's commit log then puts it in place of the old one, and
+    readers (``read_current``) take the folder that the log names. A failed refresh leaves the previous generation
+    current; a reader that resolved the old one keeps reading intact files for ``grace`` seconds, then they go.
+    Of two refreshes at once the later is refused. With ``name`` the catalog table of that name is pointed at the
+    new folder after the record is there, so its readers see the one or the other generation as a whole.
     """
     require_clean(**(audits or {}))
-    gen = int(time.time() * 1000)
-    target = f"{path.rstrip('/')}/generation={gen}"
+    spark = df.sparkSession
+    log = Manifest(spark, path)
+    before = log.state()
+    folder = f"generation={before.version + 1}-{uuid.uuid4().hex[:12]}"
+    target = f"{path.rstrip('/')}/{folder}"
     w = df.write.mode("errorifexists")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(target)
-    spark = df.sparkSession
-    (spark.createDataFrame([(gen, target)], COMMIT).coalesce(1)
-     .write.mode("append").json(commits_of(path)))
-    known = spark.read.schema(COMMIT).json(commits_of(path)).orderBy(F.col("generation").desc())
-    for old in known.offset(keep).limit(100).collect():
-        remove(spark, old.path)
+    log.commit([(folder, None, 0, 0, 0)], removed=before.folders(), writer="refresh", kind=COMPACT, expected=before.version)
+    if name:
+        publish(spark, name, target)
+    log.vacuum(grace)
+    log.expire()
     return target
 
 
+def publish(spark: SparkSession, name: str, target: str) -> None:
+    """Make ``target`` the location of the catalog table ``name`` (A12), created on its first publication."""
+    if spark.catalog.tableExists(name):
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{target}'")
+        spark.catalog.refreshTable(name)
+    else:
+        spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{target}'")
+
+
 def clustered_by_date(df: DataFrame, keys=("city_id", "timestamp")) -> DataFrame:
     """Lay rows out for a write partitioned by ``event_date``.
 

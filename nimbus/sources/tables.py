@@ -28,9 +28,12 @@ _COLUMNS = {
     "hourly": {"city_id": "int", "timestamp_hour": "timestamp"} | {c: "double" for c in HOURLY_COLUMNS[2:]} | {"event_date": "date"},
     "hourly_state": ({"city_id": "int", "hour": "bigint"} | {f"{part}_{m}": t for m in HOURLY_MEASURES.values()
                                                               for part, t in (("sum", "double"), ("n", "bigint"))} | {"event_date": "date"}),
-    "quarantine": {"city_id": "int", "timestamp": "bigint", "reason": "string", "value": "string"},
+    "quarantine": {"city_id": "int", "timestamp": "bigint", "reason": "string", "value": "string", "msg_id": "bigint"},
+    "replayed": {"msg_id": "bigint"},
+    "latest": {"id": "bigint"} | {c: _TYPES[c] for c in STAGING_COLUMNS if c != "id"} | {"bucket": "int"},
+    "changes": {"id": "bigint", "city_id": "int", "timestamp": "bigint", "previous": "bigint", "event_date": "date"},
 }
-_BATCHED = ("raw", "staging", "cities", "quarantine", "hourly_state")
+_BATCHED = ("raw", "staging", "cities", "quarantine", "hourly_state", "replayed", "latest", "changes")
 CATALOG_TABLES = ("raw", "staging", "cities", "hourly_state")
 
 
@@ -128,13 +131,9 @@ def stream_table(spark: SparkSession, path: str, table: str, max_files_per_trigg
 
 
 def current_generation(spark: SparkSession, path: str) -> str | None:
-    """Folder of the newest committed generation of a replace-style table (None if never written)."""
-    log = f"{path.rstrip('/')}.commits"
-    if not exists(spark, log):
-        return None
-    newest = (spark.read.schema("generation long, path string").json(log)
-              .orderBy(F.col("generation").desc()).limit(1).collect())
-    return newest[0].path if newest else None
+    """Folder of the current generation of a replace-style table (None if never written)."""
+    live = Manifest(spark, path).state().folders()
+    return f"{path.rstrip('/')}/{live[0]}" if live else None
 
 
 def read_current(spark: SparkSession, path: str, table: str | None = None) -> DataFrame:

@@ -12,6 +12,7 @@ from nimbus.sources import testdata as td
 from nimbus.sources.files import write_messages
 from nimbus.sources.tables import read_table
 from nimbus.streaming.hourly import read_hourly
+from nimbus.streaming.latest import BUCKETS
 
 
 def sorted_rows(df):
@@ -52,6 +53,7 @@ def test_pipeline_jobs(spark, tmp):
     assert (files_of(paths.staging), files_of(paths.hourly_state)) == before
 
     name = cities.orderBy("id").first()
+    jobs.update_latest(spark, paths)
     top = F.timestamp_seconds(F.lit(stg.filter(F.col("city_id") == name["id"]).agg(F.max("timestamp")).first()[0]))
     card = jobs.current_card(spark, paths, name["name"], name["country"], now=top).collect()
     assert len(card) == 1 and card[0].city_id == name["id"]
@@ -61,8 +63,11 @@ def test_pipeline_jobs(spark, tmp):
     assert 0 < series.count() <= own and 0 < overlay.count() <= own
     assert jobs.refreshed(None, series) is series and jobs.refreshed(series, series) is None
 
-    # every scan of staging and hourly is bounded by date
-    for df in (jobs.current_card(spark, paths, "x", "y", now=top), *jobs.day_view(spark, paths, "x", "y", now=top)):
+    assert jobs.current_card(spark, paths, "x", "y", now=top).isEmpty()
+    # the card opens one bucket of the latest readings, and every scan of staging and hourly is bounded by date
+    opened = [f for f in jobs.current_card(spark, paths, name["name"], name["country"], now=top).inputFiles() if "/latest/" in f]
+    assert opened and {f.split("bucket=")[1].split("/")[0] for f in opened} == {str(name["id"] % BUCKETS)}
+    for df in jobs.day_view(spark, paths, "x", "y", now=top):
         plan = df._jdf.queryExecution().executedPlan().toString()
         scans = [ln for ln in plan.splitlines() if "FileScan parquet" in ln and ("/staging" in ln or "/hourly" in ln)]
         assert scans and all("event_date" in ln.split("PartitionFilters: [")[1].split("]")[0] for ln in scans)
@@ -107,3 +112,59 @@ def test_backfill_write_is_clustered_by_date(spark, tmp):
     wide.write.partitionBy("event_date").parquet(f"{tmp}/hashed")
     assert len(files_of(f"{tmp}/clustered")) < len(files_of(f"{tmp}/hashed"))
     assert sorted_rows(spark.read.parquet(f"{tmp}/clustered")) == sorted_rows(r)
+
+
+def planted(spark, tmp, change):
+    """A staging run whose increment is tampered with before it is written."""
+    from conftest import raw_df, raw_row
+    from nimbus.sinks.batch import write_batch
+    from nimbus.streaming import staging as S
+    paths = jobs.Paths(tmp)
+    write_batch(raw_df(spark, [raw_row(id=1, city_id=1)]), 0, paths.raw)
+    jobs.update_staging(spark, paths)
+    before = sorted_rows(read_table(spark, paths.staging, "staging"))
+    write_batch(raw_df(spark, [raw_row(id=2, city_id=2), raw_row(id=3, city_id=3)]), 1, paths.raw)
+    plain = S.to_staging
+    S.to_staging = lambda rows: change(plain(rows))
+    try:
+        with pytest.raises(Exception) as e:
+            jobs.update_staging(spark, paths)
+        assert "constraint violations" in str(e.value) or "ConstraintViolation" in str(e.value)
+    finally:
+        S.to_staging = plain
+    assert sorted_rows(read_table(spark, paths.staging, "staging")) == before
+    jobs.update_staging(spark, paths)                       # the same micro-batch again, untampered
+    assert read_table(spark, paths.staging, "staging").count() == 3
+
+
+def test_planted_duplicate_stops_the_publication(spark, tmp):
+    planted(spark, tmp, lambda rows: rows.unionByName(rows.filter("id = 2")))
+
+
+def test_planted_orphan_stops_the_publication(spark, tmp):
+    planted(spark, tmp, lambda rows: rows.withColumn("id", F.when(F.col("id") == 2, F.lit(99)).otherwise(F.col("id"))))
+
+
+def test_planted_key_of_an_earlier_commit_stops_the_publication(spark, tmp):
+    planted(spark, tmp, lambda rows: rows.withColumn("city_id", F.lit(1)).withColumn("id", F.col("id")))
+
+
+def test_maintenance_beside_the_jobs(spark, tmp):
+    """Folders of closed dates are folded, replaced files go, and every job reads on as before."""
+    from conftest import raw_df, raw_row
+    from nimbus.sinks.batch import write_batch
+    from nimbus.sinks.manifest import Manifest
+    paths = jobs.Paths(tmp)
+    for n in range(3):
+        write_batch(raw_df(spark, [raw_row(id=10 * n + j, city_id=j, timestamp=1744502461 + 60 * n) for j in range(3)]), n, paths.raw)
+        for job in (jobs.update_staging, jobs.update_latest, jobs.rollup_hourly):
+            job(spark, paths)
+    day = [r.event_date for r in read_table(spark, paths.staging, "staging").select("event_date").distinct().collect()]
+    read = {t: sorted_rows(read_table(spark, getattr(paths, t), t)) for t in ("raw", "staging")}
+    hours = sorted_rows(comparable(read_hourly(spark, paths.hourly_state)))
+    assert jobs.maintain(spark, paths, day, grace=0) == {"raw": 3, "staging": 3, "hourly_state": 3}
+    assert {t: sorted_rows(read_table(spark, getattr(paths, t), t)) for t in read} == read
+    assert sorted_rows(comparable(read_hourly(spark, paths.hourly_state))) == hours
+    assert all(len(Manifest(spark, getattr(paths, t)).state().live) == 1 for t in ("raw", "staging", "hourly_state"))
+    assert jobs.update_staging(spark, paths) == jobs.rollup_hourly(spark, paths) == 1 and read == {
+        t: sorted_rows(read_table(spark, getattr(paths, t), t)) for t in read}

@@ -59,12 +59,36 @@ def test_compaction_bounds_the_files_of_closed_dates(spark, tmp):
 
 def test_old_generations_are_removed(spark, tmp):
     import os
-    import time
+    for n in range(150):
+        Manifest(spark, f"{tmp}/many").commit([(f"generation={n}", None, 0, 0, 0)], removed=[f"generation={n - 1}"] if n else [], kind="compact")
     for n in range(4):
-        replace_table(spark.createDataFrame([(n,)], "id int"), f"{tmp}/t", keep=2)
-        time.sleep(0.005)
-    assert len([d for d in os.listdir(f"{tmp}/t") if d.startswith("generation=")]) == 2
+        replace_table(spark.createDataFrame([(n,)], "id int"), f"{tmp}/t", grace=0)
+    assert len([d for d in os.listdir(f"{tmp}/t") if d.startswith("generation=")]) == 1
     assert [tuple(r) for r in read_current(spark, f"{tmp}/t").collect()] == [(3,)]
+    replace_table(spark.createDataFrame([(4,)], "id int"), f"{tmp}/t")                    # readers of the old one go on
+    assert len([d for d in os.listdir(f"{tmp}/t") if d.startswith("generation=")]) == 2
+    for n in range(100):                                                               # the log is folded, not only read
+        Manifest(spark, f"{tmp}/many").commit([(f"generation=x{n}", None, 0, 0, 0)], kind="compact")
+    replace_table(spark.createDataFrame([(5,)], "id int"), f"{tmp}/many", grace=0)
+    assert len(os.listdir(f"{tmp}/many/_log")) <= 2 * 202 and [tuple(r) for r in read_current(spark, f"{tmp}/many").collect()] == [(5,)]
+
+
+def test_catalog_table_follows_the_generations(spark, tmp):
+    """Readers by name see one generation as a whole, the new one at once; a failed refresh leaves the old."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS nimbus_gen LOCATION '{tmp}/wh'")
+    name = "nimbus_gen.t"
+    assert read_table_or_none(spark, name) is None
+    replace_table(spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string"), f"{tmp}/t", name=name)
+    reader = read_table_or_none(spark, name)
+    assert sorted(r.id for r in reader.collect()) == [1, 2]
+    replace_table(spark.createDataFrame([(3, "c")], "id int, v string"), f"{tmp}/t", name=name)
+    assert [r.id for r in read_table_or_none(spark, name).collect()] == [3]
+    assert sorted(r.id for r in reader.collect()) == [1, 2]                             # resolved before the switch
+    bad = spark.createDataFrame([(1, "x"), (1, "y")], "id int, v string")
+    with pytest.raises(ConstraintViolation):
+        replace_table(bad, f"{tmp}/t", audits={"pk": pk_violations(bad, ["id"])}, name=name)
+    assert [r.id for r in read_table_or_none(spark, name).collect()] == [3]
+    spark.sql("DROP DATABASE nimbus_gen CASCADE")
 
 
 def test_jobs_on_provisioned_tables(spark, tmp):
@@ -101,14 +125,12 @@ def test_jobs_on_provisioned_tables(spark, tmp):
 
 
 def test_replace_table_is_guarded(spark, tmp):
-    import time
     good = spark.createDataFrame([(1, "a")], "id int, v string")
     replace_table(good, f"{tmp}/t")
     bad = spark.createDataFrame([(1, "x"), (1, "y")], "id int, v string")
     with pytest.raises(ConstraintViolation):
         replace_table(bad, f"{tmp}/t", audits={"pk": pk_violations(bad, ["id"])})
     assert [tuple(r) for r in read_current(spark, f"{tmp}/t").collect()] == [(1, "a")]
-    time.sleep(0.01)
     replace_table(spark.createDataFrame([(2, "b")], "id int, v string"), f"{tmp}/t")
     assert [tuple(r) for r in read_current(spark, f"{tmp}/t").collect()] == [(2, "b")]
     assert read_current(spark, f"{tmp}/none", "hourly").count() == 0
