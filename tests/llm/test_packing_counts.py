@@ -85,3 +85,30 @@ def test_a_json_vocabulary_is_counted_by_tokenizers():
 @pytest.mark.parametrize("schema", ["doc_id long, text string"])
 def test_empty_table(spark, schema):
     assert packing.pack(spark.createDataFrame([], schema)).count() == 0
+
+
+def exchanged(df):
+    """Columns that an exchange of the plan carries."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [ln for ln in plan.splitlines() if "Exchange hashpartitioning" in ln]
+
+
+def test_warm_run_ships_no_text(spark, tmp):
+    """The second run encodes nothing and exchanges no text; one hot text is folded where it is read."""
+    rows = [(i, "hot text " * 200) for i in range(3000)] + [(10_000 + i, f"text {i}") for i in range(50)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    first = {r.doc_id: r.n_tokens for r in token_counts.count_tokens(df, cache=f"{tmp}/c").collect()}
+    assert spark.read.parquet(f"{tmp}/c").count() == 51
+    again = token_counts.count_tokens(df, cache=f"{tmp}/c")
+    assert {r.doc_id: r.n_tokens for r in again.collect()} == first and spark.read.parquet(f"{tmp}/c").count() == 51
+    assert "text" not in " ".join(exchanged(again))
+    more = df.unionByName(spark.createDataFrame([(1, "new")], "doc_id long, text string"))
+    assert token_counts.count_tokens(more, cache=f"{tmp}/c").count() == len(rows) + 1
+    assert spark.read.parquet(f"{tmp}/c").count() == 52
+
+
+def test_many_misses_take_the_other_way(spark, tmp, monkeypatch):
+    df = spark.createDataFrame(TEXTS, "doc_id long, text string")
+    want = sorted(map(tuple, token_counts.count_tokens(df).collect()), key=repr)
+    monkeypatch.setattr(token_counts, "BROADCAST_ROWS", 0)
+    assert sorted(map(tuple, token_counts.count_tokens(df, cache=f"{tmp}/c").collect()), key=repr) == want
