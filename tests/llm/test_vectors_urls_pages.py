@@ -148,3 +148,26 @@ def test_common_lines_are_a_longest_common_subsequence():
         shared = [a[i] for i in sorted(html_text.common_lines(a, b))]
         rest = iter(b)
         assert len(shared) == best[-1, -1] and all(x in rest for x in shared)
+
+
+def test_names_inside_an_article_count_as_a_whole():
+    def inside(x):
+        return html_text.marked_text(f"<body><article><p>one</p>{x}<p>two</p></article></body>").split("\n\n")[1:-1] == ["some"]
+    for kept in ('<h2 id="related-work">some</h2>', '<p class="dialog">some</p>', '<section id="search-methods"><p>some</p></section>',
+                 '<p class="code-comment">some</p>', '<div class="article-header">some</div>', '<header>some</header>', '<div class="share-price">some</div>'):
+        assert inside(kept), kept
+    for gone in ('<div class="ad header-ad">some</div>', '<div class="sidebar" data-x="header">some</div>', '<div class="related-posts">some</div>',
+                 '<div id="comments"><p>some</p></div>', '<div class="adSlot">some</div>', '<p hidden>some</p>', '<ul class="social-links"><li>some</li></ul>',
+                 '<p style="display:none">some</p>', '<div class="comment-list">some</div>', '<div class="side-bar">some</div>'):
+        assert not inside(gone), gone
+
+
+def test_paragraphs_of_links_stay():
+    page = '<body><div><p><a href="x">a paragraph that is one link</a></p><ul><li><a href="y">menu</a></li></ul></div></body>'
+    assert html_text.marked_text(page) == "a paragraph that is one link"
+
+
+def test_very_long_page(spark):
+    page = "<article>" + "<p>word</p>" * 60000 + "</article>"
+    got = html_text.extract(spark.createDataFrame([(1, "http://a.org/x", page)], "page_id long, url string, html string")).first()
+    assert got.n_chars == 60000 * 4 + 59999 * 2
