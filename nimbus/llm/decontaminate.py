@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from nimbus.llm.common import cut, work_folder
+
 Q = 12
 RATE = 0.05
 BLOCK_CHARS = 4 << 20
@@ -267,15 +269,24 @@ def _drop(index, at):
     return run
 
 
+def _normal(batches):
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([normal(t) for t in batch.column(1).to_pylist()], pa.string())],
+                                         names=["item_id", "text"])
+
+
 def blocks(benchmark: DataFrame):
     """Broadcast indexes of the passages, about ``BLOCK_CHARS`` characters each."""
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").filter("text IS NOT NULL")
+    # equal passages are one, with their smallest id, before anything is collected
+    items = (benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").filter("text IS NOT NULL AND item_id IS NOT NULL")
+             .mapInArrow(_normal, "item_id long, text string").filter("text != ''")
+             .groupBy("text").agg(F.min("item_id").alias("item_id")))
+    items = cut(items, work_folder(benchmark.sparkSession, "benchmark"), "passages")
     chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
     n = -(-chars // BLOCK_CHARS)
     for k in range(n):
-        # equal passages meet in one block
         rows = items.filter(F.pmod(F.xxhash64("text"), F.lit(n)) == k).collect()
-        yield benchmark.sparkSession.sparkContext.broadcast(Index([(r.item_id, r.text) for r in rows if r.item_id is not None]))
+        yield benchmark.sparkSession.sparkContext.broadcast(Index([(r.item_id, r.text) for r in rows]))
 
 
 def find(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
