@@ -27,6 +27,7 @@ from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,6 +42,9 @@ KNOWN_WORDS = 200_000
 LONG_WORD = 64        # longer runs of letters are recursed one by one, whole
 
 _WORD = re.compile(r"[^\W\d_]+")
+#: ``\w`` takes numerals and signs that are no letters (², ½, Ⅷ, ①), and no marks that combine with a letter.
+_ODD = re.compile(r"[^\x00-\x7F\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u02C1\u0370-\u0373\u0386-\u0481\u048A-\u052F\s]")
+_LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -195,7 +199,11 @@ class Model:
 
 
 def words_of(text: str | None) -> Counter:
-    return Counter(_WORD.findall(text.lower())) if text else Counter()
+    """The runs of Unicode letters, with the marks on them."""
+    if not text:
+        return Counter()
+    low = text.lower()
+    return Counter((_LETTERS if _ODD.search(low) else _WORD).findall(low))
 
 
 def _train_words(batches):
@@ -242,7 +250,8 @@ def learn(docs: DataFrame, usable=None, root: str | None = None) -> Model | None
     # the bound of the sample, chosen by id alone, so that no text is shuffled
     ids = reduce(DataFrame.unionByName, [rows.filter(F.col("lang") == la).select("doc_id", "lang").orderBy(F.xxhash64("doc_id"), "doc_id").limit(DOCS)
                                          for la in langs]).distinct()
-    sample = rows.join(F.broadcast(ids), ["doc_id", "lang"], "left_semi").select("lang", "text")
+    sample = (rows.join(F.broadcast(ids), ["doc_id", "lang"], "left_semi").groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
+              .select("lang", "text"))                                                   # one text an id
     words = cut(sample.mapInArrow(_train_words, "lang string, word string, n long").groupBy("lang", "word")
                 .agg(F.sum("n").alias("n")), root or work_folder(docs.sparkSession, "language-id"), "words")
     count = len(pieces()[0])
