@@ -42,13 +42,33 @@ KNOWN_WORDS = 300_000       # words a task remembers; then it starts to remember
 
 _TOKEN = re.compile(r"[^\W_]+(?:[@$*!'’][^\W_]+)*")
 _LOOKS = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i"})
-_QUOTES = "\"“”„«»‹›"
+_QUOTES = re.compile("[\"“”„«»‹›\n]")
+_CLOSES = {"\"": "\"", "“": "”", "„": "“”", "«": "»", "‹": "›", "»": "«", "›": "‹"}
 # fixed cue words of the four languages of the corpus
 _REPORT = frozenset("said says say wrote writes called calls quoted quote quoting term word according dit écrit appelé "
                     "mot sagte sagt schrieb nannte wort dijo escribió llamó palabra".split())
 _PERSON = frozenset("you your you're youre yourself tu toi vous ton ta du dich dein deine ihr usted tú ti eres".split())
 
 
+def quotations(text: str) -> list[tuple[int, int]]:
+    """Places of the quotations: from each opening mark to the mark that closes it, on one line.
+
+    A mark that is open is closed by the first mark that may close it, so what stands between two quotations is in none.
+    """
+    found, begin, closes = [], 0, ""
+    for m in _QUOTES.finditer(text):
+        sign = m.group()
+        if sign == "\n":
+            closes = ""
+        elif closes:
+            if sign in closes:
+                found.append((begin, m.start()))
+                closes = ""
+        elif sign in _CLOSES:
+            begin, closes = m.end(), _CLOSES[sign]
+    return found
+
+
 def tokens(text: str) -> list[str]:
     return _TOKEN.findall(text.lower())
 
@@ -181,6 +201,7 @@ class Model:
             return [0.0, 0.0, 0.0, float(np.log1p(len(words)))]
         low = text.lower()
         spans = [m.span() for m in _TOKEN.finditer(low)]
+        quotes = quotations(low)
         sums = [0.0, 0.0]
         weight = np.zeros(len(words))
         for i, w in enumerate(words):
@@ -188,11 +209,9 @@ class Model:
                 continue
             term, misspelled = hit[w]
             lo, hi = max(0, i - WINDOW), min(len(words), i + WINDOW + 1)
-            before = low[spans[lo][0]:spans[i][0]]
-            after = low[spans[i][1]:spans[hi - 1][1]]
             around = words[lo:hi]
             value, quoted = self.weights.get(term) or self.stems[term], False
-            if any(q in before for q in _QUOTES) and any(q in after for q in _QUOTES):
+            if any(a <= spans[i][0] and spans[i][1] <= b for a, b in quotes):
                 value, quoted = value * QUOTED, True
             elif not _REPORT.isdisjoint(around):
                 value *= REPORTED
@@ -287,8 +306,8 @@ def learn(docs: DataFrame, labels: DataFrame, usable=None) -> Model:
             for t, n in ((1, TOXIC_ROWS), (0, CLEAN_ROWS))]
     chosen = pick[0].unionByName(pick[1])                                                    # bounded by the two limits
     train = (docs.join(F.broadcast(chosen), F.col("doc_id").cast("long") == F.col("id"))
-             .filter("text IS NOT NULL").select("text", "toxic")
-             .dropDuplicates(["text"]).persist())
+             .filter("text IS NOT NULL").groupBy("id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
+             .select("text", "toxic").dropDuplicates(["text"]).persist())                       # one text an id
     try:
         n = {r["toxic"]: r["count"] for r in train.groupBy("toxic").count().collect()}
         n1, n0 = n.get(1, 0), n.get(0, 0)
