@@ -1,6 +1,7 @@
 """Secret scan: candidates by pattern, false positives removed by a random forest.
 
-Candidates are keys of known form, values assigned to secret-sounding names, and long tokens that mix letters and digits.
+Candidates are keys of known form, values assigned to secret-sounding names (quoted ones whole, with their spaces), tokens of
+authorization headers, passwords in addresses, and long tokens that mix letters and digits.
 A candidate is described by its length, transitions between kinds of characters, how usual its letter pairs are, how
 much of it is dictionary words, whether it looks like a path, and the words around it. A random forest learns
 from labelled findings which candidates are secrets.
@@ -9,9 +10,10 @@ The forest: ``TREES`` trees on bootstrap samples of at most ``TRAIN_ROWS`` findi
 documented bound of the fit), one task per tree, random features at each node. Scanning is one pass over whole texts where
 they lie.
 
-Findings come from a table ``text, start, end, secret``. Where a corpus has none, ``weak_findings`` labels candidates of
-a fold by form: keys with a checkable form and assigned random values are secrets; identifiers, digests, numbers, paths,
-addresses, long words and placeholders put in the place of found secrets are not.
+Findings come from a table ``text, start, end, secret``. Where a corpus has none, ``weak_findings`` plants them in its
+texts: values drawn at random after a name, in a header, in an address are secrets; the same kinds of values as
+digests, numbers, paths, and stand-ins in the place of secrets are not, nor are numbers, addresses and long words that the
+texts hold outside candidates. So a label says where a value comes from; it is no function of the features.
 
 Defined results: null or empty texts hold nothing; of candidates that overlap the most specific kind stays whole and the
 others go on with what they hold beside it; repeated rows are scanned each; a null ``doc_id`` stays null; extra columns are
@@ -21,7 +23,9 @@ kept by ``redact`` and ignored else; without findings of both kinds every candid
 from __future__ import annotations
 
 import math
+import random
 import re
+import zlib
 from bisect import bisect_left
 from collections import Counter
 from dataclasses import dataclass, field
@@ -55,7 +59,10 @@ _STARTS = ("AKIA", "ASIA", "AROA", "AIDA", "ghp_", "gho_", "ghu_", "ghs_", "ghr_
 _NAMES = ("password", "passwd", "pwd", "passphrase", "secret", "token", "apikey", "api_key", "api-key", "access_key", "access-key",
           "auth_key", "credential", "private_key", "client_secret", "bearer")
 _KEY = re.compile("|".join(f"(?P<{k}>{v})" for k, v in KEYS.items()), re.S)
-_ASSIGNED = re.compile(r"(?i)(?:" + "|".join(map(re.escape, _NAMES)) + r")[\"']?\s{0,4}(?:=>|:=|[:=])\s{0,4}[\"'`]?([^\s\"'`,;<>]{6,})")
+_ASSIGNED = re.compile(r"(?i)(?:" + "|".join(map(re.escape, _NAMES)) + r")[\"']?\s{0,4}(?:=>|:=|[:=])\s{0,4}"
+                       r"(?:\"([^\"\n]{6,})\"|'([^'\n]{6,})'|`([^`\n]{6,})`|[\"'`]?([^\s\"'`,;<>]{6,}))")
+_BEARER = re.compile(r"(?i)\b(?:bearer|basic)\s+([A-Za-z0-9+/=_.~-]{8,})")
+_LOGIN = re.compile(r"(?i)\b[a-z][a-z0-9+.-]{1,20}://[^\s/:@\"'<>]{1,100}:([^\s/@\"'<>]{4,})@")
 _LONG = re.compile(r"[A-Za-z0-9+/_-]{20,}={0,2}")
 # what joins a key to the next: a sign, or signs around the next one's name
 _JOINT = re.compile(r"[&|:/?#=]*(?:(?<=[&|:?#])[\w.-]{1,40}=)?")
@@ -65,7 +72,8 @@ _SECRET_WORDS = frozenset("password passwd pwd secret token key apikey api auth
 _PLAIN_WORDS = frozenset("example sample dummy placeholder test fake sha sha1 sha256 md5 commit hash digest checksum uuid guid id isbn version "
                          "build revision phone tel card url http https www file path".split())
 _PLACEHOLDER = re.compile(r"(?i)example|sample|dummy|change.?me|your|xxxx|placeholder|1234|abcd|test|^(.)\1+$|^[<\[{$%].*")
-FEATURES = 26
+FEATURES = 29
+KINDS = ("login", "bearer", "assigned")        # told by what stands before them
 
 
 @lru_cache(maxsize=1)
@@ -99,11 +107,15 @@ def candidates(text: str) -> list[tuple[int, int, str]]:
         found += [(*m.span(), m.lastgroup) for m in _KEY.finditer(text)]
     low = text.lower()
     if any(n in low for n in _NAMES):
-        found += [(*m.span(1), "assigned") for m in _ASSIGNED.finditer(text)]
+        found += [(*m.span(m.lastindex), "assigned") for m in _ASSIGNED.finditer(text)]
+    if "bearer" in low or "basic" in low:
+        found += [(*m.span(1), "bearer") for m in _BEARER.finditer(text) if _mixed(m[1])]
+    if "://" in text and "@" in text:
+        found += [(*m.span(1), "login") for m in _LOGIN.finditer(text)]
     for m in _LONG.finditer(text):
         if _mixed(m.group()):
             found.append((*m.span(), "token"))
-    order = {k: i for i, k in enumerate((*KEYS, "assigned", "token"))}
+    order = {k: i for i, k in enumerate((*KEYS, *KINDS, "token"))}
     left = [(order[k], a - b, a, b, k) for a, b, k in found]
     heapify(left)
     kept: list[tuple[int, int, str]] = []
@@ -173,7 +185,8 @@ def describe(text: str, start: int, end: int, kind: str) -> list[float]:
         float(text[max(0, start - 12):start].endswith(("://", "/", "www.", "\\")) or "://" in w),
         float(bool(_PLACEHOLDER.search(w))),
         float(sum(x in _SECRET_WORDS for x in before)), float(sum(x in _PLAIN_WORDS for x in before + after)),
-        float(text[start - 1:start] in tuple("=:\"'")), float(kind in KEYS),
+        float(text[start - 1:start] in tuple("=:\"'")), float(w.count(" ")), float(kind in KINDS),
+        float(sum(c.isdigit() for c in w)), float(kind in KEYS),
     ]
 
 
@@ -290,42 +303,94 @@ def learn(findings: DataFrame) -> Forest:
     return Forest([Tree(*(np.array(r[c]) for c in ("feature", "threshold", "left", "right", "value"))) for r in grown])
 
 
+# --- findings labelled by where they come from -----------------------------------------------
+
+_SIGNS = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+#: Where a value stands: what is drawn at random here is a secret ...
+OPEN = {"assign": "password={}", "colon": "password: {}", "quoted": 'token = "{}"', "json": '"api_key": "{}"', "single": "secret = '{}'",
+        "client": "client_secret={}", "access": "access_key: {}", "bearer": "Authorization: Bearer {}", "login": "postgres://admin:{}@db.local/main",
+        "url_login": "https://bob:{}@host.org/", "phrase": 'password: "{}"'}
+#: ... and here it is none: digests, numbers, addresses.
+PLAIN = {"commit": "commit {}", "sha": "sha256 {}", "checksum": "checksum: {}", "id": "id {}", "url": "see https://a.org/x/{}", "order": "order {}",
+         "build": "version {}", "file": "in src/{}.txt", "alone": "{}"}
+
+
+def _drawn(r: random.Random, words: list[str]) -> dict[str, str]:
+    """One random value of each form."""
+    def some(signs: str, low: int, high: int) -> str:
+        return "".join(r.choices(signs, k=r.randint(low, high)))
+    word = r.choice(words)
+    return {"hex": some("0123456789abcdef", 16, 64), "mixed": some(_SIGNS, 12, 48), "short": some(_SIGNS, 7, 10) + str(r.randrange(10, 99)),
+            "word": word + some("0123456789", 2, 4) + r.choice(["", "!", "pass"]), "upper": some(_SIGNS[26:], 16, 32),
+            "signs": some(_SIGNS + "!#$%*+-_", 9, 24), "words": " ".join(r.choices(words, k=r.randint(2, 4)))}
+
+
+def _stand_ins(r: random.Random, words: list[str]) -> list[str]:
+    """What stands in manuals, code and prose where a secret would."""
+    return ["your-password-here", "your_token", "changeme123", "EXAMPLE" + str(r.randrange(1000)) + "EXAMPLE", "x" * r.randint(6, 40),
+            "*" * r.randint(6, 12), "<password>", "${TOKEN}", "{{secret}}", "placeholder", "required", "optional", "config/settings/" + r.choice(words),
+            "os.environ", "process.env.TOKEN", "test1234", "dummy-" + r.choice(words), r.choice(words) + "_" + r.choice(words),
+            " ".join(r.choices(words, k=r.randint(6, 10)))]
+
+
+def _key(r: random.Random) -> str:
+    def some(signs: str, n: int) -> str:
+        return "".join(r.choices(signs, k=n))
+    return r.choice(["AKIA" + some(_SIGNS[26:], 16), "ghp_" + some(_SIGNS, 36), "xoxb-" + some("0123456789", 12) + "-" + some(_SIGNS, 16),
+                     "AIza" + some(_SIGNS, 35), "sk_live_" + some(_SIGNS, 24), "eyJ" + some(_SIGNS, 20) + "." + some(_SIGNS, 40) + "." + some(_SIGNS, 30)])
+
+
+def plant(text: str, words: list[str]) -> list[tuple[str, int, int, int, str]]:
+    """(part of the text with something planted, start, end, secret, form): what it is is known from the planting."""
+    r = random.Random(zlib.crc32(text.encode("utf-8", "surrogatepass")))
+    gaps = [m.start() for m in re.finditer(r"\s", text)] or [0]
+    out = []
+
+    def put(frame: str, value: str, secret: int, form: str) -> None:
+        at = r.choice(gaps)
+        lead, tail = frame.split("{}")
+        before = text[max(0, at - 80):at] + " " + lead
+        out.append((before + value + tail + " " + text[at:at + 80], len(before), len(before) + len(value), secret, form))
+    for _ in range(3):
+        where, (form, value) = r.choice(sorted(OPEN)), r.choice(sorted(_drawn(r, words).items()))
+        if " " not in value or where in ("quoted", "json", "single", "phrase"):
+            put(OPEN[where], value, 1, f"{where}/{form}")
+        value = r.choice(_stand_ins(r, words))
+        if " " not in value or where in ("quoted", "json", "single", "phrase"):
+            put(OPEN[where], value, 0, f"{where}/stand-in")
+        where, (form, value) = r.choice(sorted(PLAIN)), r.choice(sorted(_drawn(r, words).items()))
+        put(PLAIN[where], value.replace(" ", "-"), 0, f"{where}/{form}")
+    for _ in range(3):
+        put(r.choice([*OPEN.values(), *PLAIN.values()]), _key(r), 1, "key")
+    put(r.choice([*OPEN.values(), *PLAIN.values()]), _key(r)[:-7] + "EXAMPLE", 0, "key/example")
+    return out
+
+
 def _weak(batches):
+    words = sorted(dictionary())
     for batch in batches:
         rows = []
         for text in batch.column(0).to_pylist():
             text = text or ""
-            for start, end, kind in candidates(text):
-                w = text[start:end]
-                lo = max(0, start - 80)
-                part, a, b = text[lo:end + 80], start - lo, end - lo
-                plain = bool(_PLACEHOLDER.search(w)) or covered(w.lower()) > 0.6
-                random = sum(c.isdigit() for c in w) >= 2 and any(c.isalpha() for c in w) and not plain
-                if kind in KEYS or (kind == "assigned" and random):
-                    rows.append((part, a, b, int(not plain)))
-                    # the same place with what stands there in manuals and code
-                    for fake in ("your-" + kind.replace("_", "-") + "-here", "x" * min(len(w), 40), "EXAMPLE" + w[:4] + "EXAMPLE",
-                                 w[:max(4, len(w) - 7)] + "EXAMPLE", "changeme123", "config/settings/" + kind):
-                        rows.append((text[lo:start] + fake + text[end:end + 80], a, a + len(fake), 0))
-                    # and its value where nothing says that it is secret
-                    if kind == "assigned" and re.fullmatch(r"[0-9a-f]{20,}", w):
-                        rows.append(("commit " + w + text[end:end + 80], 7, 7 + len(w), 0))
-                elif kind == "token":
-                    rows.append((part, a, b, 0))
-            for m in list(re.finditer(r"\S*\d{4,}\S*|https?://\S+|\S+@\S+|\w{16,}", text))[:3]:
-                if not any(x < m.end() and m.start() < y for x, y, _ in candidates(text)):
+            rows += plant(text, words)
+            found = candidates(text)
+            ends = [b for _, b, _ in found]
+            for m in re.finditer(r"\S*\d{4,}\S*|https?://\S+|\S+@\S+|\w{16,}", text):
+                k = bisect_left(ends, m.start() + 1)
+                if k == len(found) or found[k][0] >= m.end():
                     lo = max(0, m.start() - 80)
-                    rows.append((text[lo:m.end() + 80], m.start() - lo, m.end() - lo, 0))
-        cols = list(zip(*rows)) or [()] * 4
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.int64(), pa.int64(), pa.int32()))],
-                                         names=["text", "start", "end", "secret"])
+                    rows.append((text[lo:m.end() + 80], m.start() - lo, m.end() - lo, 0, "text"))
+        cols = list(zip(*rows)) or [()] * 5
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.string()))],
+            names=["text", "start", "end", "secret", "form"])
 
 
 def weak_findings(docs: DataFrame, rows: int = 20_000) -> DataFrame:
-    """Findings labelled by form, from at most ``rows`` documents (those with the smallest hash of their id)."""
+    """Findings planted in at most ``rows`` documents (those with the smallest hash of their id, one text an id)."""
     few = docs.filter("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("id")).distinct().orderBy(F.xxhash64("id"), "id").limit(rows)
-    some = docs.join(F.broadcast(few), F.col("doc_id").cast("long") == F.col("id"), "left_semi")
-    return some.select("text").mapInArrow(_weak, "text string, start long, `end` long, secret int")
+    some = docs.join(F.broadcast(few), F.col("doc_id").cast("long") == F.col("id")).groupBy("id").agg(F.min("text").alias("text"))
+    return some.select("text").mapInArrow(_weak, "text string, start long, `end` long, secret int, form string")
 
 
 def scan(forest: Forest, text: str) -> list[tuple[int, int, str, float]]:

@@ -233,6 +233,36 @@ def test_secrets_are_told_from_placeholders(spark):
     assert secrets.clean(known, f"a {docs[0][1]}").count(secrets.MARK) == 1 and secrets.clean(known, "password=8f3kd9Zk2lQ0x7") == "password=8f3kd9Zk2lQ0x7"
 
 
+def test_new_candidates():
+    def found(text):
+        return [(text[a:b], k) for a, b, k in secrets.candidates(text)]
+    assert found("Authorization: Bearer ab12cd34ef56gh78") == [("ab12cd34ef56gh78", "bearer")]
+    assert found("postgres://u:Zx81kfo39d@h/db") == [("Zx81kfo39d", "login")]
+    assert found("https://bob:hunter2pass@host/") == [("hunter2pass", "login")]
+    assert found('password: "correct horse battery"') == [("correct horse battery", "assigned")]
+    assert found("password: 'correct horse battery'") == [("correct horse battery", "assigned")]
+    assert found("the bearer of the letter, basic training") == [] and found("https://host:8080/a@b") == []
+    # a quotation that does not end on its line is taken up to the first space
+    assert found('password: "correct horse') == [("correct", "assigned")]
+
+
+def test_forest_on_findings_and_forms_left_out_of_the_fit(spark):
+    """Held-out texts, and whole forms of contexts and values that the fit has not seen: precision and recall."""
+    r = random.Random(21)
+    df = spark.createDataFrame([(i, " ".join(r.choices(WORDS, k=60))) for i in range(1500)], "doc_id long, text string")
+    rows = secrets.weak_findings(df).collect()
+    out = ("json", "access", "url_login", "checksum", "signs", "upper")
+    def left(x):
+        return any(part in out for part in x.form.split("/"))
+    fold = {x.text for x in rows if secrets.zlib.crc32(x.text.encode()) % 4 == 0}
+    forest = secrets.learn(spark.createDataFrame([x for x in rows if not left(x) and x.text not in fold]))
+    for held in ([x for x in rows if x.text in fold and not left(x)], [x for x in rows if left(x)]):
+        hits = [(x.secret, max((s for a, b, _, s in secrets.scan(forest, x.text) if a < x.end and x.start < b), default=0.0) >= secrets.THRESHOLD)
+                for x in held if x.form != "text"]
+        tp, fp, fn = (sum((y, h) == k for y, h in hits) for k in ((1, True), (0, True), (1, False)))
+        assert len(hits) > 500 and tp / (tp + fp) > 0.9 and tp / (tp + fn) > 0.85, (len(hits), tp, fp, fn)
+
+
 def test_secrets_joined_by_a_wider_candidate_are_told_apart():
     r = random.Random(9)
     def letters(n):
@@ -287,6 +317,41 @@ def test_misspellings_of_short_and_long_terms():
         assert (model.term(w) is not None) == (near and w not in model.clean), w
 
 
+def test_words_are_runs_of_letters():
+    """Numerals and signs are none; marks stay with their letter."""
+    assert not any(language_id.words_of(t) for t in ("5²", "½ 100", "Ⅷ", "①", "", None, "१२", "🙂 _ 7"))
+    assert language_id.words_of("हिन्दी Straße x² é") == {"हिन्दी": 1, "straße": 1, "x": 1, "é": 1}
+
+
+def test_texts_without_letters_have_no_language(spark):
+    rows = [(i, " ".join(random.Random(i).choices(WORDS, k=30)), "xx") for i in range(20)]
+    model = language_id.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    odd = spark.createDataFrame([(1, "5²"), (2, "½ 100"), (3, "Ⅷ"), (4, "①"), (5, None), (6, "tano")], "doc_id long, text string")
+    assert {r.doc_id: r.lang_pred for r in language_id.predict(odd, model).collect()} == {**dict.fromkeys(range(1, 6), "und"), 6: "xx"}
+
+
+def test_quotations_are_open_marks_up_to_the_term():
+    model = toxicity.Model({"idiot": 4.0})
+    def quoted(text):
+        x = model.features(text)
+        return x[1] > 0 and x[0] == 0
+    assert quoted('He said "you idiot" twice') and quoted("„so ein idiot“ sagte er") and quoted("«quel idiot»")
+    assert not quoted('"hello" you idiot "bye"') and not quoted('you idiot "bye"') and not quoted('"hello" you idiot')
+    assert not quoted('say "hello\nyou idiot" now')                    # a quotation ends with its line
+    both = model.features('"you idiot" and you idiot')
+    assert both[0] > 0 and both[1] > 0
+
+
+def test_repeated_passages_are_collected_once(spark):
+    """A passage repeated thousands of times is one, under its smallest id, also if only its case differs."""
+    text = "the quick brown fox jumps over the lazy dog and runs into the wide green field beyond the river"
+    bench = spark.range(20000).selectExpr("id + 5 item_id", f"if(id % 2 = 0, '{text}', upper('{text}')) text")
+    passages = [b.value for b in decontaminate.blocks(bench)]
+    assert [x.ids for x in passages] == [[5]]
+    docs = spark.createDataFrame([(1, "x " + text + " y"), (2, "nothing here")], "doc_id long, text string")
+    assert [(r.doc_id, r.item_id) for r in decontaminate.find(docs, bench).collect()] == [(1, 5)]
+
+
 def test_long_words_are_fitted_too():
     rows = list(next(language_id._train_words([language_id.pa.RecordBatch.from_pydict({"lang": ["xx"], "text": ["ab " + "sch" * 400]})])).column(1).to_pylist())
     assert sorted(rows) == ["ab", "sch" * 400]
