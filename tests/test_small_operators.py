@@ -56,3 +56,22 @@ def test_hourly_batch_adds_only_its_own_rows(spark, tmp):
     one = [r for r in got.collect() if r.city_id == 1 and r.timestamp_hour ==
            first.select(epoch_to_instant(F.lit(base)).alias("t")).first().t][0]
     assert (one.avg_temp, one.avg_humidity, one.avg_wind_speed, one.avg_cloud_coverage) == (11.0, 50.0, 2.0, 15.0)
+
+
+def test_a_micro_batch_of_the_hourly_state_reads_its_own_rows_only(spark, tmp, monkeypatch):
+    """Read volume: neither staging nor the state is opened, whatever they hold; the parts are those of the batch."""
+    from nimbus.sources import tables
+    from nimbus.streaming import hourly
+    batches = [to_staging(raw_df(spark, [raw_row(id=10 * n + j, city_id=j, timestamp=1744502461 + n) for j in range(4)])) for n in range(3)]
+    hourly_batch(batches[0], 0, f"{tmp}/state", "w")
+
+    def closed(*_, **__):
+        raise AssertionError("a table was read")
+    with monkeypatch.context() as m:
+        for module in (hourly, tables):
+            m.setattr(module, "read_table", closed)
+        m.setattr(tables, "read_folders", closed)
+        for n in (1, 2):
+            hourly_batch(batches[n], n, f"{tmp}/state", "w")
+    parts = [x[2][0] for x in Manifest(spark, f"{tmp}/state").state().live.values()]
+    assert parts == [4, 4, 4] and read_hourly(spark, f"{tmp}/state").count() == 4
