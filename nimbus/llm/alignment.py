@@ -2,9 +2,9 @@
 
 Tokenizer A is the byte-level BPE (on space + text), B the piece model (on text; it adds the space itself). A
 document's tokens cover the same bytes twice. A dictionary from cumulative end to token index is made for each
-side; the sorted intersection of their keys slices both id lists into groups, and the links of a group (pairs of
+side (hashed by the end itself, a direct-address table); the sorted intersection of their keys slices both id lists into groups, and the links of a group (pairs of
 tokens whose byte ranges overlap) are expanded slice by slice: a slice with one token on a side by repetition,
-others by walking both ends.
+others by the ends of both sides together.
 
 The count of an id pair is the number of documents that hold it linked, over the whole corpus. Documents
 are aligned once, in blocks of consecutive rows; a block's distinct pairs, with the number of its documents that
@@ -62,14 +62,14 @@ def sides() -> Sides:
     bpe = tiktoken.Encoding("byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
     plain = []
 
-    def encode_a(text: str) -> list[int]:
+    def encode_a(text: str) -> np.ndarray:
         if not _LONG_SPACE.search(text):
-            return bpe.encode_ordinary(text)
+            return bpe.encode_to_numpy(text, disallowed_special=())
         if not plain:
             from tokenizers import Tokenizer
             plain.append(Tokenizer.from_file(public_tokenizers.path(f"{A_MODEL}.json")))
             plain[0].encode_special_tokens = True
-        return plain[0].encode(text, add_special_tokens=False).ids
+        return np.array(plain[0].encode(text, add_special_tokens=False).ids)
 
     model = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(B_MODEL))
     bytes_a = [b""] * (max(ranks.values()) + 1)
@@ -110,48 +110,56 @@ def _starts(ends: np.ndarray) -> np.ndarray:
     return np.concatenate([[0], ends[:-1]]).astype(np.int64)
 
 
-def slice_links(ends_a, ends_b) -> list[tuple[int, int]]:
-    """Pairs of overlapping tokens of one group, given the tokens' ends on both sides."""
-    i = j = 0
-    found = []
-    while i < len(ends_a) and j < len(ends_b):
-        found.append((i, j))
-        x, y = ends_a[i], ends_b[j]
-        i, j = i + (x <= y), j + (y <= x)
-    return found
+def _within(sizes: np.ndarray) -> np.ndarray:
+    """0, 1, ... within each run of these sizes."""
+    return np.arange(int(sizes.sum())) - np.repeat(_starts(np.cumsum(sizes)), sizes)
 
 
-def align_ids(a: list[int], b: list[int], raw: bytes) -> Aligned | None:
-    """The alignment, or None if the tokens of a side do not spell ``raw``."""
+def indexes(ends: np.ndarray, size: int) -> np.ndarray:
+    """The dictionary from end to index: ends are whole numbers up to ``size``, so each is its own place in the table.
+
+    0 stands for no token that ends there; keys come out in ascending order.
+    """
+    table = np.zeros(size + 1, dtype=np.int64)
+    table[ends] = np.arange(1, len(ends) + 1)
+    return table
+
+
+def align_ids(a: np.ndarray, b: list[int], raw: bytes) -> Aligned | None:
+    """The alignment, or None if the tokens of a side do not spell ``raw``.
+
+    The byte-level encoder only splits the bytes, so its tokens spell them if they are as long.
+    """
     s = sides()
-    if not raw or b"".join(map(s.bytes_a.__getitem__, a)) != raw or b"".join(map(s.bytes_b.__getitem__, b)) != raw:
+    ends_a = np.cumsum(s.len_a[a])
+    if not raw or not len(a) or ends_a[-1] != len(raw) or b"".join(map(s.bytes_b.__getitem__, b)) != raw:
         return None
-    a, b = np.array(a, dtype=np.int64), np.array(b, dtype=np.int64)
-    ends_a, ends_b = np.cumsum(s.len_a[a]).tolist(), np.cumsum(s.len_b[b]).tolist()
-    at_a, at_b = dict(zip(ends_a, range(1, len(a) + 1))), dict(zip(ends_b, range(1, len(b) + 1)))
-    common = sorted(at_a.keys() & at_b.keys())
-    cut_a = np.array([at_a[e] for e in common], dtype=np.int64)
-    cut_b = np.array([at_b[e] for e in common], dtype=np.int64)
+    a, b = a.astype(np.int64), np.array(b, dtype=np.int64)
+    ends_b = np.cumsum(s.len_b[b])
+    at_a, at_b = indexes(ends_a, len(raw)), indexes(ends_b, len(raw))
+    common = np.flatnonzero((at_a > 0) & (at_b > 0))
+    cut_a, cut_b = at_a[common], at_b[common]
     start_a, start_b = _starts(cut_a), _starts(cut_b)
     many_a, many_b = cut_a - start_a > 1, cut_b - start_b > 1
     # a group of x and y tokens has no inner common end, hence x + y - 1 links
     links = cut_a - start_a + cut_b - start_b - 1
-    into = _starts(np.cumsum(links))
-    inner = np.arange(int(links.sum())) - np.repeat(into, links)
+    into, inner = _starts(np.cumsum(links)), _within(links)
     link_a = np.repeat(start_a, links) + inner * np.repeat(many_a, links)
     link_b = np.repeat(start_b, links) + inner * np.repeat(many_b, links)
-    for g in np.flatnonzero(many_a & many_b).tolist():
-        x, y, at = int(start_a[g]), int(start_b[g]), int(into[g])
-        for k, (i, j) in enumerate(slice_links(ends_a[x:int(cut_a[g])], ends_b[y:int(cut_b[g])])):
-            link_a[at + k], link_b[at + k] = x + i, y + j
+    mixed = many_a & many_b
+    if mixed.any():
+        # each piece between two neighbouring ends of either side lies in one token of both: one link
+        ends = np.union1d(ends_a[np.repeat(mixed, cut_a - start_a)], ends_b[np.repeat(mixed, cut_b - start_b)])
+        at = np.repeat(into[mixed], links[mixed]) + _within(links[mixed])
+        link_a[at], link_b[at] = np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
     return Aligned(a, b, cut_a, cut_b, link_a, link_b)
 
 
-def alignments(texts: pa.Array):
+def alignments(texts: list[str | None]):
     """One Aligned or None for each text."""
     s = sides()
     for at in range(0, len(texts), TEXTS_AT_ONCE):
-        some = [t or "" for t in texts.slice(at, TEXTS_AT_ONCE).to_pylist()]
+        some = [t or "" for t in texts[at:at + TEXTS_AT_ONCE]]
         for text, b in zip(some, s.encode_b(some)):
             yield align_ids(s.encode_a(" " + text), b, b" " + text.encode()) if text else None
 
@@ -162,7 +170,7 @@ GROUPS = ("doc_id long, ids_a array<long>, ids_b array<long>, cuts_a array<long>
 
 def _groups(batches):
     for batch in batches:
-        found = list(alignments(batch.column(1)))
+        found = list(alignments(batch.column(1).to_pylist()))
         cols = [pa.array([getattr(x, c) if x else [] for x in found], pa.list_(pa.int64()))
                 for c in ("a", "b", "cut_a", "cut_b", "link_a", "link_b")]
         yield pa.RecordBatch.from_arrays([batch.column(0), *cols],
@@ -182,6 +190,14 @@ _BLOCK_TYPES = pa.schema([("block", pa.int64()), ("doc_id", pa.int64()), *((c, p
                           ("pairs", pa.list_(pa.int64())), ("docs", pa.list_(pa.int32()))])
 
 
+def _summary(x: Aligned | None) -> tuple[tuple, np.ndarray, bytes]:
+    """Counts and digest of a document, its distinct pairs, and how often it has each."""
+    if x is None:
+        return (0, 0, 0, 0, ""), np.empty(0, np.int64), b""
+    key, n = np.unique((x.a[x.link_a] << 32) | x.b[x.link_b], return_counts=True)
+    return (len(x.a), len(x.b), len(x.cut_a), len(x.link_a), hashlib.sha256(x.groups()).hexdigest()), key, n.astype("<i4").tobytes()
+
+
 def _blocks(batches):
     """Rows of the documents, whose pairs are numbered within their block, and after them the block's table of pairs."""
     part, block = TaskContext.get().partitionId(), 0
@@ -203,21 +219,23 @@ def _blocks(batches):
             yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*out[a:a + 4096]), _BLOCK_TYPES)],
                                              schema=_BLOCK_TYPES)
 
+    known: dict[bytes, tuple] = {}             # of the block, by digest: equal texts are aligned once
     for batch in batches:
-        for doc_id, x in zip(batch.column(0).to_pylist(), alignments(batch.column(1))):
-            if x is None:
-                rows.append(((doc_id, 0, 0, 0, 0, ""), 0))
-                times.append(b"")
-            else:
-                key, n = np.unique((x.a[x.link_a] << 32) | x.b[x.link_b], return_counts=True)
-                rows.append(((doc_id, len(x.a), len(x.b), len(x.cut_a), len(x.link_a),
-                              hashlib.sha256(x.groups()).hexdigest()), len(key)))
+        ids, texts = batch.column(0), batch.column(1)
+        for at in range(0, len(ids), TEXTS_AT_ONCE):
+            some = texts.slice(at, TEXTS_AT_ONCE).to_pylist()
+            marks = [hashlib.sha256((t or "").encode()).digest() for t in some]
+            new = {m: t for m, t in zip(marks, some) if m not in known}
+            known.update(zip(new, map(_summary, alignments(list(new.values())))))
+            for doc_id, mark in zip(ids.slice(at, TEXTS_AT_ONCE).to_pylist(), marks):
+                head, key, n = known[mark]
+                rows.append(((doc_id, *head), len(key)))
                 keys.append(key)
-                times.append(n.astype("<i4").tobytes())
+                times.append(n)
                 size += len(key)
             if size >= BLOCK_PAIRS or len(rows) >= BLOCK_DOCS:
                 yield from flush()
-                rows, keys, times, size, block = [], [], [], 0, block + 1
+                rows, keys, times, size, block, known = [], [], [], 0, block + 1, {}
     if rows:
         yield from flush()
 
