@@ -7,7 +7,7 @@ from conftest import SF_SMALL
 
 def test_one_query_for_each_operator():
     names = {q.split("_")[0] for q in E.queries() if q.startswith("op")}
-    assert names == {f"op{n}" for n in range(1, 11)} and "pipeline" in E.queries()
+    assert names == {f"op{n}" for n in range(1, 14)} and "pipeline" in E.queries()
 
 
 def test_stages_in_order():
