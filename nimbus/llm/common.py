@@ -6,6 +6,8 @@ import tempfile
 import zipfile
 from pathlib import Path
 
+import numpy as np
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,6 +33,21 @@ def work_folder(spark: SparkSession, name: str) -> str:
     return run_dir(spark, name)
 
 
+def parts(batches, column: int, most: int = 1 << 20):
+    """Arrow batches in runs of rows with about ``most`` bytes in the string ``column``; a longer text stands alone.
+
+    Bounds what a task holds as Python strings by bytes, whatever number of rows a batch has.
+    """
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        at = 0
+        while at < batch.num_rows:
+            before = ends[at - 1] if at else 0
+            to = max(at + 1, int(np.searchsorted(ends, before + most, "right")))
+            yield batch.slice(at, to - at)
+            at = to
+
+
 def held_out(doc_id: str, mod: int, rest: int):
     """Whether a row belongs to the fold ``crc32(doc_id as text) mod m = rest`` (a null id never does)."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % mod == rest, F.lit(False))

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nimbus.llm.common import cut, work_folder
+from nimbus.llm.common import cut, parts, work_folder
 
 Q = 12
 RATE = 0.05
@@ -249,7 +249,7 @@ def merged(found: list) -> list:
 
 def _find(index):
     def run(batches):
-        for batch in batches:
+        for batch in parts(batches, 1):
             rows, texts = [], [t or "" for t in batch.column(1).to_pylist()]
             for doc, text, found in zip(batch.column(0).to_pylist(), texts, matches(index.value, texts)):
                 if found:
@@ -263,7 +263,7 @@ def _find(index):
 
 def _drop(index, at):
     def run(batches):
-        for batch in batches:
+        for batch in parts(batches, at):
             found = matches(index.value, [t or "" for t in batch.column(at).to_pylist()])
             yield batch.filter(pa.array([not f for f in found], pa.bool_()))
     return run

@@ -37,6 +37,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from nimbus.llm.common import parts
+
 TREES, DEPTH, LEAF = 25, 10, 3
 TRAIN_ROWS = 12_000
 THRESHOLD = 0.5
@@ -368,7 +370,7 @@ def plant(text: str, words: list[str]) -> list[tuple[str, int, int, int, str]]:
 
 def _weak(batches):
     words = sorted(dictionary())
-    for batch in batches:
+    for batch in parts(batches, 0):
         rows = []
         for text in batch.column(0).to_pylist():
             text = text or ""
@@ -388,8 +390,9 @@ def _weak(batches):
 
 def weak_findings(docs: DataFrame, rows: int = 20_000) -> DataFrame:
     """Findings planted in at most ``rows`` documents (those with the smallest hash of their id, one text an id)."""
-    few = docs.filter("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("id")).distinct().orderBy(F.xxhash64("id"), "id").limit(rows)
-    some = docs.join(F.broadcast(few), F.col("doc_id").cast("long") == F.col("id")).groupBy("id").agg(F.min("text").alias("text"))
+    docs = docs.filter("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("id"), "text")       # other columns may have any name
+    few = docs.select("id").distinct().orderBy(F.xxhash64("id"), "id").limit(rows)
+    some = docs.join(F.broadcast(few), "id").groupBy("id").agg(F.min("text").alias("text"))
     return some.select("text").mapInArrow(_weak, "text string, start long, `end` long, secret int, form string")
 
 
@@ -404,7 +407,7 @@ def scan(forest: Forest, text: str) -> list[tuple[int, int, str, float]]:
 
 def _scan(forest):
     def run(batches):
-        for batch in batches:
+        for batch in parts(batches, 1):
             rows = [(doc, *f) for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
                     for f in scan(forest, text or "") if f[3] >= THRESHOLD]
             cols = list(zip(*rows)) or [()] * 5
@@ -432,7 +435,7 @@ def _redact(forest, schema):
     at = schema.names.index("text")
 
     def run(batches):
-        for batch in batches:
+        for batch in parts(batches, at):
             texts = [t if t is None else clean(forest, t) for t in batch.column(at).to_pylist()]
             yield batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
     return run

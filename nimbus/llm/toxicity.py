@@ -305,7 +305,7 @@ def learn(docs: DataFrame, labels: DataFrame, usable=None) -> Model:
     pick = [rows.filter(F.col("toxic") == t).orderBy(F.xxhash64("id"), "id").limit(n)
             for t, n in ((1, TOXIC_ROWS), (0, CLEAN_ROWS))]
     chosen = pick[0].unionByName(pick[1])                                                    # bounded by the two limits
-    train = (docs.join(F.broadcast(chosen), F.col("doc_id").cast("long") == F.col("id"))
+    train = (docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(F.broadcast(chosen), "id")
              .filter("text IS NOT NULL").groupBy("id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
              .select("text", "toxic").dropDuplicates(["text"]).persist())                       # one text an id
     try:

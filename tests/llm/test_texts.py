@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 
 from nimbus.llm import decontaminate, language_id, secrets, toxicity
 
@@ -367,3 +368,13 @@ def test_long_words_are_fitted_too():
             more[p] *= 1 + 1e-5
             slope = np.diff([language_id.forward([word], x[:, None], np.array([single]))[0, 0] for x in (prob, more)])[0] / 1e-5
             assert abs(3 * slope - got[p]) < 1e-3 * got[p]
+
+
+def test_batches_in_parts_keep_every_row():
+    from nimbus.llm.common import parts
+    texts = ["a" * 10, None, "", "b" * 500, "ü" * 30, *["c" * 40] * 20]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["doc_id", "text"])
+    for some in (batch, batch.slice(3), batch.slice(0, 0)):
+        got = list(parts([some, some], 1, 100))
+        assert [x for b in got for x in b.column(1).to_pylist()] == 2 * some.column(1).to_pylist()
+        assert all(b.num_rows == 1 or sum(len((t or "").encode()) for t in b.column(1).to_pylist()) <= 100 for b in got)
