@@ -82,6 +82,46 @@ def test_lines_end_as_in_text_files(spark, tmp):
     assert read[True] == read[False] == sorted(["eins", "zwei", "", "drei ü"])
 
 
+def test_large_files_are_numbered_in_splits(spark, tmp):
+    """No task takes a file as a whole; numbers, paths and ids are those of whole files, in the batch and in the stream."""
+    import os
+    os.makedirs(f"{tmp}/topic/a +b%")
+    want = {}
+    for name, end in (("x", "\n"), ("y z", "\r\n"), ("w", "\r")):
+        lines = [message(k % 7, 1744502461 + k // 9, "[]" if k % 11 == 5 else '[{"id":1},{"id":2}]') if k % 13 else "" for k in range(400)]
+        with open(f"{tmp}/topic/a +b%/{name}.txt", "w", newline="") as f:
+            f.write(end.join(lines) + end * (name != "w"))
+        want |= {(f"file:{tmp}/topic/a +b%/{name}.txt", k): x for k, x in enumerate(lines)}
+    most = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+        read = read_messages(spark, f"{tmp}/topic/*", stream=False)
+        assert read.rdd.getNumPartitions() > 30
+        assert {(r.file_path, r.line): r.value for r in read.collect()} == want
+        run_to_end(start_ingest(read_messages(spark, f"{tmp}/topic/*", max_files_per_trigger=2), f"{tmp}/raw", f"{tmp}/quarantine", f"{tmp}/_ck", AVAILABLE_NOW))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", most)
+    raw, bad = messages_to_raw(read_messages(spark, f"{tmp}/topic/*", stream=False))
+    got = read_table(spark, f"{tmp}/raw", "raw")
+    assert got.select("id").distinct().count() == got.count() > 1500
+    assert rows(got.select(*raw.columns)) == rows(raw)
+    assert rows(read_table(spark, f"{tmp}/quarantine", "quarantine").select(*bad.columns)) == rows(bad)
+
+
+def test_times_last_seen_are_merged(spark, tmp, monkeypatch):
+    """Many micro-batches: the state is folded, and each city keeps the time of the newest one, not the largest time."""
+    from nimbus.streaming import changes
+    monkeypatch.setattr(changes, "FOLD", 2)
+    times = [10, 20, 15, 15, 30, 5]
+    for n, t in enumerate(times):
+        batch = spark.createDataFrame([(message(1, t), "f", 2 * n), (message(1, t), "f", 2 * n + 1)], "value string, file_path string, line int")
+        for _ in range(2):
+            changes.changes_batch(batch, n, f"{tmp}/changes", f"{tmp}/seen", "w")
+    got = sorted((r.timestamp, r.previous or 0) for r in read_table(spark, f"{tmp}/changes", "changes").collect())
+    assert got == sorted([(10, 0), (20, 10), (15, 20), (30, 15), (5, 30)])
+    assert len(Manifest(spark, f"{tmp}/seen").state().folders([1])) <= 2
+
+
 def test_corrected_messages_enter_raw_once_under_their_first_id(spark, tmp):
     good = message(1, 1744502461)
     put(tmp, "a.txt", [message(1, 1744502461, "[]"), message(2, 1744502462, "null"), "broken", message(3, 1744502463)])
