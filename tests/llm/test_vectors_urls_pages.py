@@ -171,3 +171,22 @@ def test_very_long_page(spark):
     page = "<article>" + "<p>word</p>" * 60000 + "</article>"
     got = html_text.extract(spark.createDataFrame([(1, "http://a.org/x", page)], "page_id long, url string, html string")).first()
     assert got.n_chars == 60000 * 4 + 59999 * 2
+
+
+def test_every_page_of_a_host_is_differenced_and_its_mark_checks_the_result(spark):
+    """Pages with a marked article are compared too, keep what articles share, and are evidence for pages without a mark."""
+    site = "<div>Welcome to the site</div>{}<div>All rights reserved</div>"
+    rows = [(i, f"http://h.com/a/{i}", page(site.format(f"<article><p>A passage that all share</p><p>Story {i} of {'many ' * 20} things</p></article>")))
+            for i in range(3)]
+    rows += [(9, "http://h.com/a/9", page(site.format(f"<p>A passage that all share</p><p>{'Without a mark ' * 20}</p>")))]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_text.extract(df).collect()}
+    assert got == {i: f"A passage that all share\n\nStory {i} of {'many ' * 20}things" for i in range(3)} | \
+        {9: f"A passage that all share\n\n{('Without a mark ' * 20).strip()}"}
+    seen = [r for x in html_text._codes(df.selectExpr("url", "url AS path", "html").toArrow().to_batches()) for r in x.to_pylist()]
+    assert all(len(r["codes"]) == 4 for r in seen) and sorted(sum(r["marked"]) for r in seen) == [0, 2, 2, 2]
+
+
+def test_long_pages_are_compared_in_bounded_memory():
+    a, b = ["x"] * 60000 + [f"a{i}" for i in range(30000)], ["x"] * 60000 + [f"b{i}" for i in range(30000)]
+    assert html_text.common_lines(a, b) == set(range(60000))
