@@ -106,6 +106,33 @@ def test_replay_under_new_checkpoint_adds_no_staging_rows(spark, tmp):
     assert spark.read.parquet(f"{tmp}/staging").count() == n_stg
 
 
+def test_a_micro_batch_is_held_in_no_cache(spark, tmp, monkeypatch):
+    """The parsed rows of a micro-batch go to a folder: splits of any size and number, no cached block of a split, nothing left behind."""
+    import os
+    from pyspark.sql import DataFrame
+    from nimbus.streaming import ingest as I
+    publish(spark, tmp)
+    want_raw, want_bad = messages_to_raw(read_messages(spark, f"{tmp}/messages", stream=False))
+    want_raw, want_bad = rows(want_raw), rows(want_bad)
+    work = []
+
+    def no_cache(*_, **__):
+        raise AssertionError("a micro-batch is cached")
+    monkeypatch.setattr(DataFrame, "persist", no_cache)
+    monkeypatch.setattr(DataFrame, "cache", no_cache)
+    monkeypatch.setattr(I, "run_dir", lambda _, name: work.append(f"{tmp}/work-{name}-{len(work)}") or work[-1])
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "40000")          # many splits a file
+    try:
+        ingest(spark, tmp)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert len(work) >= 2 and not any(os.path.exists(w) for w in work)
+    raw, bad = (spark.read.parquet(f"{tmp}/{t}").drop("writer", "batch_id") for t in ("raw", "quarantine"))
+    assert rows(raw.select(*messages_to_raw(read_messages(spark, f"{tmp}/messages", stream=False))[0].columns)) == want_raw
+    assert rows(bad.select("city_id", "timestamp", "reason", "value", "msg_id")) == want_bad
+
+
 def test_checkpoint_is_mandatory(spark, tmp):
     import pytest
     from nimbus.streaming.triggers import start
