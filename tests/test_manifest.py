@@ -1,5 +1,6 @@
 """The commit log of batch tables: crashes, compaction, concurrent writers, streams, maintenance."""
 
+import os
 import threading
 
 import pytest
@@ -229,3 +230,27 @@ def test_an_error_is_not_taken_for_an_absent_table(spark, tmp):
     spark.range(3).write.json(f"{tmp}/notparquet")
     with pytest.raises(Exception):
         read_table(spark, f"{tmp}/notparquet", "raw").select(F.sum("id")).collect()
+
+
+def test_compact_raw_compacts_between_two_runs_of_staging_and_after_them(spark, monkeypatch):
+    """Half of the topic's files a run: both runs of staging read rows, each row once, and raw is compacted after both."""
+    from conftest import SF_SMALL
+    from nimbus.plans import catalog
+    from nimbus.streaming import staging as S
+    done, read = [], []
+    real_compact, real_batch = B.compact, S.staging_batch
+
+    def compacted(spark, root, table, *a, **kw):
+        done.append(("compact", table))
+        return real_compact(spark, root, table, *a, **kw)
+
+    def staged(batch, *a, **kw):
+        done.append("stage")
+        read.extend(r.id for r in batch.select("id").collect())
+        return real_batch(batch, *a, **kw)
+    monkeypatch.setattr(B, "compact", compacted)
+    monkeypatch.setattr(S, "staging_batch", staged)
+    n = catalog.q_compact_raw(spark, SF_SMALL).count()
+    order = [x for k, x in enumerate(done) if not k or x != done[k - 1]]
+    assert order == ["stage", ("compact", "raw")] * 2
+    assert len(read) == len(set(read)) == n
