@@ -254,3 +254,11 @@ def test_compact_raw_compacts_between_two_runs_of_staging_and_after_them(spark,
     order = [x for k, x in enumerate(done) if not k or x != done[k - 1]]
     assert order == ["stage", ("compact", "raw")] * 2
     assert len(read) == len(set(read)) == n
+
+
+def test_every_delivery_of_the_late_topic_is_a_micro_batch(spark):
+    """Newest first in three deliveries: as many files as a micro-batch takes each, whatever partitions the events are read in."""
+    from conftest import SF_SMALL
+    from nimbus.plans import catalog
+    path = catalog._publish_late(spark, SF_SMALL).removeprefix("file:")
+    assert len([f for f in os.listdir(path) if f.startswith("part-")]) == 3 * catalog.FILES_A_BATCH
