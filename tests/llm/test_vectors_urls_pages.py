@@ -190,3 +190,18 @@ def test_every_page_of_a_host_is_differenced_and_its_mark_checks_the_result(spar
 def test_long_pages_are_compared_in_bounded_memory():
     a, b = ["x"] * 60000 + [f"a{i}" for i in range(30000)], ["x"] * 60000 + [f"b{i}" for i in range(30000)]
     assert html_text.common_lines(a, b) == set(range(60000))
+
+
+def test_a_line_of_the_article_that_its_neighbour_has_outside_of_its_own_is_deleted(spark):
+    rows = [(0, "http://h.com/a/0", page(f"<article><p>Story 0 {'many ' * 20}</p><p>Write to us</p><p>Shared</p></article>")),
+            (1, "http://h.com/a/1", page(f"<article><p>Story 1 {'other ' * 20}</p><p>Shared</p></article><p>Write to us</p>")),
+            # the neighbour marks nothing, so what it has may be its article
+            (2, "http://i.com/a/0", page(f"<article><p>Story 2 {'many ' * 20}</p><p>Write to us</p></article>")),
+            (3, "http://i.com/a/1", page(f"<p>Story 3 {'other ' * 20}</p><p>Write to us</p>")),
+            # an article is never deleted as a whole
+            (4, "http://j.com/a/0", page("<article><p>Write to us</p></article>")),
+            (5, "http://j.com/a/1", page(f"<article><p>Story 5 {'other ' * 20}</p></article><p>Write to us</p>"))]
+    got = {r.page_id: r.text for r in html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    many, other = ("many " * 20).strip(), ("other " * 20).strip()
+    assert got == {0: f"Story 0 {many}\n\nShared", 1: f"Story 1 {other}\n\nShared", 2: f"Story 2 {many}\n\nWrite to us",
+                   3: f"Story 3 {other}\n\nWrite to us", 4: "Write to us", 5: f"Story 5 {other}"}
